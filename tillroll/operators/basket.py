@@ -113,8 +113,12 @@ def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int =
     used = limit_baskets(all_baskets, max_items).select("items").persist()
     model, s, c = None, None, None
     for s, c in ladder:
+        if model is not None:
+            model.freqItemsets.unpersist()
         model = fit_fpgrowth(used, s, c, num_partitions)
-        if model.freqItemsets.limit(1).count() > 0:
+        # The model's itemsets are an RDD-backed plan that re-mines on every
+        # action; cache them once (rules and reports reuse the same plan).
+        if model.freqItemsets.persist().count() > 0:
             break
     return MiningRun(all_baskets, used, model, s, c, max_items)
 

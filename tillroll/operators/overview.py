@@ -63,7 +63,7 @@ def trimmed_order_values(df: DataFrame, p: float = 0.95, exact: bool = False) ->
     one-row table joined by broadcast; nothing goes through the driver."""
     orders = order_values(df)
     if exact:
-        from tillroll.plans.ranking import checkpointed
+        from tillroll.plans.lineage import checkpointed
 
         orders = checkpointed(orders)
     limit = order_value_percentile(orders, p, exact)

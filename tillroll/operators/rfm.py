@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import SEGMENTS, money_sum
-from tillroll.plans.ranking import checkpointed, global_row_number
+from tillroll.plans.lineage import checkpointed
+from tillroll.plans.ranking import global_row_number
 
 
 def rfm_reference_date(df: DataFrame) -> DataFrame:

@@ -142,23 +142,24 @@ def baskets_cte(src: str) -> str:
 
 
 def miner_ctes(min_support: float, max_items: int, tag: str = "") -> str:
-    """Level-wise frequent itemsets (recursive): an itemset of k+1 items
-    extends a frequent k-itemset by a larger frequent item and is kept when
+    """Level-wise frequent itemsets (recursive). ``occ`` holds one row per
+    (frequent itemset, basket containing it); an itemset of k+1 items extends
+    a frequent k-itemset by a larger item of the same basket and is kept when
     at least ceil(support * baskets) baskets contain it."""
     t = tag
-    return f"""bk{t} AS (SELECT items FROM bk_all WHERE len(items) <= {max_items}),
+    return f"""bk{t} AS (SELECT row_number() OVER () AS bid, items FROM bk_all WHERE len(items) <= {max_items}),
 nb{t} AS (SELECT COUNT(*) AS n, CEIL(CAST({min_support} AS DOUBLE) * COUNT(*)) AS min_count FROM bk{t}),
-f1{t} AS (
-  SELECT item, COUNT(*) AS freq FROM (SELECT unnest(items) AS item FROM bk{t})
-  GROUP BY item HAVING COUNT(*) >= (SELECT min_count FROM nb{t})),
-fi{t}(items, freq) AS (
-  SELECT [item], freq FROM f1{t}
+bi{t} AS (SELECT bid, unnest(items) AS item FROM bk{t}),
+f1{t} AS (SELECT item, COUNT(*) AS freq FROM bi{t} GROUP BY item HAVING COUNT(*) >= (SELECT min_count FROM nb{t})),
+occ{t}(items, bid) AS (
+  SELECT [item], bid FROM bi{t} WHERE item IN (SELECT item FROM f1{t})
   UNION ALL
-  SELECT list_append(fi{t}.items, f1{t}.item) AS items, COUNT(*) AS freq
-  FROM fi{t} JOIN f1{t} ON f1{t}.item > fi{t}.items[-1]
-       JOIN bk{t} ON list_has_all(bk{t}.items, list_append(fi{t}.items, f1{t}.item))
-  GROUP BY list_append(fi{t}.items, f1{t}.item)
-  HAVING COUNT(*) >= (SELECT min_count FROM nb{t}))"""
+  SELECT items, bid FROM (
+    SELECT list_append(o.items, b.item) AS items, o.bid,
+           COUNT(*) OVER (PARTITION BY list_append(o.items, b.item)) AS c
+    FROM occ{t} o JOIN bi{t} b ON b.bid = o.bid AND b.item > o.items[-1])
+  WHERE c >= (SELECT min_count FROM nb{t})),
+fi{t} AS (SELECT items, COUNT(*) AS freq FROM occ{t} GROUP BY items)"""
 
 
 def rules_ctes(min_confidence: float, tag: str = "") -> str:

@@ -16,17 +16,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.plans.lineage import checkpointed
 
 _ID_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and cut lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _key(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

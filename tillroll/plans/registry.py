@@ -22,6 +22,7 @@ from tillroll.operators import filters as FL
 from tillroll.operators import overview as K
 from tillroll.operators import rfm as R
 from tillroll.operators import timeline as TL
+from tillroll.plans.lineage import written_table
 from tillroll.session import scratch_path
 from tillroll.sources import files as A
 from tillroll.sources import testdata as V
@@ -86,7 +87,7 @@ def profile_counts(spark, sf):
 
 
 def _described_run(spark, sf) -> tuple[B.MiningRun, DataFrame]:
-    lines = C.clean_basket_lines(_raw(spark, sf))
+    lines = written_table(C.clean_basket_lines(_raw(spark, sf)), "basket_lines")
     run = B.mine_with_backoff(lines, DESCRIBED_LADDER, max_items=30)
     return run, B.product_dim(lines)
 

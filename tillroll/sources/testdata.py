@@ -31,7 +31,10 @@ def _order_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
-    return (li.join(_order_dims(spark, sf_dir), li.l_orderkey == F.col("o_orderkey"))
+    # lines x orders: both sides grow with the data, so this is a shuffle
+    # (sort-merge) join on the order key at any size; the part and nation
+    # dimensions are left to the size-checked auto-broadcast / AQE.
+    return (li.join(_order_dims(spark, sf_dir).hint("merge"), li.l_orderkey == F.col("o_orderkey"))
               .join(part, li.l_partkey == part.p_partkey))
 
 
