@@ -1,16 +1,16 @@
 """RFM customer segmentation.
 
-Terciles follow the integer rule of SURVEY D7 (it reproduces the quantile
-cut used by the dashboard): with ``n`` customers let ``e1 = (n + 1) div 3``
-and ``e2 = 2n div 3``.
-
-* R (values): cut at the e1-th and e2-th smallest Recency; at or under the
-  first cut scores 3, then 2, then 1. Recency is a whole number of days, so
-  its histogram has one row per distinct day and the running count over it
-  is small.
-* F, M (ranks, ties by CustomerID): rank <= e1 scores 1, <= e2 scores 2,
-  else 3. Ranks come from :func:`global_row_number` (range-partitioned), not
-  from a one-task window.
+Scores are terciles as pandas ``qcut(x, 3)`` draws them (SURVEY R3/R4):
+the cut positions come from :mod:`tillroll.functions.quantiles` given the
+customer count ``n`` (one scalar on the driver).
+
+* R (values): the cut values are interpolated between the Recency values
+  at two positions; at or under the first cut scores 3, then 2, then 1.
+  Recency is a whole number of days, so its histogram has one row per
+  distinct day and the running count over it is small.
+* F, M (ranks, ties by CustomerID): rank at or under the first cut scores
+  1, then 2, else 3. Ranks come from :func:`global_row_number`
+  (range-partitioned), never from a one-task window over all customers.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import SEGMENTS, money_sum
+from tillroll.functions.quantiles import cut_positions, rank_cuts
 from tillroll.plans.lineage import checkpointed
 from tillroll.plans.ranking import global_row_number
 
@@ -45,44 +46,50 @@ def rfm_base(df: DataFrame) -> DataFrame:
                        "Frequency", "Monetary"))
 
 
-def _edges(n: str = "_n"):
-    return F.expr(f"({n} + 1) div 3"), F.expr(f"(2 * {n}) div 3")
+def _lerp(a, b, t: float):
+    a, b = a.cast("double"), b.cast("double")
+    return b - (b - a) * F.lit(1 - t) if t >= 0.5 else a + (b - a) * F.lit(t)
 
 
-def recency_cuts(base: DataFrame) -> DataFrame:
-    """One row: the e1-th and e2-th smallest Recency (``r_cut1``, ``r_cut2``)."""
+def recency_cuts(base: DataFrame, n: int) -> DataFrame:
+    """One row: the two tercile cut values of Recency (``r_cut1``, ``r_cut2``)."""
     hist = base.groupBy("Recency").agg(F.count(F.lit(1)).alias("_c"))
-    run = hist.select("Recency", F.sum("_c").over(Window.orderBy("Recency")).alias("_cum"),
-                      F.sum("_c").over(Window.partitionBy()).alias("_n"))
-    e1, e2 = _edges()
-    return run.agg(F.min(F.when(F.col("_cum") >= e1, F.col("Recency"))).alias("r_cut1"),
-                   F.min(F.when(F.col("_cum") >= e2, F.col("Recency"))).alias("r_cut2"))
-
-
-def rfm_r_score(base: DataFrame) -> DataFrame:
-    """R_Score on an rfm_base table."""
-    cuts = recency_cuts(base)
+    run = hist.select("Recency", F.sum("_c").over(Window.orderBy("Recency")).alias("_cum"))
+    at = lambda pos: F.min(F.when(F.col("_cum") >= pos + 1, F.col("Recency")))
+    (l1, h1, t1), (l2, h2, t2) = cut_positions(max(n, 1))
+    vals = run.agg(at(l1).alias("_a1"), at(h1).alias("_b1"), at(l2).alias("_a2"), at(h2).alias("_b2"))
+    return vals.select(_lerp(F.col("_a1"), F.col("_b1"), t1).alias("r_cut1"),
+                       _lerp(F.col("_a2"), F.col("_b2"), t2).alias("r_cut2"))
+
+
+def rfm_r_score(base: DataFrame, n: int | None = None) -> DataFrame:
+    """R_Score on an rfm_base table (``n`` = its row count if known)."""
+    n = base.count() if n is None else n
+    cuts = recency_cuts(base, n)
     score = (F.when(F.col("Recency") <= F.col("r_cut1"), 3)
               .when(F.col("Recency") <= F.col("r_cut2"), 2).otherwise(1))
     return base.crossJoin(F.broadcast(cuts)).withColumn("R_Score", score).drop("r_cut1", "r_cut2")
 
 
-def rank_score(df: DataFrame, metric: str, out: str) -> DataFrame:
+def rank_score(df: DataFrame, metric: str, out: str, n: int | None = None) -> DataFrame:
     """Tercile score of the rank of ``metric`` (ties by CustomerID)."""
-    ranked = global_row_number(df, [metric, "CustomerID"], "_rank", total="_n")
-    e1, e2 = _edges()
-    score = F.when(F.col("_rank") <= e1, 1).when(F.col("_rank") <= e2, 2).otherwise(3)
-    return ranked.withColumn(out, score).drop("_rank", "_n")
+    n = df.count() if n is None else n
+    c1, c2 = rank_cuts(max(n, 1))
+    ranked = global_row_number(df, [metric, "CustomerID"], "_rank")
+    score = F.when(F.col("_rank") <= c1, 1).when(F.col("_rank") <= c2, 2).otherwise(3)
+    return ranked.withColumn(out, score).drop("_rank")
 
 
 def rfm_scores(df: DataFrame) -> DataFrame:
     """R2-R5 on sales lines: base columns, R/F/M scores and RFM_Score.
 
-    The customer table is checkpointed once; both ranks read it."""
+    The customer table is checkpointed once; its row count is the only
+    value the driver sees, and both ranks read the checkpoint."""
     base = checkpointed(rfm_base(df))
-    scored = rfm_r_score(base)
-    scored = rank_score(scored, "Frequency", "F_Score")
-    scored = rank_score(scored, "Monetary", "M_Score")
+    n = base.count()
+    scored = rfm_r_score(base, n)
+    scored = rank_score(scored, "Frequency", "F_Score", n)
+    scored = rank_score(scored, "Monetary", "M_Score", n)
     return scored.withColumn("RFM_Score", F.col("R_Score") + F.col("F_Score") + F.col("M_Score"))
 
 

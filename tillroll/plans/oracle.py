@@ -239,16 +239,35 @@ per AS (SELECT CustomerID, max(InvoiceDate) AS last_ts, COUNT(DISTINCT InvoiceNo
 base AS (SELECT CustomerID,
                 CAST(date_diff('day', CAST(last_ts AS DATE), CAST((SELECT max(last_ts) FROM per) AS DATE)) AS INTEGER) AS Recency,
                 Frequency, Monetary FROM per)"""
-RFM_SCORES = """rr AS (SELECT Recency, row_number() OVER (ORDER BY Recency) AS rk, COUNT(*) OVER () AS n FROM base),
-cuts AS (SELECT MIN(CASE WHEN rk >= (n + 1) // 3 THEN Recency END) AS c1,
-                MIN(CASE WHEN rk >= (2 * n) // 3 THEN Recency END) AS c2 FROM rr),
+_Q1, _Q2 = (float(q) for q in __import__("numpy").true_divide(
+    __import__("numpy").linspace(0, 1, 4)[1:3] * 100, 100))
+
+
+def _lerp_sql(a: str, b: str, t: str) -> str:
+    return f"(CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END)"
+
+
+RFM_SCORES = f"""vv AS (SELECT n, CAST(n - 1 AS DOUBLE) * CAST('{_Q1!r}' AS DOUBLE) AS v1,
+                  CAST(n - 1 AS DOUBLE) * CAST('{_Q2!r}' AS DOUBLE) AS v2 FROM (SELECT COUNT(*) AS n FROM base)),
+pos AS (SELECT n,
+          CASE WHEN v1 >= n - 1 THEN n - 1 ELSE floor(v1) END AS lo1, CASE WHEN v1 >= n - 1 THEN n - 1 ELSE floor(v1) + 1 END AS hi1,
+          CASE WHEN v1 >= n - 1 THEN 0.0 ELSE v1 - floor(v1) END AS t1,
+          CASE WHEN v2 >= n - 1 THEN n - 1 ELSE floor(v2) END AS lo2, CASE WHEN v2 >= n - 1 THEN n - 1 ELSE floor(v2) + 1 END AS hi2,
+          CASE WHEN v2 >= n - 1 THEN 0.0 ELSE v2 - floor(v2) END AS t2 FROM vv),
+rr AS (SELECT Recency, row_number() OVER (ORDER BY Recency) - 1 AS k FROM base),
+rv AS (SELECT MAX(CASE WHEN k = lo1 THEN CAST(Recency AS DOUBLE) END) AS a1, MAX(CASE WHEN k = hi1 THEN CAST(Recency AS DOUBLE) END) AS b1,
+              MAX(CASE WHEN k = lo2 THEN CAST(Recency AS DOUBLE) END) AS a2, MAX(CASE WHEN k = hi2 THEN CAST(Recency AS DOUBLE) END) AS b2,
+              ANY_VALUE(t1) AS t1, ANY_VALUE(t2) AS t2 FROM rr, pos),
+cuts AS (SELECT {_lerp_sql('a1', 'b1', 't1')} AS c1, {_lerp_sql('a2', 'b2', 't2')} AS c2,
+                (SELECT floor({_lerp_sql('lo1 + 1.0', 'hi1 + 1.0', 't1')}) FROM pos) AS e1,
+                (SELECT floor({_lerp_sql('lo2 + 1.0', 'hi2 + 1.0', 't2')}) FROM pos) AS e2 FROM rv),
 ranked AS (SELECT b.*, row_number() OVER (ORDER BY Frequency, CustomerID) AS rf,
-                  row_number() OVER (ORDER BY Monetary, CustomerID) AS rm, COUNT(*) OVER () AS n FROM base b),
+                  row_number() OVER (ORDER BY Monetary, CustomerID) AS rm FROM base b),
 scores AS (
   SELECT CustomerID, Recency, Frequency, Monetary,
          CASE WHEN Recency <= c1 THEN 3 WHEN Recency <= c2 THEN 2 ELSE 1 END AS R_Score,
-         CASE WHEN rf <= (n + 1) // 3 THEN 1 WHEN rf <= (2 * n) // 3 THEN 2 ELSE 3 END AS F_Score,
-         CASE WHEN rm <= (n + 1) // 3 THEN 1 WHEN rm <= (2 * n) // 3 THEN 2 ELSE 3 END AS M_Score
+         CASE WHEN rf <= e1 THEN 1 WHEN rf <= e2 THEN 2 ELSE 3 END AS F_Score,
+         CASE WHEN rm <= e1 THEN 1 WHEN rm <= e2 THEN 2 ELSE 3 END AS M_Score
   FROM ranked, cuts),
 rfm AS (SELECT *, R_Score + F_Score + M_Score AS RFM_Score FROM scores),
 seg AS (SELECT *, CASE WHEN RFM_Score > 0 AND RFM_Score <= 3 THEN 'Low Value'
