@@ -244,6 +244,7 @@ _Q1, _Q2 = (float(q) for q in __import__("numpy").true_divide(
 
 
 def _lerp_sql(a: str, b: str, t: str) -> str:
+    a, b = f"({a})", f"({b})"
     return f"(CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END)"
 
 
