@@ -53,6 +53,13 @@ def test_bad_values_are_dropped(spark):
     assert (row.TotalValue, row.Year, row.Hour, row.DayOfWeek) == (3.0, 2011, 10, 6)  # 2011-01-02 is a Sunday
 
 
+def test_month_first_dates_parse(spark):
+    df = spark.createDataFrame([("12/1/2010 8:26",), ("2011-12-09 12:50:00",), ("13/45/2010 8:26",)],
+                               "InvoiceDate string")
+    got = sorted(r.InvoiceDate for r in C.parse_dates(df).collect())
+    assert got == [dt.datetime(2010, 12, 1, 8, 26), dt.datetime(2011, 12, 9, 12, 50)]
+
+
 def test_floor_ms(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),)], "InvoiceDate timestamp_ntz")
     assert C.floor_ms(df).first().InvoiceDate == dt.datetime(2024, 1, 1, 0, 0, 7, 179000)
@@ -176,6 +183,24 @@ def test_kth_smallest_is_percentile_disc(spark):
         assert got == want, n
 
 
+def test_percentile_disc_window_and_fallback(spark):
+    import random
+
+    from tillroll.plans.ranking import percentile_disc
+
+    rnd = random.Random(3)
+    vals = [float(rnd.randint(0, 500)) for _ in range(5000)] + [250.0] * 3000  # a hot value
+    df = spark.createDataFrame([(v,) for v in vals], "TotalValue double")
+    want_sorted = sorted(vals)
+    for p in (0.05, 0.5, 0.95, 1.0):
+        import math
+        k = max(math.ceil(p * len(vals) - 1e-9), 1)
+        for acc in (100, 100_000):  # coarse sketch may miss: exact fallback
+            got = percentile_disc(df, "TotalValue", p, accuracy=acc).first().TotalValue
+            assert got == want_sorted[k - 1], (p, acc)
+    assert percentile_disc(df.limit(0), "TotalValue", 0.5).count() == 0
+
+
 def test_histogram_bins(spark):
     df = spark.createDataFrame([(float(v),) for v in range(101)], "TotalValue double")
     h = K.histogram(df, bins=50).collect()

@@ -15,12 +15,22 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import UNKNOWN_PRODUCT
 
 
-def parse_dates(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
-    """Text -> timestamp (no time zone); unparsable -> null -> dropped."""
+# Text layouts accepted for InvoiceDate besides ISO
+# ``yyyy-MM-dd[ HH:mm[:ss[.SSS]]]`` (month-first, as in the raw retail export).
+DATE_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy H:mm"]
+
+
+def parse_dates(df: DataFrame, col: str = "InvoiceDate", formats: list[str] | None = None) -> DataFrame:
+    """Text -> timestamp without time zone; unparsable -> null -> dropped.
+
+    ISO text is cast directly (no zone involved); other layouts are tried in
+    the order of ``formats`` and read as wall-clock time."""
     raw = F.col(col)
     if dict(df.dtypes)[col] == "string":
-        parsed = F.try_to_timestamp(raw, F.lit(fmt)) if fmt else F.try_to_timestamp(raw)
-        parsed = parsed.cast("timestamp_ntz")
+        fmts = DATE_FORMATS if formats is None else formats
+        tries = [raw.try_cast("timestamp_ntz")]
+        tries += [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in fmts]
+        parsed = F.coalesce(*tries) if len(tries) > 1 else tries[0]
     else:
         parsed = raw
     return df.withColumn(col, parsed).filter(F.col(col).isNotNull())

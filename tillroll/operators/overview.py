@@ -41,16 +41,19 @@ def order_value_percentile(orders: DataFrame, p: float = 0.95, exact: bool = Fal
                            accuracy: int = 10000) -> DataFrame:
     """K5 on an order-value table: one row ``upper_limit``.
 
-    Default is ``percentile_approx`` (bounded memory per task at any scale).
+    Default is ``percentile_approx`` (one pass, bounded memory per task).
     ``exact=True`` gives ``percentile_disc`` semantics (smallest value whose
-    cumulative share is >= p) through a distributed rank: order values are
-    range-partitioned, never gathered into one task.
+    cumulative share is >= p): the approximate answer narrows the search to
+    a thin window and only that window is ranked (see
+    :func:`tillroll.plans.ranking.percentile_disc`); the order table is
+    checkpointed first because it is read more than once.
     """
     if not exact:
         return orders.agg(F.percentile_approx("TotalValue", p, accuracy).alias("upper_limit"))
-    from tillroll.plans.ranking import kth_smallest
+    from tillroll.plans.lineage import checkpointed
+    from tillroll.plans.ranking import percentile_disc
 
-    return kth_smallest(orders, ["TotalValue"], p=p).select(F.col("TotalValue").alias("upper_limit"))
+    return percentile_disc(checkpointed(orders), "TotalValue", p).select(F.col("TotalValue").alias("upper_limit"))
 
 
 def order_value_p95(df: DataFrame, p: float = 0.95, exact: bool = False) -> DataFrame:
@@ -60,13 +63,16 @@ def order_value_p95(df: DataFrame, p: float = 0.95, exact: bool = False) -> Data
 
 def trimmed_order_values(df: DataFrame, p: float = 0.95, exact: bool = False) -> DataFrame:
     """K6: orders whose value is at or under the percentile. The limit is a
-    one-row table joined by broadcast; nothing goes through the driver."""
+    one-row table joined by broadcast; only scalars reach the driver."""
     orders = order_values(df)
     if exact:
         from tillroll.plans.lineage import checkpointed
+        from tillroll.plans.ranking import percentile_disc
 
         orders = checkpointed(orders)
-    limit = order_value_percentile(orders, p, exact)
+        limit = percentile_disc(orders, "TotalValue", p).select(F.col("TotalValue").alias("upper_limit"))
+    else:
+        limit = order_value_percentile(orders, p)
     return (orders.crossJoin(F.broadcast(limit))
                   .filter(F.col("TotalValue") <= F.col("upper_limit"))
                   .select("InvoiceNo", "TotalValue"))

@@ -11,7 +11,9 @@ one row per partition, gives each partition its offset and is broadcast.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,3 +63,30 @@ def kth_smallest(df: DataFrame, order_cols: list, k: int | None = None, p: float
     else:
         target = F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("_n")), F.lit(1))
     return ranked.filter(F.col("_k") == target).drop("_k", "_n")
+
+
+def percentile_disc(df: DataFrame, col: str, p: float, accuracy: int = 100_000) -> DataFrame:
+    """Exact ``percentile_disc(p)`` of a numeric column as a one-row table
+    (column ``col``; no row for empty input), without sorting the table.
+
+    ``percentile_approx`` places the k-th value (k = ceil(p n)) inside a
+    window whose rank width is about 4 n / ``accuracy``. One counting pass
+    gives the rows under the window; only the rows inside it are ranked
+    (distributed). Should the window miss k, the whole column is ranked
+    instead, so the answer is exact either way. Read ``df`` from a
+    checkpoint or table: it is scanned up to three times.
+    """
+    eps = 2.0 / accuracy
+    v = F.col(col)
+    head = df.agg(F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx(v, [max(p - eps, 0.0), min(p + eps, 1.0)], accuracy).alias("b")).first()
+    n = head["n"]
+    if n == 0:
+        return df.select(col).limit(0)
+    k = max(math.ceil(Fraction(str(p)) * n), 1)
+    lo, hi = head["b"]
+    inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
+    counts = df.agg(F.count_if(v < F.lit(lo)).alias("below"), F.count_if(inside).alias("m")).first()
+    if counts["below"] < k <= counts["below"] + counts["m"]:
+        return kth_smallest(df.filter(inside).select(col), [col], k=k - counts["below"])
+    return kth_smallest(df.select(col), [col], k=k)
