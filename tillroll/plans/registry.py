@@ -87,7 +87,10 @@ def profile_counts(spark, sf):
 
 
 def _described_run(spark, sf) -> tuple[B.MiningRun, DataFrame]:
-    lines = written_table(C.clean_basket_lines(_raw(spark, sf)), "basket_lines")
+    # Clean once, keep the columns mining and naming read, write it down:
+    # baskets, the product table and every report then scan these files.
+    lines = written_table(C.clean_basket_lines(_raw(spark, sf))
+                          .select("InvoiceNo", "StockCode", "Description", "Quantity"), "basket_lines")
     run = B.mine_with_backoff(lines, DESCRIBED_LADDER, max_items=30)
     return run, B.product_dim(lines)
 
