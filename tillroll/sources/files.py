@@ -96,14 +96,24 @@ def write_rules_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("quote", '"').option("escape", '"').csv(path))
 
 
+def parse_list_text(c) -> "F.Column":
+    """List cell text -> array<string>. Accepts JSON (``["a","b"]``, what
+    :func:`write_rules_csv` writes) and Python-list text (``['a', 'b']``,
+    items in single quotes, or double quotes when they hold an apostrophe)."""
+    c = F.col(c) if isinstance(c, str) else c
+    as_json = F.from_json(c, T.ArrayType(T.StringType()))
+    quoted = F.regexp_extract_all(c, F.lit(r"""('[^']*'|"[^"]*")"""), 1)
+    as_py = F.transform(quoted, lambda x: F.substring(x, 2, F.length(x) - 2))
+    return F.when(c.startswith('["') | (F.trim(c) == "[]"), as_json).otherwise(as_py)
+
+
 def read_rules_csv(spark: SparkSession, path: str, kind: str = "rules") -> DataFrame:
     """A5: read a rules (``kind="rules"``) or itemsets CSV back, arrays restored."""
     schema = RULES_CSV_SCHEMA if kind == "rules" else ITEMSETS_CSV_SCHEMA
     df = (spark.read.schema(schema).option("header", True).option("quote", '"')
           .option("escape", '"').csv(path))
-    arr = T.ArrayType(T.StringType())
     return df.select([
-        F.from_json(F.col(f.name), arr).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        parse_list_text(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in schema.fields
     ])
 
