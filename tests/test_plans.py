@@ -50,3 +50,25 @@ def test_global_rank_uses_range_partitions(spark):
 def test_lines_join_orders_by_shuffle(spark):
     text = plan(V.sales(spark, SF))
     assert "SortMergeJoin" in text
+
+
+def test_name_lookup_becomes_broadcast_at_runtime(spark):
+    from tillroll.operators import clean as C
+
+    df = C.standardize_description(C.filter_valid(V.raw_sales(spark, SF)))
+    df.collect()
+    text = plan(df)  # final adaptive plan after execution
+    assert "isFinalPlan=true" in text and "BroadcastHashJoin" in text
+
+
+def test_dashboard_plan(spark, tmp_path):
+    from tillroll.plans.dashboard import open_dashboard
+
+    path = str(tmp_path / "sales")
+    V.sales(spark, SF).write.parquet(path)
+    d = open_dashboard(spark, path, ["NATION_1"], "1995-01-01", "2001-12-31")
+    try:
+        assert d.panels["kpis"].first().total_invoices > 0
+        assert d.panels["heatmap_matrix"].count() == 7
+    finally:
+        d.close()
