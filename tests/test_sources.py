@@ -62,5 +62,8 @@ def test_reads_python_list_text(spark, tmp_path):
 
 
 def test_profile(spark):
-    r = A.profile(spark.range(5).withColumn("x", F.lit(1))).first()
+    df = spark.range(5).withColumn("x", F.lit(1))
+    r = A.profile(df).first()
     assert (r.n_rows, r.n_columns) == (5, 2)
+    assert [(r.column, r.type) for r in A.schema_table(df).collect()] == [("id", "bigint"), ("x", "int")]
+    assert A.sample_rows(df, 3).count() == 3

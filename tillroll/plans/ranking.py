@@ -33,15 +33,15 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "rank",
     ``order_cols`` (give a unique tie-break last), and optionally ``total``
     = the row count. Equal to ``row_number() OVER (ORDER BY ...)``.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_key(c) for c in order_cols]
-    ranged = checkpointed(
-        df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
-          .withColumn("_rid", F.monotonically_increasing_id()))
+    # Without an explicit count AQE may coalesce the range partitions; it
+    # only merges neighbours, so partition order still follows key order.
+    ranged_by = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = checkpointed(ranged_by.sortWithinPartitions(*keys)
+                          .withColumn("_rid", F.monotonically_increasing_id()))
     pid = F.shiftright("_rid", _ID_BITS)
     pos = F.col("_rid").bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-    # One row per partition: bounded by n_parts, so the unpartitioned
+    # One row per partition: bounded by the partition count, so the unpartitioned
     # window and the broadcast below are over a few thousand rows at most.
     counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

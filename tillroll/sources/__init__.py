@@ -5,6 +5,8 @@ from tillroll.sources.files import (  # noqa: F401
     read_raw,
     read_rules_csv,
     read_sales,
+    sample_rows,
+    schema_table,
     write_rules_csv,
     write_sales,
 )

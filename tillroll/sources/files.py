@@ -124,6 +124,18 @@ def profile(df: DataFrame) -> DataFrame:
         "n_rows", F.lit(len(df.columns)).alias("n_columns"))
 
 
+def schema_table(df: DataFrame) -> DataFrame:
+    """The schema as rows (position, column, type, nullable); metadata
+    only, no job runs."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a limit, reading only as many rows as needed)."""
+    return df.limit(n)
+
+
 def load_sales(spark: SparkSession, path: str, persist: bool = False) -> DataFrame:
     """A1 + C4b + A8: scan, normalise StockCode with trim(upper), optionally persist.
 
