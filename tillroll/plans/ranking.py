@@ -54,15 +54,26 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "rank",
     return res.drop("_rid", "_pid", "_off", "_total")
 
 
-def kth_smallest(df: DataFrame, order_cols: list, k: int | None = None, p: float | None = None) -> DataFrame:
+def kth_smallest(df: DataFrame, order_cols: list, k: int | None = None, p: float | None = None,
+                 tie_break: bool = False) -> DataFrame:
     """One row: the k-th smallest row in the order of ``order_cols`` or, with
-    ``p``, the ``ceil(p * n)``-th (percentile_disc). Empty input -> no row."""
-    ranked = global_row_number(df, order_cols, "_k", total="_n")
+    ``p``, the ``ceil(p * n)``-th (percentile_disc). Empty input -> no row.
+
+    ``tie_break=True`` appends a generated row id to the order so that many
+    equal keys (one value held by a third of the rows) spread over several
+    range partitions instead of one; use it when only the key value of the
+    k-th row matters, which does not depend on how ties are ordered."""
+    keys = list(order_cols)
+    if tie_break:
+        df = df.withColumn("_tb", F.monotonically_increasing_id())
+        keys.append("_tb")
+    ranked = global_row_number(df, keys, "_k", total="_n")
     if k is not None:
         target = F.lit(k)
     else:
         target = F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("_n")), F.lit(1))
-    return ranked.filter(F.col("_k") == target).drop("_k", "_n")
+    out = ranked.filter(F.col("_k") == target).drop("_k", "_n")
+    return out.drop("_tb") if tie_break else out
 
 
 def percentile_disc(df: DataFrame, col: str, p: float, accuracy: int = 100_000) -> DataFrame:
@@ -88,5 +99,5 @@ def percentile_disc(df: DataFrame, col: str, p: float, accuracy: int = 100_000)
     inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
     counts = df.agg(F.count_if(v < F.lit(lo)).alias("below"), F.count_if(inside).alias("m")).first()
     if counts["below"] < k <= counts["below"] + counts["m"]:
-        return kth_smallest(df.filter(inside).select(col), [col], k=k - counts["below"])
-    return kth_smallest(df.select(col), [col], k=k)
+        return kth_smallest(df.filter(inside).select(col), [col], k=k - counts["below"], tie_break=True)
+    return kth_smallest(df.select(col), [col], k=k, tie_break=True)
