@@ -197,12 +197,13 @@ def top_itemsets(itemsets_described: DataFrame, n: int = 20, width: int = 75) ->
 
 
 def mining_summary(run: MiningRun) -> DataFrame:
-    """Baskets before/after the size limit, itemsets, rules, thresholds."""
-    counts = basket_limit_summary(run.baskets, run.max_items)
-    n_sets = run.itemsets.agg(F.count(F.lit(1)).alias("n_itemsets"))
-    n_rules = run.rules.agg(F.count(F.lit(1)).alias("n_rules"))
-    return (counts.select("n_baskets", F.col("n_kept").alias("n_used"))
-            .crossJoin(n_sets).crossJoin(n_rules)
-            .select("n_baskets", "n_used", "n_itemsets", "n_rules",
-                    F.lit(run.min_support).alias("min_support"),
-                    F.lit(run.min_confidence).alias("min_confidence")))
+    """Baskets before/after the size limit, itemsets, rules, thresholds
+    (one row of scalar subqueries)."""
+    counts = basket_limit_summary(run.baskets, run.max_items).select(
+        F.struct("n_baskets", F.col("n_kept").alias("n_used")).alias("c")).scalar()
+    n_sets = run.itemsets.agg(F.count(F.lit(1))).scalar()
+    n_rules = run.rules.agg(F.count(F.lit(1))).scalar()
+    return run.baskets.sparkSession.range(1).select(
+        counts.getField("n_baskets").alias("n_baskets"), counts.getField("n_used").alias("n_used"),
+        n_sets.alias("n_itemsets"), n_rules.alias("n_rules"),
+        F.lit(run.min_support).alias("min_support"), F.lit(run.min_confidence).alias("min_confidence"))

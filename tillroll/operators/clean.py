@@ -119,7 +119,7 @@ def clean_summary(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Rows and distinct codes after cleaning (+ lookup size if given)."""
     out = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("StockCode").alias("n_codes"))
     if lookup is not None:
-        out = out.crossJoin(F.broadcast(lookup.agg(F.count(F.lit(1)).alias("n_lookup"))))
+        out = out.withColumn("n_lookup", lookup.agg(F.count(F.lit(1))).scalar())
     return out
 
 

@@ -63,34 +63,32 @@ def order_value_p95(df: DataFrame, p: float = 0.95, exact: bool = False) -> Data
 
 def trimmed_order_values(df: DataFrame, p: float = 0.95, exact: bool = False) -> DataFrame:
     """K6: orders whose value is at or under the percentile. The limit is a
-    one-row table joined by broadcast; only scalars reach the driver."""
+    scalar subquery (run once, inlined into the filter)."""
     orders = order_values(df)
     if exact:
         from tillroll.plans.lineage import checkpointed
         from tillroll.plans.ranking import percentile_disc
 
         orders = checkpointed(orders)
-        limit = percentile_disc(orders, "TotalValue", p).select(F.col("TotalValue").alias("upper_limit"))
+        limit = percentile_disc(orders, "TotalValue", p).select("TotalValue")
     else:
         limit = order_value_percentile(orders, p)
-    return (orders.crossJoin(F.broadcast(limit))
-                  .filter(F.col("TotalValue") <= F.col("upper_limit"))
-                  .select("InvoiceNo", "TotalValue"))
+    return orders.filter(F.col("TotalValue") <= limit.scalar()).select("InvoiceNo", "TotalValue")
 
 
 def histogram(values: DataFrame, col: str = "TotalValue", bins: int = 50) -> DataFrame:
     """K7 core: ``bins`` equal-width bins from min to max; the max falls in
     the last bin; if min = max every row is in bin 1. Empty bins are kept
-    (left join from a ``bins``-row spine)."""
+    (left join from a ``bins``-row spine; the counts table has at most
+    ``bins`` rows, so it is broadcast). Min and max are one scalar subquery."""
     v = F.col(col)
-    bounds = values.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width > 0, F.least(F.floor((v - F.col("lo")) * bins / width).cast("int") + 1, F.lit(bins))) \
-         .otherwise(F.lit(1))
-    counts = (values.crossJoin(F.broadcast(bounds)).select(b.alias("bin"))
-                    .groupBy("bin").agg(F.count(F.lit(1)).alias("n_orders")))
-    spine = (bounds.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi"))
-    edge = lambda k: F.col("lo") + (F.col("hi") - F.col("lo")) * k / bins
+    bounds = values.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias("b")).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    width = hi - lo
+    b = F.when(width > 0, F.least(F.floor((v - lo) * bins / width).cast("int") + 1, F.lit(bins))).otherwise(F.lit(1))
+    counts = values.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n_orders"))
+    spine = values.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    edge = lambda k: lo + (hi - lo) * k / bins
     return (spine.join(F.broadcast(counts), "bin", "left")
                  .select("bin", edge(F.col("bin") - 1).alias("bin_start"), edge(F.col("bin")).alias("bin_end"),
                          F.coalesce(F.col("n_orders"), F.lit(0)).alias("n_orders"))

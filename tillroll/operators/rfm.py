@@ -33,17 +33,15 @@ def rfm_base(df: DataFrame) -> DataFrame:
     """R2: per customer Recency (days from their last invoice to the latest
     one overall), Frequency (distinct invoices), Monetary (revenue).
 
-    The overall latest date is the max over the per-customer maxima, so the
-    lines are scanned once; the one-row date table is broadcast."""
+    The overall latest date is the max over the per-customer maxima (a
+    scalar subquery over the same aggregate, whose shuffle is reused)."""
     per = (df.filter(F.col("CustomerID").isNotNull())
              .groupBy("CustomerID")
              .agg(F.max("InvoiceDate").alias("_last"),
                   F.countDistinct("InvoiceNo").alias("Frequency"),
                   money_sum("TotalValue").alias("Monetary")))
-    ref = per.agg(F.max("_last").alias("_ref"))
-    return (per.crossJoin(F.broadcast(ref))
-               .select("CustomerID", F.datediff(F.col("_ref"), F.col("_last")).alias("Recency"),
-                       "Frequency", "Monetary"))
+    ref = per.agg(F.max("_last")).scalar()
+    return per.select("CustomerID", F.datediff(ref, F.col("_last")).alias("Recency"), "Frequency", "Monetary")
 
 
 def _lerp(a, b, t: float):
@@ -52,23 +50,24 @@ def _lerp(a, b, t: float):
 
 
 def recency_cuts(base: DataFrame, n: int) -> DataFrame:
-    """One row: the two tercile cut values of Recency (``r_cut1``, ``r_cut2``)."""
+    """One row, one struct column ``cuts``: the two tercile cut values of
+    Recency (``r_cut1``, ``r_cut2``)."""
     hist = base.groupBy("Recency").agg(F.count(F.lit(1)).alias("_c"))
     run = hist.select("Recency", F.sum("_c").over(Window.orderBy("Recency")).alias("_cum"))
     at = lambda pos: F.min(F.when(F.col("_cum") >= pos + 1, F.col("Recency")))
     (l1, h1, t1), (l2, h2, t2) = cut_positions(max(n, 1))
     vals = run.agg(at(l1).alias("_a1"), at(h1).alias("_b1"), at(l2).alias("_a2"), at(h2).alias("_b2"))
-    return vals.select(_lerp(F.col("_a1"), F.col("_b1"), t1).alias("r_cut1"),
-                       _lerp(F.col("_a2"), F.col("_b2"), t2).alias("r_cut2"))
+    return vals.select(F.struct(_lerp(F.col("_a1"), F.col("_b1"), t1).alias("r_cut1"),
+                                _lerp(F.col("_a2"), F.col("_b2"), t2).alias("r_cut2")).alias("cuts"))
 
 
 def rfm_r_score(base: DataFrame, n: int | None = None) -> DataFrame:
     """R_Score on an rfm_base table (``n`` = its row count if known)."""
     n = base.count() if n is None else n
-    cuts = recency_cuts(base, n)
-    score = (F.when(F.col("Recency") <= F.col("r_cut1"), 3)
-              .when(F.col("Recency") <= F.col("r_cut2"), 2).otherwise(1))
-    return base.crossJoin(F.broadcast(cuts)).withColumn("R_Score", score).drop("r_cut1", "r_cut2")
+    cuts = recency_cuts(base, n).scalar()
+    score = (F.when(F.col("Recency") <= cuts.getField("r_cut1"), 3)
+              .when(F.col("Recency") <= cuts.getField("r_cut2"), 2).otherwise(1))
+    return base.withColumn("R_Score", score)
 
 
 def rank_score(df: DataFrame, metric: str, out: str, n: int | None = None) -> DataFrame:
