@@ -72,3 +72,13 @@ def test_dashboard_plan(spark, tmp_path):
         assert d.panels["heatmap_matrix"].count() == 7
     finally:
         d.close()
+
+
+def test_no_registered_query_pairs_rows(spark):
+    """No Cartesian product or nested-loop join in any registered plan."""
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        text = plan(fn(spark, SF))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in text, (name, bad)

@@ -124,17 +124,14 @@ def clean_summary(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
 
 
 def weekday_profile(df: DataFrame) -> DataFrame:
-    """Rows per DayOfWeek with names, and whether Saturday occurs.
-
-    At most 7 groups, so the flag is a window over the 7-row result."""
-    from pyspark.sql import Window
-
+    """Rows per DayOfWeek with names, and whether Saturday occurs (a
+    scalar subquery over the same at-most-7-row aggregate)."""
     from tillroll.functions.columns import weekday_name
 
     per_day = df.groupBy("DayOfWeek").agg(F.count(F.lit(1)).alias("n_rows"))
-    return per_day.select(
-        "DayOfWeek", weekday_name("DayOfWeek").alias("Weekday"), "n_rows",
-        F.bool_or(F.col("DayOfWeek") == 5).over(Window.partitionBy()).alias("has_saturday"))
+    has_saturday = per_day.agg(F.bool_or(F.col("DayOfWeek") == 5)).scalar()
+    return per_day.select("DayOfWeek", weekday_name("DayOfWeek").alias("Weekday"), "n_rows",
+                          has_saturday.alias("has_saturday"))
 
 
 def filter_valid(raw: DataFrame) -> DataFrame:
