@@ -39,6 +39,23 @@ def test_sales_parquet_round_trip_keeps_ms_timestamps(spark, tmp_path):
     assert "ms" in str(pq.read_schema(f).field("InvoiceDate").type)
 
 
+def test_partitioned_write_prunes(spark, tmp_path):
+    import contextlib
+    import io
+
+    from tillroll.operators import filters as FL
+
+    path = str(tmp_path / "by_month")
+    A.write_sales(V.sales(spark, SF), path, partition_by=["Year", "Month"])
+    back = A.read_sales(spark, path)
+    assert back.count() == V.sales(spark, SF).count()
+    q = FL.filter_sales(back.filter("Year = 1996 AND Month = 3"), countries=["NATION_1"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    assert "PartitionFilters: [isnotnull(Year" in buf.getvalue()
+
+
 def test_rules_csv_round_trip(spark, tmp_path):
     rules = spark.createDataFrame(
         [(["A1", "B2"], ["C3"], 0.75, 12.5, 0.01, ["A1: RED MUG", "B2: DOLLY'S CUP"], ["C3: TEA, GREEN"])],
