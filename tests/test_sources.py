@@ -84,3 +84,18 @@ def test_profile(spark):
     assert (r.n_rows, r.n_columns) == (5, 2)
     assert [(r.column, r.type) for r in A.schema_table(df).collect()] == [("id", "bigint"), ("x", "int")]
     assert A.sample_rows(df, 3).count() == 3
+
+
+def test_mine_and_report_writes_the_four_reports(spark, tmp_path):
+    from tillroll.plans.mining import REPORTS, mine_and_report
+
+    lines = C.clean_basket_lines(V.raw_sales(spark, SF))
+    summary = mine_and_report(lines, str(tmp_path), ladder=((0.02, 0.1),))
+    s = summary.first()
+    rules = A.read_rules_csv(spark, str(tmp_path / REPORTS[1]))
+    assert rules.count() == s.n_rules > 0
+    assert A.read_rules_csv(spark, str(tmp_path / REPORTS[0]), "itemsets").count() == s.n_itemsets
+    assert A.read_rules_csv(spark, str(tmp_path / REPORTS[2])).count() == min(20, s.n_rules)
+    friendly = spark.read.option("header", True).csv(str(tmp_path / REPORTS[3]))
+    assert friendly.columns == ["rule_id", "antecedent_codes", "antecedent_descriptions", "consequent_codes",
+                                "consequent_descriptions", "confidence", "lift"]

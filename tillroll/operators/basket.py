@@ -103,6 +103,11 @@ class MiningRun:
     def rules(self) -> DataFrame:
         return association_rules(self.model)
 
+    def close(self) -> None:
+        """Release the cached baskets and itemsets."""
+        self.model.freqItemsets.unpersist()
+        self.used.unpersist()
+
 
 def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int = 30,
                       item_col: str = "StockCode", num_partitions: int | None = None) -> MiningRun:
