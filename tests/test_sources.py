@@ -99,3 +99,16 @@ def test_mine_and_report_writes_the_four_reports(spark, tmp_path):
     friendly = spark.read.option("header", True).csv(str(tmp_path / REPORTS[3]))
     assert friendly.columns == ["rule_id", "antecedent_codes", "antecedent_descriptions", "consequent_codes",
                                 "consequent_descriptions", "confidence", "lift"]
+
+
+def test_clean_to_parquet(spark, tmp_path):
+    from tillroll.plans.cleaning import clean_to_parquet
+
+    raw_dir = str(tmp_path / "raw")
+    V.raw_sales(spark, SF).write.option("header", True).csv(raw_dir)
+    summary, days = clean_to_parquet(spark, raw_dir, str(tmp_path / "sales"), str(tmp_path / "basket"),
+                                     partition_by=["Year", "Month"])
+    s = summary.first()
+    assert s.n_rows == C.clean_sales(V.raw_sales(spark, SF)).count()
+    assert days.agg(F.sum("n_rows")).first()[0] == s.n_rows
+    assert A.read_sales(spark, str(tmp_path / "basket")).filter(F.col("StockCode").rlike(r"\\s|[a-z]")).count() == 0
