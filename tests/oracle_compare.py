@@ -22,13 +22,16 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = bool(__import__("os").environ.get("ORACLE_STRICT"))
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if isinstance(v, bool):
         return v
     if isinstance(v, int):
