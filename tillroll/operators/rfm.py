@@ -118,7 +118,9 @@ def segment_counts(segments: DataFrame) -> DataFrame:
 
 
 def rfm_sample(segments: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
-    """Repeatable sample of exactly ``n`` customers (all if fewer):
-    the ``n`` smallest seeded hashes of CustomerID, a top-k, no shuffle of
-    the whole table to one task."""
-    return segments.orderBy(F.xxhash64(F.lit(seed), F.col("CustomerID")), F.col("CustomerID")).limit(n)
+    """Repeatable sample of exactly ``n`` customers (all if fewer): the
+    ``n`` smallest ``md5("<seed>:<CustomerID>")`` values. A top-k (each task
+    keeps its best ``n``), so no shuffle of the whole table to one task; md5
+    makes the order reproducible in any engine."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("CustomerID").cast("string")))
+    return segments.orderBy(key, F.col("CustomerID")).limit(n)

@@ -406,6 +406,8 @@ FROM gr WHERE Country IS NOT NULL AND Year IS NOT NULL AND Month IS NOT NULL AND
     q["segment_counts"] = _with(SN, RFM_BASE, RFM_SCORES) + """SELECT s.Segment, COALESCE(c.n, 0) AS Count
 FROM (VALUES ('Low Value'), ('Mid Value'), ('High Value')) s(Segment)
 LEFT JOIN (SELECT Segment, COUNT(*) AS n FROM seg GROUP BY Segment) c ON c.Segment = s.Segment"""
+    q["rfm_sample"] = _with(SN, RFM_BASE, RFM_SCORES) + """SELECT * FROM seg
+ORDER BY md5('42:' || CAST(CustomerID AS VARCHAR)), CustomerID LIMIT 1000"""
     # B
     q["product_dim"] = _with(CLEAN_BASKET, DIM) + "SELECT * FROM dim"
     q["baskets"] = _with(basket_source_cte("p_type"), baskets_cte("basket_source")) + f"""SELECT InvoiceNo,
