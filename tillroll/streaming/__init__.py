@@ -1,8 +1,5 @@
 """Streaming.
 
-The analysed workload is batch only: no stream source, watermark, session
-window or custom state exists in it, so nothing is built here. The batch
-operators are plain DataFrame functions; the stateless ones (cleaning
-steps C1-C4, C9-C11, filters) also apply unchanged to a ``readStream``
-DataFrame, while the lookup-based and ranked ones need the whole table.
+The analysed workload is batch only: it has no stream source, watermark,
+session window or custom state, so nothing is built here.
 """
