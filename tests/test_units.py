@@ -159,7 +159,7 @@ def test_describe_keeps_order_and_falls_back(spark):
     r = B.describe_rules(rules, dim).first()
     assert r.antecedent_with_desc == ["b: Bread", "a: Apple"]
     assert r.consequent_with_desc == ["z: Không có mô tả"]
-    f = B.friendly_rules(B.describe_rules(rules, dim)).first()
+    f = B.friendly_rules(rules, dim).first()
     assert (f.rule_id, f.antecedent_codes, f.antecedent_descriptions) == (1, "b, a", "Bread; Apple")
 
 

@@ -162,14 +162,25 @@ def _rule_order(by: str):
             F.array_join("antecedent", ","), F.array_join("consequent", ",")]
 
 
-def top_rules(rules: DataFrame, by: str = "confidence", n: int = 20) -> DataFrame:
+def _rule_label(df: DataFrame) -> DataFrame:
+    return df.withColumn("rule", F.concat(list_repr("antecedent_with_desc"), F.lit(" → "),
+                                          list_repr("consequent_with_desc")))
+
+
+def top_rules(rules: DataFrame, by: str = "confidence", n: int = 20, dim: DataFrame | None = None) -> DataFrame:
     """B13 (by confidence) / B14 (by lift) + B15 label
-    ``[antecedent names] → [consequent names]``."""
-    out = rules.orderBy(*_rule_order(by)).limit(n)
+    ``[antecedent names] → [consequent names]``.
+
+    With ``dim`` the top ``n`` are chosen on the bare rules and only those
+    rows are named (the order needs no names); rules already named (e.g.
+    read back from CSV) are labelled as they are."""
+    order = _rule_order(by)
+    top = rules.orderBy(*order).limit(n)
+    if dim is not None:
+        return _rule_label(describe_rules(top, dim)).orderBy(*order)
     if "antecedent_with_desc" in rules.columns:
-        out = out.withColumn("rule", F.concat(list_repr("antecedent_with_desc"), F.lit(" → "),
-                                              list_repr("consequent_with_desc")))
-    return out
+        return _rule_label(top)
+    return top
 
 
 def number_rules(rules: DataFrame) -> DataFrame:
@@ -181,11 +192,13 @@ def number_rules(rules: DataFrame) -> DataFrame:
     return global_row_number(keyed, ["_a", "_c"], "rule_id").drop("_a", "_c")
 
 
-def friendly_rules(rules_described: DataFrame, n: int = 20) -> DataFrame:
-    """Readable top-``n`` report by confidence: codes joined by ``, ``,
-    names joined by ``; ``."""
-    top = top_rules(number_rules(rules_described), "confidence", n)
-    return top.select(
+def friendly_rules(rules: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
+    """Readable top-``n`` report by confidence: rule number, codes
+    joined by ``, ``, names joined by ``; ``, confidence, lift. Rules are
+    numbered over all rules; only the top ``n`` are named."""
+    order = _rule_order("confidence")
+    top = number_rules(rules).orderBy(*order).limit(n)
+    return describe_rules(top, dim).orderBy(*order).select(
         F.col("rule_id").cast("int").alias("rule_id"),
         F.array_join("antecedent", ", ").alias("antecedent_codes"),
         F.array_join("antecedent_names", "; ").alias("antecedent_descriptions"),
@@ -194,11 +207,14 @@ def friendly_rules(rules_described: DataFrame, n: int = 20) -> DataFrame:
         "confidence", "lift")
 
 
-def top_itemsets(itemsets_described: DataFrame, n: int = 20, width: int = 75) -> DataFrame:
-    """Top ``n`` itemsets by freq with display text cut to ``width``."""
-    return (itemsets_described.orderBy(F.desc("freq"), F.array_join("items", ","))
-            .limit(n)
-            .withColumn("items_display", truncate_text(list_repr("items_with_desc"), width)))
+def top_itemsets(itemsets: DataFrame, dim: DataFrame | None = None, n: int = 20, width: int = 75) -> DataFrame:
+    """Top ``n`` itemsets by freq with display text cut to ``width``
+    (named after the cut when ``dim`` is given)."""
+    order = [F.desc("freq"), F.array_join("items", ",")]
+    top = itemsets.orderBy(*order).limit(n)
+    if dim is not None:
+        top = describe_itemsets(top, dim).orderBy(*order)
+    return top.withColumn("items_display", truncate_text(list_repr("items_with_desc"), width))
 
 
 def mining_summary(run: MiningRun) -> DataFrame:

@@ -28,9 +28,9 @@ def mine_and_report(lines: DataFrame, out_dir: str, ladder=B.DEFAULT_LADDER, max
     out = out_dir.rstrip("/")
     write_rules_csv(B.describe_itemsets(run.itemsets, dim), f"{out}/{REPORTS[0]}")
     write_rules_csv(rules.drop("antecedent_names", "consequent_names"), f"{out}/{REPORTS[1]}")
-    write_rules_csv(B.top_rules(rules, "confidence", top_n).drop("antecedent_names", "consequent_names", "rule"),
+    write_rules_csv(B.top_rules(run.rules, "confidence", top_n, dim).drop("antecedent_names", "consequent_names", "rule"),
                     f"{out}/{REPORTS[2]}")
-    write_rules_csv(B.friendly_rules(rules, top_n), f"{out}/{REPORTS[3]}")
+    write_rules_csv(B.friendly_rules(run.rules, dim, top_n), f"{out}/{REPORTS[3]}")
     summary = B.mining_summary(run)
     summary = summary.sparkSession.createDataFrame(summary.collect(), summary.schema)  # one row
     run.close()

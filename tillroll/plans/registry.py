@@ -363,22 +363,22 @@ def itemsets_described(spark, sf):
 
 def top_rules_confidence(spark, sf):
     run, dim = _described_run(spark, sf)
-    return flat(B.top_rules(B.describe_rules(run.rules, dim), "confidence"))
+    return flat(B.top_rules(run.rules, "confidence", dim=dim))
 
 
 def top_rules_lift(spark, sf):
     run, dim = _described_run(spark, sf)
-    return flat(B.top_rules(B.describe_rules(run.rules, dim), "lift"))
+    return flat(B.top_rules(run.rules, "lift", dim=dim))
 
 
 def friendly_rules(spark, sf):
     run, dim = _described_run(spark, sf)
-    return B.friendly_rules(B.describe_rules(run.rules, dim))
+    return B.friendly_rules(run.rules, dim)
 
 
 def top_itemsets(spark, sf):
     run, dim = _described_run(spark, sf)
-    return flat(B.top_itemsets(B.describe_itemsets(run.itemsets, dim)))
+    return flat(B.top_itemsets(run.itemsets, dim))
 
 
 def mining_summary(spark, sf):
