@@ -112,3 +112,15 @@ def test_clean_to_parquet(spark, tmp_path):
     assert s.n_rows == C.clean_sales(V.raw_sales(spark, SF)).count()
     assert days.agg(F.sum("n_rows")).first()[0] == s.n_rows
     assert A.read_sales(spark, str(tmp_path / "basket")).filter(F.col("StockCode").rlike(r"\\s|[a-z]")).count() == 0
+
+
+def test_raw_json_and_parquet_ingest(spark, tmp_path):
+    raw = V.raw_sales(spark, SF)
+    jpath, ppath = str(tmp_path / "raw_json"), str(tmp_path / "raw_parquet")
+    raw.write.json(jpath)
+    raw.write.parquet(ppath)
+    want = C.clean_sales(raw).count()
+    for path, fmt in ((jpath, "json"), (ppath, "parquet")):
+        back = A.read_raw(spark, path, fmt)
+        assert back.schema == A.RAW_SCHEMA
+        assert C.clean_sales(back).count() == want
