@@ -82,3 +82,23 @@ def test_no_registered_query_pairs_rows(spark):
         text = plan(fn(spark, SF))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in text, (name, bad)
+
+
+def test_clean_lines_are_not_shuffled_for_the_name_lookup(spark):
+    from tillroll.operators import clean as C
+
+    df = C.clean_sales(V.raw_sales(spark, SF))
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert "hashpartitioning(StockCode" not in text.split("BroadcastExchange")[0]
+
+
+def test_lookup_join_falls_back_to_a_shuffle_join(spark):
+    from tillroll.plans.lookup import join_lookup
+
+    big = spark.range(2000).select((F.col("id") % 50).alias("k"), F.col("id"))
+    lookup = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    a = join_lookup(big, lookup, "k", max_rows=10**6)
+    b = join_lookup(big, lookup, "k", max_rows=10)
+    assert "BroadcastHashJoin" in plan(a)
+    assert sorted(a.collect()) == sorted(b.collect())

@@ -2,8 +2,9 @@
 
 Item arrays are always sorted (``array_sort``) before they are compared or
 written. Names are attached by exploding item arrays with their position,
-joining the product table (AQE broadcasts it when it is measured small)
-and re-assembling in position order; no driver-side dictionary.
+joining the product table (size-checked broadcast, see
+:mod:`tillroll.plans.lookup`) and re-assembling in position order; no
+driver-side dictionary.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import NO_DESCRIPTION, list_repr, truncate_text
+from tillroll.plans.lookup import join_lookup
 
 # Support/confidence ladder of the mining run: first rung that finds any
 # frequent itemset wins (fixed values of the reference run).
@@ -136,7 +138,7 @@ def _describe(df: DataFrame, arr: str, dim: DataFrame, prefix: str | None = None
     keep = df.columns
     exploded = df.select(*keep, F.posexplode(arr).alias("_pos", "_code"))
     d = dim.select(F.col("StockCode").alias("_code"), F.col("Description").alias("_name"))
-    named = exploded.join(d, "_code", "left").withColumn(
+    named = join_lookup(exploded, d, "_code", "left").withColumn(
         "_name", F.coalesce(F.col("_name"), F.lit(NO_DESCRIPTION)))
     parts = F.array_sort(F.collect_list(F.struct("_pos", "_code", "_name")))
     grouped = named.groupBy(*keep).agg(parts.alias("_parts"))

@@ -2,9 +2,9 @@
 
 Raw columns are text; bad values become null through ``try_*`` functions
 (ANSI mode stays on) and those rows are dropped. The product lookup is one
-row per code, built by aggregation, and joined back with a plain left join:
-AQE turns it into a broadcast join when the measured lookup is small and
-keeps a shuffle join when it is not.
+row per code, built by aggregation, checkpointed and counted, then joined
+back: broadcast when it is small (the lines are never shuffled for it), a
+shuffle join with AQE skew splitting when it is not.
 """
 
 from __future__ import annotations
@@ -81,17 +81,23 @@ def modal_description(df: DataFrame) -> DataFrame:
 
 def standardize_description(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """C7 + C8: replace Description by the lookup's name (left join on the
-    code); codes without one get ``Unknown Product``."""
+    code); codes without one get ``Unknown Product``. The lookup is
+    size-checked before the join (:func:`tillroll.plans.lookup.join_lookup`),
+    so the lines are not shuffled when it is small."""
+    from tillroll.plans.lookup import join_lookup
+
     lookup = modal_description(df) if lookup is None else lookup
     cols = df.columns
-    joined = df.drop("Description").join(lookup, "StockCode", "left")
+    joined = join_lookup(df.drop("Description"), lookup, "StockCode", "left")
     return joined.withColumn("Description", F.coalesce(F.col("Description"), F.lit(UNKNOWN_PRODUCT))).select(cols)
 
 
 def missing_description(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """C8 check: rows left without a name after the join (one row)."""
+    from tillroll.plans.lookup import join_lookup
+
     lookup = modal_description(df) if lookup is None else lookup
-    joined = df.drop("Description").join(lookup, "StockCode", "left")
+    joined = join_lookup(df.drop("Description"), lookup, "StockCode", "left")
     return joined.agg(F.count_if(F.col("Description").isNull()).alias("n_missing"))
 
 
