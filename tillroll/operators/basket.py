@@ -154,8 +154,28 @@ def describe_itemsets(itemsets: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def describe_rules(rules: DataFrame, dim: DataFrame) -> DataFrame:
-    """Rules with names for both sides."""
-    return _describe(_describe(rules, "antecedent", dim), "consequent", dim)
+    """Rules with names for both sides.
+
+    Both sides are exploded in one pass (items tagged 0 = antecedent,
+    1 = consequent), so one lookup join and one grouping name a rule."""
+    keep = rules.columns
+    tag = lambda arr, k: F.transform(arr, lambda x: F.struct(F.lit(k).alias("side"), x.alias("code")))
+    exploded = rules.select(*keep, F.posexplode(F.concat(tag("antecedent", 0), tag("consequent", 1)))
+                            .alias("_pos", "_t"))
+    exploded = exploded.select(*keep, "_pos", F.col("_t.side").alias("_side"), F.col("_t.code").alias("_code"))
+    d = dim.select(F.col("StockCode").alias("_code"), F.col("Description").alias("_name"))
+    named = join_lookup(exploded, d, "_code", "left").withColumn(
+        "_name", F.coalesce(F.col("_name"), F.lit(NO_DESCRIPTION)))
+    parts = F.array_sort(F.collect_list(F.struct("_pos", "_side", "_code", "_name")))
+    grouped = named.groupBy(*keep).agg(parts.alias("_parts"))
+    side = lambda k: F.filter("_parts", lambda s: s["_side"] == k)
+    with_desc = lambda s: F.concat(s["_code"], F.lit(": "), s["_name"])
+    return grouped.select(
+        *keep,
+        F.transform(side(0), lambda s: s["_name"]).alias("antecedent_names"),
+        F.transform(side(0), with_desc).alias("antecedent_with_desc"),
+        F.transform(side(1), lambda s: s["_name"]).alias("consequent_names"),
+        F.transform(side(1), with_desc).alias("consequent_with_desc"))
 
 
 def _rule_order(by: str):
