@@ -102,3 +102,17 @@ def test_lookup_join_falls_back_to_a_shuffle_join(spark):
     b = join_lookup(big, lookup, "k", max_rows=10)
     assert "BroadcastHashJoin" in plan(a)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_dashboard_rfm_panels(spark):
+    from tillroll.plans.dashboard import build_dashboard, rfm_panels
+
+    d = build_dashboard(V.sales(spark, SF, null_customers=True))
+    try:
+        p = rfm_panels(d.sales)
+        n = d.sales.filter(F.col("CustomerID").isNotNull()).select("CustomerID").distinct().count()
+        assert p["segment_counts"].agg(F.sum("Count")).first()[0] == n
+        assert p["rfm_sample"].count() == min(1000, n)
+        assert set(d.panels) >= {"kpis", "heatmap_matrix", "growth_signed", "order_value_histogram"}
+    finally:
+        d.close()
