@@ -8,7 +8,7 @@ folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.session import ensure_checkpoint_dir, scratch_path
 
@@ -24,6 +24,45 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
 
     Use for a cleaned table that several later jobs scan: they then read
     columnar files with pushdown instead of re-running the cleaning plan."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return Scratch(df.sparkSession).table(df, name)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system layer (any store)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Written intermediate tables of one program run, deletable one by one.
+
+    ``table`` writes a frame under the checkpoint folder and returns the
+    frame that reads it; ``drop`` deletes the files of such a frame once no
+    later job reads it; ``close`` deletes the rest (also on leaving a
+    ``with`` block).
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[DataFrame, str] = {}
+
+    def table(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        writer = df.write.mode("overwrite")
+        (writer.option("compression", compression) if compression else writer).parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[back] = path
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            delete_path(self.spark, self.paths.pop(table))
+
+    def close(self) -> None:
+        self.drop(*list(self.paths))
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
