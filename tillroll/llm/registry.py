@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import chat
+from tillroll.llm import chat, linededup, shards
 
 QUERIES = {
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op5_minimax_shards": shards.op5_minimax_shards,
+    "op7_line_dedup": linededup.op7_line_dedup,
 }
 
 ORACLE_SQL = {
     "op4_chat_formatting": chat.OP4_SQL,
+    "op7_line_dedup": linededup.OP7_SQL,
 }
