@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import chat, linededup, shards
+from tillroll.llm import chat, decontam, linededup, shards
 
 QUERIES = {
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op5_minimax_shards": shards.op5_minimax_shards,
+    "op6_positional_index": decontam.op6_positional_index,
     "op7_line_dedup": linededup.op7_line_dedup,
 }
 
 ORACLE_SQL = {
     "op4_chat_formatting": chat.OP4_SQL,
+    "op6_positional_index": decontam.OP6_SQL,
     "op7_line_dedup": linededup.OP7_SQL,
 }
