@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import chat, decontam, linededup, shards
+from tillroll.llm import ann, chat, decontam, linededup, shards, simhash
 
 QUERIES = {
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op5_minimax_shards": shards.op5_minimax_shards,
     "op6_positional_index": decontam.op6_positional_index,
     "op7_line_dedup": linededup.op7_line_dedup,
+    "op9_simhash": simhash.op9_simhash,
+    "op10_block_matrix_knn": ann.op10_block_matrix_knn,
 }
 
 ORACLE_SQL = {
     "op4_chat_formatting": chat.OP4_SQL,
     "op6_positional_index": decontam.OP6_SQL,
     "op7_line_dedup": linededup.OP7_SQL,
+    "op10_block_matrix_knn": ann.OP10_SQL,
 }
