@@ -57,8 +57,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
              .repartitionByRange("h1", "h2", F.col("doc_id").desc())
              .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "tag", "pos"))
     held = scratch.table(dealt.groupBy("h1", "h2", "doc_id").agg(F.collect_set(F.struct("tag", "pos")).alias("places")), "line-holders")
-    common = (held.groupBy("h1", "h2").agg(F.count("doc_id").alias("holders"), F.max("doc_id").alias("keeper"))
-              .filter(F.col("holders") >= min_docs).drop("holders"))
+    # Written, so that the join below reads two plain shuffles and Spark can split a common key's rows.
+    common = scratch.table(held.groupBy("h1", "h2").agg(F.count("doc_id").alias("holders"), F.max("doc_id").alias("keeper"))
+                           .filter(F.col("holders") >= min_docs).drop("holders"), "common-lines")
     lost = held.join(common, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
 
     # Positions to runs: neighbours have the same distance to their rank.
