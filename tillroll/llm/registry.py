@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import ann, chat, decontam, linededup, shards, simhash
+from tillroll.llm import ann, chat, decontam, linededup, packing, shards, simhash
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op5_minimax_shards": shards.op5_minimax_shards,
     "op6_positional_index": decontam.op6_positional_index,
