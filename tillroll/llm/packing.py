@@ -12,7 +12,9 @@ rows, whatever the corpus holds):
 3. actual documents take the places of their group's rounded sizes;
 4. small pieces go, largest first, into the sequence with the least room that
    still takes them. Sequences with equal room are interchangeable, so this
-   too is worked out on a histogram, of room.
+   too is worked out on runs of sequences with equal room.
+
+A few borders between large and small are planned, the best is used.
 
 The driver only sees histograms and the resulting intervals of ranks. Which
 document takes which place follows from its rank among the pieces of its
@@ -49,7 +51,9 @@ from tillroll.plans.lineage import Scratch
 
 CAPACITY = 2_048
 CLOSING_ID = 0
-GROUPS = 256
+GROUPS = 128
+# A length is large above capacity / border; the border that needs the fewest sequences is taken.
+BORDERS = (2, 3, 4)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Fixed values of that vocabulary.
 SPECIAL = {"<|endoftext|>": 50256}
@@ -210,94 +214,91 @@ def plan_large(histogram: dict[int, int], capacity: int, groups: int = GROUPS) -
     return shares, used
 
 
-@dataclass
-class Fill:
-    """Ranks ``low`` to ``high`` (excluded) among the pieces of ``length`` go
-    round robin into ``count`` sequences with ``room``, from the ``first`` of
-    them on. ``room`` = capacity: new sequences."""
-    length: int
-    low: int
-    high: int
-    room: int
-    first: int
-    count: int
-
-
-def plan_small(histogram: dict[int, int], rooms: dict[int, int], capacity: int) -> list[Fill]:
-    """Best fit decreasing of small lengths into sequences counted by room."""
-    free: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # room now -> (room at first, first, count)
-    for room, count in rooms.items():
-        if room > 0:
-            free[room].append((room, 0, count))
-    opened, fills = 0, []
+def rooms_left(shares: list[Share], used: int, capacity: int) -> list[tuple[int, int, int]]:
+    """(room, first sequence, sequences) for runs of sequences with equal room."""
+    change: dict[int, int] = defaultdict(int)
+    for s in shares:
+        each, more = divmod(s.high - s.low, s.count)
+        change[s.first] += (each + 1) * s.length
+        change[s.first + more] -= s.length
+        change[s.first + s.count] -= each * s.length
+    edges, room, runs = sorted(k for k in change if k < used), capacity, []
+    for first, end in zip(edges, [*edges[1:], used]):
+        room -= change[first]
+        if end > first:
+            runs.append((room, first, end - first))
+    return runs
+
+
+def plan_small(histogram: dict[int, int], runs: list[tuple[int, int, int]], used: int, capacity: int) -> tuple[list[Share], int]:
+    """Best fit decreasing of small lengths into ``runs`` of sequences with
+    equal room; sequences from ``used`` on are new. Also the number in use."""
+    free: dict[int, list[tuple[int, int]]] = defaultdict(list)  # room -> (first, count)
+    for room, first, count in runs:
+        free[room].append((first, count))
+    shares: list[Share] = []
     for length in sorted(histogram, reverse=True):
         todo, done = histogram[length], 0
 
-        def put(share: tuple[int, int, int], room: int) -> None:
+        def put(first: int, count: int, room: int) -> None:
             nonlocal todo, done
-            origin, first, count = share
             each = room // length
             whole = min(count, todo // each)
             for n, copies in ((whole, each), (1, todo - whole * each if whole < count else 0)):
                 if n and copies:
-                    fills.append(Fill(length, done, done + n * copies, origin, first, n))
-                    free[room - copies * length].append((origin, first, n))
+                    shares.append(Share(length, done, done + n * copies, first, n))
+                    free[room - copies * length].append((first, n))
                     done, todo, first, count = done + n * copies, todo - n * copies, first + n, count - n
             if count:
-                free[room].append((origin, first, count))
+                free[room].append((first, count))
 
         for room in range(length, capacity):
-            shares, free[room] = free[room], []
-            for n, share in enumerate(shares):
-                if not todo:
-                    free[room] += shares[n:]
-                    break
-                put(share, room)
             if not todo:
                 break
+            runs_here, free[room] = free[room], []
+            for n, run in enumerate(runs_here):
+                if not todo:
+                    free[room] += runs_here[n:]
+                    break
+                put(*run, room)
         if todo:
             count = -(-todo // (capacity // length))
-            opened += count
-            put((capacity, opened - count, count), capacity)
-    return fills
+            put(used, count, capacity)
+            used += count
+    return shares, used
 
 
-# ---- distributed placement -------------------------------------------------
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[Share], int]:
+    """Places for every length, and the sequences used: the best of a few
+    borders between large and small."""
+    full = counts.get(capacity, 0)
+    plans = []
+    for border in BORDERS:
+        large = {n: c for n, c in counts.items() if capacity // border < n < capacity}
+        shares, used = plan_large(large, capacity, groups)
+        small = {n: c for n, c in counts.items() if n <= capacity // border}
+        more, used = plan_small(small, rooms_left(shares, used, capacity), used, capacity)
+        plans.append((used, shares + more))
+    used, shares = min(plans, key=lambda p: p[0])
+    return shares + ([Share(capacity, 0, full, used, full)] if full else []), used + full
 
-def _bounded(spark, rows: list, schema: str) -> DataFrame:
-    """A plan table: a few rows per possible length, so it may be broadcast."""
-    return F.broadcast(spark.createDataFrame([tuple(vars(r).values()) for r in rows], schema))
 
+# ---- distributed placement -------------------------------------------------
 
-def place(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
     """``uid``, ``sequence_id``, ``offset`` for every row of ``pieces``
-    (``uid``, ``length``)."""
-    spark = pieces.sparkSession
+    (``uid``, ``length``). The plan is broadcast: its rows are bounded by the
+    possible lengths and configurations, not by the corpus."""
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    large = {n: c for n, c in counts.items() if n > capacity // 8}
-    shares, used = plan_large(large, capacity, groups)
-    fields = "length int, low long, high long, {}first long, count long"
-    ranked = scratch.table(positions_within(pieces.select("uid", "length"), ["length"], ["uid"], "rank", sum(counts.values())), "ranks")
-
-    def dealt(rows: DataFrame, plan: DataFrame) -> DataFrame:
-        inside = (rows.length == plan.length) & (rows["rank"] >= plan.low) & (rows["rank"] < plan.high)
-        return rows.join(plan, inside).drop(plan.length).withColumn("place", F.col("first") + F.pmod(F.col("rank") - F.col("low"), F.col("count")))
-
-    first = scratch.table(dealt(ranked.filter(F.col("length") > capacity // 8), _bounded(spark, shares, fields.format("")))
-                          .select("uid", "length", F.col("place").alias("sequence_id")), "large-places")
-    sequences = scratch.table(positions_within(
-        first.groupBy("sequence_id").agg((capacity - F.sum("length")).cast("int").alias("room")),
-        ["room"], ["sequence_id"], "k", used), "rooms")
-    rooms = {r["room"]: r["n"] for r in sequences.groupBy("room").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fills = plan_small({n: c for n, c in counts.items() if n not in large}, rooms, capacity)
-    small = dealt(ranked.filter(F.col("length") <= capacity // 8), _bounded(spark, fills, fields.format("room int, ")))
-    new = small.filter(F.col("room") == capacity).select("uid", "length", (F.col("place") + used).alias("sequence_id"))
-    old = (small.filter(F.col("room") < capacity).withColumnRenamed("place", "k").join(sequences, ["room", "k"])
-           .select("uid", "length", "sequence_id"))
+    shares, _ = plan(counts, capacity, groups)
+    ranks = F.broadcast(pieces.sparkSession.createDataFrame(
+        [(s.length, s.low, s.high, s.first, s.count) for s in shares], "at_length int, low long, high long, first long, count long"))
+    ranked = positions_within(pieces.select("uid", "length"), ["length"], ["uid"], "rank", sum(counts.values()))
+    dealt = (ranked.join(ranks, (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+             .select("uid", "length", (F.col("first") + F.pmod(F.col("rank") - F.col("low"), F.col("count"))).alias("sequence_id")))
     inside = Window.partitionBy("sequence_id").orderBy(F.col("length").desc(), "uid")
     before = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    return (first.unionByName(old).unionByName(new)
-            .select("uid", "sequence_id", F.coalesce(before, F.lit(0)).cast("long").alias("offset")))
+    return dealt.select("uid", "sequence_id", F.coalesce(before, F.lit(0)).cast("long").alias("offset"))
 
 
 @dataclass
@@ -317,7 +318,7 @@ class Packing:
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, groups: int = GROUPS) -> Packing:
     scratch = Scratch(docs.sparkSession)
     pieces = tokenise(docs, scratch, vocabulary, capacity)
-    return Packing(pieces, place(pieces, scratch, capacity, groups))
+    return Packing(pieces, place(pieces, capacity, groups))
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:
