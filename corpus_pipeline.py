@@ -1,4 +1,69 @@
-"""The corpus pipeline (built up stage by stage)."""
+"""The corpus pipeline: documents in, packed training sequences out.
 
-STAGES = []
+``STAGES`` lists (name, function). Each function takes ``(spark, docs,
+sf_dir)`` and returns a DataFrame, written as Parquet and read again as the
+next one's ``docs``. All but the last return the columns of ``docs``, extra
+ones included; the last returns the packed pieces.
+
+What is dropped or changed: documents whose text is no known language (null
+and letterless ones too), repeated lines, all but one document of each group
+of near copies, and documents that hold a benchmark passage. An empty table
+passes through every stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontam, langid, linededup, packing, simhash
+from tillroll.plans.lineage import Scratch
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents that it rejects go."""
+    return langid.identify(docs, "_language").filter(~F.col("_language.rejected")).drop("_language")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: texts lose their repeated lines; ``n_chars`` follows."""
+    kept = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs), "_lines")
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("_lines.n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return kept.select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: one document of each group stays, the smallest doc_id."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents that hold a window of a benchmark item go."""
+    return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: what is left becomes sequences of 2048 tokens."""
+    return packing.packed_pieces(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# The language model and the tokenizer have no SQL; tested against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = scratch.table(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -146,6 +146,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the documents that hold a window of an item."""
+    first, second = doc_key()
+    hit = contamination(docs, items, window).filter("n_hit > 0").select(F.col("d1").alias("_c1"), F.col("d2").alias("_c2"))
+    return docs.join(hit, (first == F.col("_c1")) & (second == F.col("_c2")), "left_anti")
+
+
 def op6_positional_index(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -84,26 +84,24 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
                        F.when(F.col("drops").isNull(), whole).otherwise(kept).alias("keep_runs"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, out: str = "text") -> DataFrame:
-    """``docs`` with ``out`` = its kept lines joined by line feeds (a text
-    that loses nothing stays as it is, null included), plus ``n_lines`` and
-    ``n_dropped``; columns of those names in ``docs`` are replaced."""
-    runs = bitmaps.select(F.col("doc_id").alias("_b_doc"), F.col("tag").alias("_b_tag"),
-                          F.col("n_lines").alias("_b_lines"), F.col("n_dropped").alias("_b_dropped"), "keep_runs")
-    runs = runs.withColumnRenamed("keep_runs", "_b_runs")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, info: str = "_lines") -> DataFrame:
+    """``docs`` with ``text`` = its kept lines joined by line feeds (a text
+    that loses nothing stays as it is, null included) and a struct column
+    ``info`` (``n_lines``, ``n_dropped``)."""
+    runs = bitmaps.select(F.col("doc_id").alias("_b_doc"), F.col("tag").alias("_b_tag"), F.col("keep_runs").alias("_b_runs"),
+                          F.struct(F.col("n_lines").cast("long").alias("n_lines"), "n_dropped").alias(info))
     joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("_b_doc")) & (content_tag() == F.col("_b_tag")), "left")
+    lost = F.col(f"{info}.n_dropped") > 0
     parts = F.transform("_b_runs", lambda r: F.slice(F.col("_b_all"), r["start"] + 1, r["length"]))
-    kept = F.when(F.col("_b_dropped") > 0, F.array_join(F.flatten(parts), "\n")).otherwise(F.col("text"))
-    return (joined.withColumn("_b_all", F.when(F.col("_b_dropped") > 0, _lines()))
-            .withColumn(out, kept)
-            .withColumn("n_lines", F.col("_b_lines").cast("long")).withColumn("n_dropped", F.col("_b_dropped"))
-            .drop("_b_doc", "_b_tag", "_b_lines", "_b_dropped", "_b_runs", "_b_all"))
+    return (joined.withColumn("_b_all", F.when(lost, _lines()))
+            .withColumn("text", F.when(lost, F.array_join(F.flatten(parts), "\n")).otherwise(F.col("text")))
+            .drop("_b_doc", "_b_tag", "_b_runs", "_b_all"))
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     kept = apply_bitmaps(docs, keep_bitmaps(docs))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP7_SQL = """

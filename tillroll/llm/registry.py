@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import ann, chat, decontam, linededup, packing, shards, simhash
+from tillroll.llm import ann, chat, decontam, langid, linededup, lmscore, packing, resample, shards, simhash
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_importance_resampling": resample.op2_importance_resampling,
+    "op3_cross_entropy_difference": lmscore.op3_cross_entropy_difference,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op5_minimax_shards": shards.op5_minimax_shards,
     "op6_positional_index": decontam.op6_positional_index,
     "op7_line_dedup": linededup.op7_line_dedup,
+    "op8_nearest_centroid": langid.op8_nearest_centroid,
     "op9_simhash": simhash.op9_simhash,
     "op10_block_matrix_knn": ann.op10_block_matrix_knn,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -45,3 +45,22 @@ def positions_within(df: DataFrame, keys: list[str], order: list[str], out: str,
             .join(offsets, same)
             .withColumn(out, (F.col("_row") + F.col("_offset")).cast("long"))
             .drop("_row", "_offset", "_bucket", "_o_bucket", *[f"_o_{k}" for k in keys]))
+
+
+# Labelled rows a model of good text is fitted on, at most.
+MAX_TARGET = 100_000
+
+
+def target_ids(labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
+    """``doc_id`` of documents labelled good and not toxic: all of them, or
+    the ``most`` with the smallest hash. Bounded, so it may be broadcast."""
+    good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
+    ids = good.select("doc_id").distinct()
+    return F.broadcast(ids.orderBy(F.xxhash64(F.lit("target"), "doc_id"), "doc_id").limit(most))
+
+
+def flag_target(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
+    """``doc_id``, ``text`` and ``target`` (labelled as good)."""
+    ids = target_ids(labels, most).select(F.col("doc_id").alias("_good"))
+    return (docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_good"), "left")
+            .select("doc_id", "text", F.col("_good").isNotNull().alias("target")))

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.shared import content_tag
 from tillroll.plans.lineage import Scratch
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -64,7 +65,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for b in batches:
         texts = b.column("text").cast(pa.binary())
         found = np.array([fingerprint(t.as_py()) for t in texts], dtype="u8").view("i8")
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tag"), pa.array(found)], names=["doc_id", "tag", "fp"])
 
 
 def close_pairs(prints: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -197,17 +198,34 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (64 bits, signed) and
+    """One row per document: ``doc_id``, ``tag`` (hash of the text), ``fp``
+    (64 bits, signed), ``root`` (a fingerprint that names the group) and
     ``component_id``, the smallest doc_id reachable over links."""
     scratch = Scratch(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = scratch.table(docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {kind}, fp long"), "fingerprints")
+    prints = scratch.table(docs.select("doc_id", "text", content_tag().alias("tag"))
+                           .mapInArrow(_fingerprints, f"doc_id {kind}, tag long, fp long"), "fingerprints")
     nodes = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     found = components(links(nodes.select("fp"), scratch), scratch)
     placed = nodes.join(found, nodes.fp == found.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = scratch.table(placed.join(names, "root").select("fp", "root", "component_id"), "groups")
+    return prints.join(named, "fp").select("doc_id", "tag", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest doc_id, of
+    rows that share it the one with the smallest text hash, of rows that
+    repeat both any one."""
+    groups = simhash_groups(docs).groupBy("root", "doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "rows")
+    first = groups.groupBy("root").agg(F.min(order).alias("k"))
+    kept = Scratch(docs.sparkSession).table(first.select(
+        F.col("k.doc_id").alias("_k_doc"), F.col("k.tag").alias("_k_tag"), F.col("k.rows").alias("_k_rows")), "kept")
+    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_k_doc")) & (content_tag() == F.col("_k_tag")))
+    if not kept.filter("_k_rows > 1").isEmpty():  # a kept row is there several times
+        marked = marked.filter("_k_rows = 1").unionByName(marked.filter("_k_rows > 1").dropDuplicates(["_k_doc", "_k_tag"]))
+    return marked.drop("_k_doc", "_k_tag", "_k_rows")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
