@@ -1,0 +1,45 @@
+"""Line dedup against plain Python."""
+
+from collections import Counter
+
+import pytest
+from brute import LONG_LINE, awkward_rows, docs_frame, line_dedup
+
+from tillroll.llm import linededup
+
+
+def applied(spark, rows, **k):
+    docs = docs_frame(spark, rows)
+    out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, **k))
+    assert out.columns == [*docs.columns, "_lines"]
+    return Counter((r["doc_id"], r["_lines"]["n_lines"], r["_lines"]["n_dropped"], r["text"]) for r in out.collect())
+
+
+def test_awkward_documents(spark):
+    rows = awkward_rows()
+    assert applied(spark, rows) == Counter(line_dedup(rows))
+
+
+@pytest.mark.parametrize("copies", [4, 5, 40])
+def test_threshold_and_white_space(spark, copies):
+    rows = [(k, f"\t{LONG_LINE.upper()} \r\nshort\n\n{LONG_LINE} ", "en") for k in range(copies)]
+    assert applied(spark, rows) == Counter(line_dedup(rows))
+
+
+def test_all_lines_lost_and_none(spark):
+    rows = [(k, LONG_LINE, "en") for k in range(5)] + [(9, "a\nb", "en")]
+    got = applied(spark, rows)
+    assert got == Counter(line_dedup(rows)) and got[(0, 1, 1, "")] == 1 and got[(9, 2, 0, "a\nb")] == 1
+
+
+def test_bitmaps_hold_no_text(spark):
+    maps = linededup.keep_bitmaps(docs_frame(spark, awkward_rows()))
+    assert maps.columns == ["doc_id", "tag", "n_lines", "n_dropped", "keep_runs"]
+    for r in maps.collect():
+        ends = [(a["start"], a["start"] + a["length"]) for a in r["keep_runs"]]
+        assert all(b < c for (_, b), (c, _) in zip(ends, ends[1:]))
+        assert sum(b - a for a, b in ends) == r["n_lines"] - r["n_dropped"]
+
+
+def test_empty_table(spark):
+    assert applied(spark, [(1, "x", "en")][:0] or [], ) == Counter()

@@ -57,7 +57,8 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         # One blank before, after and between words.
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        c = np.concatenate([[32], np.where(letter, c, 32)[keep], [32]]).astype("u4")
+        c = np.where(letter, c, 32)[keep]
+        c = np.concatenate([[32], c, [32] if not len(c) or c[-1] != 32 else []]).astype("u4")
         codes.append(c), row.append(np.full(len(c), n))
     code, row = np.concatenate(codes), np.concatenate(row)
     one = code * np.uint32(0x9E3779B1)
