@@ -50,7 +50,9 @@ def doc_key() -> list[Column]:
 
 def build_index(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Postings ``term``, ``d1``, ``d2``, ``pos`` of every word, written."""
-    tokens = docs.select(*doc_key(), F.posexplode(words()).alias("pos", "word")).filter("word <> ''")
+    # Two steps: an expression beside the explode would be worked out again for every word.
+    split = docs.select(*doc_key(), words().alias("words"))
+    tokens = split.select(*DOC, F.posexplode("words").alias("pos", "word")).filter("word <> ''")
     return scratch.table(tokens.select(F.xxhash64("word").alias("term"), "d1", "d2", "pos")
                          .sortWithinPartitions("term"), "postings", compression="zstd")
 
