@@ -32,7 +32,7 @@ from tillroll.plans.lineage import Scratch
 
 WINDOW = 10
 BROADCAST_TERMS = 2_000_000
-DOC_BUCKETS = 1 << 16
+DOC_BUCKETS = 1 << 20
 # Fixed value: what separates words once A-Z are lower-case.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DOC = ["d1", "d2"]
