@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 def test_cleaning_counts(spark):
     raw = V.raw_sales(spark, SF)
     clean = C.clean_sales(raw)
-    assert clean.count() == 56_133
+    assert clean.count() == 54_472
     assert clean.select("StockCode").distinct().count() == 50
     assert C.clean_basket_lines(raw).select("StockCode").distinct().count() == 25
     names = {r.StockCode: r.Description for r in C.clean_basket_lines(raw)

@@ -94,12 +94,16 @@ def test_clean_lines_are_not_shuffled_for_the_name_lookup(spark):
 
 
 def test_lookup_join_falls_back_to_a_shuffle_join(spark):
-    from tillroll.plans.lookup import join_lookup
+    from tillroll.plans.lookup import join_lookup, lookup_table
 
     big = spark.range(2000).select((F.col("id") % 50).alias("k"), F.col("id"))
     lookup = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    a = join_lookup(big, lookup, "k", max_rows=10**6)
-    b = join_lookup(big, lookup, "k", max_rows=10)
+    long_names = lookup.withColumn("name", F.repeat(F.lit("x"), 10_000))
+    a = join_lookup(big, lookup_table(lookup, max_bytes=10_000), "k")
+    b = join_lookup(big, lookup_table(long_names, max_bytes=10_000), "k").drop("name")
+    assert lookup_table(lookup, max_bytes=10_000).small and not lookup_table(long_names, max_bytes=10_000).small
+    made = lookup_table(lookup)
+    assert lookup_table(made) is made
     assert "BroadcastHashJoin" in plan(a)
     assert sorted(a.collect()) == sorted(b.collect())
 

@@ -49,11 +49,53 @@ def test_partitioned_write_prunes(spark, tmp_path):
     A.write_sales(V.sales(spark, SF), path, partition_by=["Year", "Month"])
     back = A.read_sales(spark, path)
     assert back.count() == V.sales(spark, SF).count()
-    q = FL.filter_sales(back.filter("Year = 1996 AND Month = 3"), countries=["NATION_1"])
+    q = FL.filter_sales(back, ["NATION_1"], "1996-11-20", "1997-02-03")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         q.explain("formatted")
-    assert "PartitionFilters: [isnotnull(Year" in buf.getvalue()
+    filters = next(x for x in buf.getvalue().splitlines() if "PartitionFilters" in x)
+    assert "Year" in filters and "Month" in filters
+    files = {f.split("Year=")[1].rsplit("/", 1)[0] for f in (r[0] for r in q.select(F.input_file_name()).distinct().collect())}
+    assert files <= {"1996/Month=11", "1996/Month=12", "1997/Month=1", "1997/Month=2"}
+    want = FL.filter_sales(V.sales(spark, SF).drop("Year", "Month"), ["NATION_1"], "1996-11-20", "1997-02-03")
+    assert q.count() == want.count() > 0
+
+
+def test_pipeline_output_has_ms_timestamps(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "clean")
+    A.write_sales(C.clean_sales(V.raw_sales(spark, SF)), path)
+    assert "ms" in str(pq.read_schema(glob.glob(path + "/*.parquet")[0]).field("InvoiceDate").type)
+
+
+def test_cleaning_program_leaves_no_scratch_table(spark, tmp_path):
+    from tillroll.plans.cleaning import clean_to_parquet
+    from tillroll.session import ensure_checkpoint_dir
+
+    V.raw_sales(spark, SF).write.option("header", True).option("escape", '"').csv(str(tmp_path / "raw"))
+    jvm = spark._jvm.org.apache.hadoop.fs
+    tables = jvm.Path(ensure_checkpoint_dir(spark) + "/tables")
+    names = lambda: {str(s.getPath().getName()) for s in tables.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(tables)}
+    summary, _ = clean_to_parquet(spark, str(tmp_path / "raw"), str(tmp_path / "sales"), str(tmp_path / "baskets"), escape='"')
+    assert summary.first()["n_rows"] == C.clean_sales(V.raw_sales(spark, SF)).count()
+    assert not any(n.startswith("valid_lines") for n in names())
+
+
+def test_list_text_is_what_python_prints_and_reads_back(spark):
+    import ast
+
+    from tillroll.functions.columns import list_repr
+
+    lists = [["a", "b"], [], ["it's"], ['6"'], ["both ' and \""], ["back\\slash", "line\nfeed", "tab\t", "cr\r"], ["A: POPPY'S HOUSE", "B: X"], ["\\'"]]
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, x array<string>").withColumn("t", list_repr("x"))
+    got = frame.withColumn("back", A.parse_list_text("t")).orderBy("k").collect()
+    assert [r["t"] for r in got] == [repr(x) for x in lists]
+    assert [r["back"] for r in got] == lists == [ast.literal_eval(r["t"]) for r in got]
+    bad = spark.createDataFrame([("['x', oops",), ("no list",), (None,)], "t string").select(A.parse_list_text("t").alias("x")).collect()
+    assert [r["x"] for r in bad] == [None, None, None]
 
 
 def test_rules_csv_round_trip(spark, tmp_path):
@@ -75,7 +117,7 @@ def test_reads_python_list_text(spark, tmp_path):
     assert r.antecedent == ["X1", "Y2"] and r.consequent == ["Z3"]
     assert r.antecedent_with_desc == ["X1: BLUE JUG", "Y2: SAM'S HAT"]
     top = B.top_rules(A.read_rules_csv(spark, str(path)), "lift").first()
-    assert top.rule == "['X1: BLUE JUG', 'Y2: SAM'S HAT'] → ['Z3: LAMP']"
+    assert top.rule == """['X1: BLUE JUG', "Y2: SAM'S HAT"] → ['Z3: LAMP']"""
 
 
 def test_profile(spark):

@@ -8,7 +8,7 @@ Subpackages
 -----------
 sources    Parquet/CSV ingest and sinks, profiling, fixture views over the
            test tables.
-functions  reusable Column expressions (money in cents, calendar labels).
+functions  reusable Column expressions (exact money sums, calendar labels).
 operators  cleaning, filters, overview/country/time aggregations, RFM,
            market-basket mining.
 plans      multi-step plans: distributed ranking, the cleaning and mining

@@ -3,7 +3,6 @@ from tillroll.functions.columns import (  # noqa: F401
     UNKNOWN_PRODUCT,
     NO_DESCRIPTION,
     WEEKDAY_NAMES,
-    cents,
     list_repr,
     money_sum,
     month_year_label,

@@ -25,18 +25,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(c) -> Column:
-    """Money as a whole number of cents (exact, order-independent sums)."""
-    return F.round(_c(c) * 100).cast("long")
-
-
 def money_sum(c) -> Column:
-    """Sum of a money column, exact to the cent, as double.
+    """Sum of a money column, as double.
 
-    Summing longs keeps the aggregate in the fast fixed-width hash-aggregate
-    path and makes the result independent of partitioning and row order.
+    Values are added as decimals with six places (38 digits in all), so the
+    result does not depend on partitioning or row order, keeps parts of a
+    cent and can't overflow; it becomes a double once, at the end. What no
+    such decimal holds (over 10**22, not finite) is added as doubles.
     """
-    return F.sum(cents(c)) / F.lit(100.0)
+    value = _c(c)
+    exact = value.try_cast("decimal(28,6)")
+    rest = F.sum(F.when(exact.isNull(), value.cast("double")))
+    whole = F.sum(exact).cast("double")
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 
 def weekday_name(c) -> Column:
@@ -62,6 +63,15 @@ def truncate_text(c, width: int = 75) -> Column:
 
 
 def list_repr(arr) -> Column:
-    """Render an array of strings the way a Python list prints: ``['a', 'b']``."""
-    quoted = F.transform(_c(arr), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    """Render an array of strings the way a Python list prints: ``['a', 'b']``,
+    double quotes for an item that holds apostrophes only, escapes for
+    backslashes, line feeds, tabs and returns."""
+    def quoted_item(x: Column) -> Column:
+        for plain, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            x = F.replace(x, F.lit(plain), F.lit(shown))
+        double = F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"'))
+        single = F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'"))
+        return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(single)
+
+    quoted = F.transform(_c(arr), quoted_item)
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))

@@ -4,7 +4,8 @@ Item arrays are always sorted (``array_sort``) before they are compared or
 written. Names are attached by exploding item arrays with their position,
 joining the product table (size-checked broadcast, see
 :mod:`tillroll.plans.lookup`) and re-assembling in position order; no
-driver-side dictionary.
+driver-side dictionary. A program makes the product table once
+(:func:`tillroll.plans.lookup.lookup_table`) and passes it to every report.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import NO_DESCRIPTION, list_repr, truncate_text
-from tillroll.plans.lookup import join_lookup
+from tillroll.plans.lookup import Lookup, join_lookup
 
 # Support/confidence ladder of the mining run: first rung that finds any
 # frequent itemset wins (fixed values of the reference run).
@@ -54,14 +55,16 @@ def basket_size_distribution(b: DataFrame) -> DataFrame:
     return b.groupBy("basket_size").agg(F.count(F.lit(1)).alias("n_baskets")).orderBy("basket_size")
 
 
-def limit_baskets(b: DataFrame, max_items: int = 30) -> DataFrame:
-    """B6 + B7: baskets of at most ``max_items`` items, null item sets out."""
-    return b.filter((F.col("basket_size") <= max_items) & F.col("items").isNotNull())
+def limit_baskets(b: DataFrame, max_items: int | None = None) -> DataFrame:
+    """B6 + B7: baskets of at most ``max_items`` items (None: of any size),
+    null item sets out."""
+    some = b.filter(F.col("items").isNotNull())
+    return some if max_items is None else some.filter(F.col("basket_size") <= max_items)
 
 
-def basket_limit_summary(b: DataFrame, max_items: int = 30) -> DataFrame:
+def basket_limit_summary(b: DataFrame, max_items: int | None = None) -> DataFrame:
     """B6 + B7 counts in one pass: total, kept, dropped for size, null."""
-    big = F.col("basket_size") > max_items
+    big = F.lit(False) if max_items is None else F.col("basket_size") > max_items
     return b.agg(F.count(F.lit(1)).alias("n_baskets"),
                  F.count_if(~big & F.col("items").isNotNull()).alias("n_kept"),
                  F.count_if(big).alias("n_dropped"),
@@ -90,12 +93,17 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
 
 @dataclass
 class MiningRun:
-    baskets: DataFrame          # all baskets (B3)
-    used: DataFrame             # baskets fed to the miner (B6/B7), persisted
+    baskets: DataFrame          # all baskets (B3), persisted
+    used: DataFrame             # baskets fed to the miner (B6/B7)
     model: FPGrowthModel
     min_support: float
     min_confidence: float
-    max_items: int
+    max_items: int | None
+
+    @property
+    def limits(self) -> DataFrame:
+        """How many baskets the size limit kept and dropped (one row)."""
+        return basket_limit_summary(self.baskets, self.max_items)
 
     @property
     def itemsets(self) -> DataFrame:
@@ -108,16 +116,19 @@ class MiningRun:
     def close(self) -> None:
         """Release the cached baskets and itemsets."""
         self.model.freqItemsets.unpersist()
-        self.used.unpersist()
+        self.baskets.unpersist()
 
 
-def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int = 30,
+def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int | None = None,
                       item_col: str = "StockCode", num_partitions: int | None = None) -> MiningRun:
     """B8 + B9: mine at each (support, confidence) rung until one yields an
-    itemset. The basket table is persisted once and reused by every rung;
-    only the itemset count of each rung reaches the driver."""
-    all_baskets = baskets(lines, item_col)
-    used = limit_baskets(all_baskets, max_items).select("items").persist()
+    itemset. The basket table is persisted once and reused by every rung and
+    the summary; only the itemset count of each rung reaches the driver.
+    ``max_items`` leaves out larger baskets; ``MiningRun.limits`` counts them."""
+    if not ladder:
+        raise ValueError("the ladder needs at least one (support, confidence) rung")
+    all_baskets = baskets(lines, item_col).persist()
+    used = limit_baskets(all_baskets, max_items).select("items")
     model, s, c = None, None, None
     for s, c in ladder:
         if model is not None:
@@ -130,17 +141,16 @@ def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int =
     return MiningRun(all_baskets, used, model, s, c, max_items)
 
 
-def _describe(df: DataFrame, arr: str, dim: DataFrame, prefix: str | None = None) -> DataFrame:
+def _describe(df: DataFrame, arr: str, dim: DataFrame | Lookup, prefix: str | None = None) -> DataFrame:
     """Add ``<prefix>_names`` (names, fallback text when a code has none)
     and ``<prefix>_with_desc`` (``code: name``) for the array ``arr``, both
     in the array's order. Grouping by all input columns keeps each row."""
     prefix = prefix or arr
     keep = df.columns
-    exploded = df.select(*keep, F.posexplode(arr).alias("_pos", "_code"))
-    d = dim.select(F.col("StockCode").alias("_code"), F.col("Description").alias("_name"))
-    named = join_lookup(exploded, d, "_code", "left").withColumn(
-        "_name", F.coalesce(F.col("_name"), F.lit(NO_DESCRIPTION)))
-    parts = F.array_sort(F.collect_list(F.struct("_pos", "_code", "_name")))
+    exploded = df.select(*keep, F.posexplode(arr).alias("_pos", "StockCode"))
+    named = join_lookup(exploded, dim, "StockCode").withColumn(
+        "_name", F.coalesce(F.col("Description"), F.lit(NO_DESCRIPTION)))
+    parts = F.array_sort(F.collect_list(F.struct("_pos", F.col("StockCode").alias("_code"), "_name")))
     grouped = named.groupBy(*keep).agg(parts.alias("_parts"))
     return grouped.select(
         *keep,
@@ -148,12 +158,12 @@ def _describe(df: DataFrame, arr: str, dim: DataFrame, prefix: str | None = None
         F.transform("_parts", lambda s: F.concat(s["_code"], F.lit(": "), s["_name"])).alias(f"{prefix}_with_desc"))
 
 
-def describe_itemsets(itemsets: DataFrame, dim: DataFrame) -> DataFrame:
+def describe_itemsets(itemsets: DataFrame, dim: DataFrame | Lookup) -> DataFrame:
     """Itemsets with ``items_with_desc``."""
     return _describe(itemsets, "items", dim).drop("items_names")
 
 
-def describe_rules(rules: DataFrame, dim: DataFrame) -> DataFrame:
+def describe_rules(rules: DataFrame, dim: DataFrame | Lookup) -> DataFrame:
     """Rules with names for both sides.
 
     Both sides are exploded in one pass (items tagged 0 = antecedent,
@@ -162,11 +172,10 @@ def describe_rules(rules: DataFrame, dim: DataFrame) -> DataFrame:
     tag = lambda arr, k: F.transform(arr, lambda x: F.struct(F.lit(k).alias("side"), x.alias("code")))
     exploded = rules.select(*keep, F.posexplode(F.concat(tag("antecedent", 0), tag("consequent", 1)))
                             .alias("_pos", "_t"))
-    exploded = exploded.select(*keep, "_pos", F.col("_t.side").alias("_side"), F.col("_t.code").alias("_code"))
-    d = dim.select(F.col("StockCode").alias("_code"), F.col("Description").alias("_name"))
-    named = join_lookup(exploded, d, "_code", "left").withColumn(
-        "_name", F.coalesce(F.col("_name"), F.lit(NO_DESCRIPTION)))
-    parts = F.array_sort(F.collect_list(F.struct("_pos", "_side", "_code", "_name")))
+    exploded = exploded.select(*keep, "_pos", F.col("_t.side").alias("_side"), F.col("_t.code").alias("StockCode"))
+    named = join_lookup(exploded, dim, "StockCode").withColumn(
+        "_name", F.coalesce(F.col("Description"), F.lit(NO_DESCRIPTION)))
+    parts = F.array_sort(F.collect_list(F.struct("_pos", "_side", F.col("StockCode").alias("_code"), "_name")))
     grouped = named.groupBy(*keep).agg(parts.alias("_parts"))
     side = lambda k: F.filter("_parts", lambda s: s["_side"] == k)
     with_desc = lambda s: F.concat(s["_code"], F.lit(": "), s["_name"])
@@ -189,7 +198,7 @@ def _rule_label(df: DataFrame) -> DataFrame:
                                           list_repr("consequent_with_desc")))
 
 
-def top_rules(rules: DataFrame, by: str = "confidence", n: int = 20, dim: DataFrame | None = None) -> DataFrame:
+def top_rules(rules: DataFrame, by: str = "confidence", n: int = 20, dim: DataFrame | Lookup | None = None) -> DataFrame:
     """B13 (by confidence) / B14 (by lift) + B15 label
     ``[antecedent names] → [consequent names]``.
 
@@ -214,14 +223,25 @@ def number_rules(rules: DataFrame) -> DataFrame:
     return global_row_number(keyed, ["_a", "_c"], "rule_id").drop("_a", "_c")
 
 
-def friendly_rules(rules: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
+def friendly_rules(rules: DataFrame, dim: DataFrame | Lookup, n: int = 20) -> DataFrame:
     """Readable top-``n`` report by confidence: rule number, codes
-    joined by ``, ``, names joined by ``; ``, confidence, lift. Rules are
-    numbered over all rules; only the top ``n`` are named."""
+    joined by ``, ``, names joined by ``; ``, confidence, lift. A rule's
+    number is its position among all rules (:func:`number_rules`); for the
+    few shown it is the count of rules at or before it, so the rules are
+    neither sorted nor checkpointed for it."""
     order = _rule_order("confidence")
-    top = number_rules(rules).orderBy(*order).limit(n)
+    top = rules.orderBy(*order).limit(n)
+    keys = [F.array_join("antecedent", ", "), F.array_join("consequent", ", ")]
+    shown = [(r["a"], r["c"]) for r in top.select(keys[0].alias("a"), keys[1].alias("c")).collect()]
+    at = F.lit(None).cast("long")
+    if shown:
+        before = [F.count_if((keys[0] < a) | ((keys[0] == a) & (keys[1] <= c))).alias(f"n{k}") for k, (a, c) in enumerate(shown)]
+        numbers = rules.agg(*before).first()
+        for k, (a, c) in enumerate(shown):
+            at = F.when((keys[0] == a) & (keys[1] == c), F.lit(numbers[k]).cast("long")).otherwise(at)
+    top = top.withColumn("rule_id", at)
     return describe_rules(top, dim).orderBy(*order).select(
-        F.col("rule_id").cast("int").alias("rule_id"),
+        "rule_id",
         F.array_join("antecedent", ", ").alias("antecedent_codes"),
         F.array_join("antecedent_names", "; ").alias("antecedent_descriptions"),
         F.array_join("consequent", ", ").alias("consequent_codes"),
@@ -229,7 +249,7 @@ def friendly_rules(rules: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
         "confidence", "lift")
 
 
-def top_itemsets(itemsets: DataFrame, dim: DataFrame | None = None, n: int = 20, width: int = 75) -> DataFrame:
+def top_itemsets(itemsets: DataFrame, dim: DataFrame | Lookup | None = None, n: int = 20, width: int = 75) -> DataFrame:
     """Top ``n`` itemsets by freq with display text cut to ``width``
     (named after the cut when ``dim`` is given)."""
     order = [F.desc("freq"), F.array_join("items", ",")]

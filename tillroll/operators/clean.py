@@ -18,6 +18,17 @@ from tillroll.functions.columns import UNKNOWN_PRODUCT
 # Text layouts accepted for InvoiceDate besides ISO
 # ``yyyy-MM-dd[ HH:mm[:ss[.SSS]]]`` (month-first, as in the raw retail export).
 DATE_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy H:mm"]
+# Text that is a number: no NaN, no Infinity, no type suffix.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _wall_clock(raw, fmt: str):
+    """Text in a zone-free layout -> timestamp without time zone. The text is
+    read at offset zero and counted from the epoch, so the session's zone and
+    its daylight saving play no part."""
+    at = F.try_to_timestamp(F.concat(raw, F.lit(" +0000")), F.lit(f"{fmt} xx"))
+    seconds = (F.unix_micros(at).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
 def parse_dates(df: DataFrame, col: str = "InvoiceDate", formats: list[str] | None = None) -> DataFrame:
@@ -25,25 +36,28 @@ def parse_dates(df: DataFrame, col: str = "InvoiceDate", formats: list[str] | No
 
     ISO text is cast directly (no zone involved); other layouts are tried in
     the order of ``formats`` and read as wall-clock time."""
+    return df.withColumn(col, F.coalesce(*_date_tries(df, col, formats))).filter(F.col(col).isNotNull())
+
+
+def _date_tries(df: DataFrame, col: str, formats: list[str] | None) -> list:
     raw = F.col(col)
-    if dict(df.dtypes)[col] == "string":
-        fmts = DATE_FORMATS if formats is None else formats
-        tries = [raw.try_cast("timestamp_ntz")]
-        tries += [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in fmts]
-        parsed = F.coalesce(*tries) if len(tries) > 1 else tries[0]
-    else:
-        parsed = raw
-    return df.withColumn(col, parsed).filter(F.col(col).isNotNull())
+    if dict(df.dtypes)[col] != "string":
+        return [raw]
+    return [raw.try_cast("timestamp_ntz")] + [_wall_clock(raw, f) for f in (DATE_FORMATS if formats is None else formats)]
+
+
+def _number(df: DataFrame, col: str):
+    """A column as finite double, else null."""
+    c = F.col(col)
+    value = F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")) if dict(df.dtypes)[col] == "string" else c.cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
-    """Quantity and UnitPrice to numbers; malformed -> null -> dropped."""
-    types = dict(df.dtypes)
-    q = F.col("Quantity").try_cast("double") if types["Quantity"] == "string" else F.col("Quantity").cast("double")
-    p = F.col("UnitPrice").try_cast("double") if types["UnitPrice"] == "string" else F.col("UnitPrice").cast("double")
-    return (df.withColumn("Quantity", q).withColumn("UnitPrice", p)
-              .filter(F.col("Quantity").isNotNull() & F.col("UnitPrice").isNotNull())
-              .withColumn("Quantity", F.col("Quantity").cast("long")))
+    """Quantity and UnitPrice to doubles; whatever is no finite number
+    (malformed, NaN, Infinity) -> null -> dropped. Fractions are kept."""
+    return (df.withColumn("Quantity", _number(df, "Quantity")).withColumn("UnitPrice", _number(df, "UnitPrice"))
+              .filter(F.col("Quantity").isNotNull() & F.col("UnitPrice").isNotNull()))
 
 
 def drop_returns(df: DataFrame) -> DataFrame:
@@ -140,16 +154,33 @@ def weekday_profile(df: DataFrame) -> DataFrame:
                           has_saturday.alias("has_saturday"))
 
 
-def filter_valid(raw: DataFrame) -> DataFrame:
-    """C1-C3 in order: parse dates, coerce numbers, drop negatives."""
-    return drop_returns(coerce_numeric(parse_dates(raw)))
+def filter_valid(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """C1-C3 in order: parse dates (ISO and ``formats``), coerce numbers,
+    drop negatives."""
+    return drop_returns(coerce_numeric(parse_dates(raw, formats=formats)))
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """C14: dashboard table. Names are standardised on the raw code (codes
-    are only normalised later, at load)."""
-    df = filter_valid(raw)
-    df = standardize_description(df)
+def dropped_counts(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """What :func:`filter_valid` drops, by rule (one row): rows in, without a
+    date, then without numbers, then negative, and kept. One pass."""
+    marked = raw.select("InvoiceDate", _number(raw, "Quantity").alias("q"), _number(raw, "UnitPrice").alias("p"))
+    dated = F.coalesce(*_date_tries(marked, "InvoiceDate", formats)).isNotNull()
+    numbers = F.col("q").isNotNull() & F.col("p").isNotNull()
+    positive = (F.col("q") >= 0) & (F.col("p") >= 0)
+    return marked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~dated).alias("n_no_date"),
+                      F.count_if(dated & ~numbers).alias("n_no_number"), F.count_if(dated & numbers & ~positive).alias("n_negative"),
+                      F.count_if(dated & numbers & positive).alias("n_kept"))
+
+
+def clean_sales(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """C14: dashboard table from raw lines."""
+    return sales_of_valid(filter_valid(raw, formats))
+
+
+def sales_of_valid(valid: DataFrame) -> DataFrame:
+    """C14 on typed lines (:func:`filter_valid`). Names are standardised on
+    the raw code (codes are only normalised later, at load)."""
+    df = standardize_description(valid)
     df = add_total_value(df)
     df = floor_ms(df)
     df = add_calendar(df)
@@ -157,10 +188,15 @@ def clean_sales(raw: DataFrame) -> DataFrame:
                      "CustomerID", "Country", "TotalValue", "Year", "Month", "Day", "Hour", "DayOfWeek")
 
 
-def clean_basket_lines(raw: DataFrame) -> DataFrame:
-    """Basket table. Codes are normalised (strip-all) before the
-    name lookup; no TotalValue and no calendar columns."""
-    df = normalize_code(filter_valid(raw), "strip_all")
+def clean_basket_lines(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """Basket table from raw lines."""
+    return basket_lines_of_valid(filter_valid(raw, formats))
+
+
+def basket_lines_of_valid(valid: DataFrame) -> DataFrame:
+    """C15 on typed lines. Codes are normalised (strip-all) before the name
+    lookup; no TotalValue and no calendar columns."""
+    df = normalize_code(valid, "strip_all")
     df = standardize_description(df)
     df = floor_ms(df)
     return df.select("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",

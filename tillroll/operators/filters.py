@@ -1,8 +1,9 @@
 """Filters on the dashboard table.
 
 Date bounds are timestamp literals compared with the column directly, so
-the predicate reaches the Parquet scan (PushedFilters) and partition
-pruning when the table is laid out by Year/Month.
+the predicate reaches the Parquet scan (PushedFilters). A table that has the
+calendar columns of C11 gets the same range on Year and Month beside it,
+which prunes partitions when the table is laid out by them.
 """
 
 from __future__ import annotations
@@ -31,12 +32,18 @@ def filter_sales(df: DataFrame, countries=None, start=None, end=None, col: str =
     """Country in ``countries`` (empty or None = all) and, only when
     both ends are given, ``start <= ts < end + 1 day`` (the end day is
     included whole, fractions of its last second too)."""
+    if isinstance(countries, str):
+        raise TypeError("countries is a list of names; wrap a single name in a list")
     out = df
     if countries:
         out = out.filter(F.col("Country").isin(list(countries)))
     if start is not None and end is not None:
         lo, hi = _as_date(start), _as_date(end) + dt.timedelta(days=1)
         out = out.filter((F.col(col) >= _ts_literal(df, col, lo)) & (F.col(col) < _ts_literal(df, col, hi)))
+        if col == "InvoiceDate" and {"Year", "Month"} <= set(df.columns):
+            last, year, month = _as_date(end), F.col("Year"), F.col("Month")
+            out = out.filter((year >= lo.year) & (year <= last.year)
+                             & ((year > lo.year) | (month >= lo.month)) & ((year < last.year) | (month <= last.month)))
     return out
 
 

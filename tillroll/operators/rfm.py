@@ -112,7 +112,8 @@ def segment_counts(segments: DataFrame) -> DataFrame:
     """Customers per segment, every segment shown, largest first."""
     spine = segments.sparkSession.createDataFrame([(s,) for s in SEGMENTS], "Segment string")
     counts = segments.groupBy("Segment").agg(F.count(F.lit(1)).alias("Count"))
-    return (F.broadcast(spine).join(counts, "Segment", "left")
+    # At most one row per segment.
+    return (spine.join(F.broadcast(counts), "Segment", "left")
              .select("Segment", F.coalesce(F.col("Count"), F.lit(0)).alias("Count"))
              .orderBy(F.desc("Count"), F.asc("Segment")))
 

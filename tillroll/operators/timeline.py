@@ -37,12 +37,12 @@ def heatmap_long(df: DataFrame) -> DataFrame:
 def heatmap_matrix(df: DataFrame) -> DataFrame:
     """T5: 7 rows (Monday first) x 24 hour columns ``h00``..``h23``; a cell
     without orders is null. The pivot values are fixed, so no extra job
-    looks for them; the 7-row day spine is joined by broadcast."""
+    looks for them; the days found, at most 7 rows, are broadcast."""
     hours = list(range(24))
     wide = heatmap_long(df).groupBy("DayOfWeek").pivot("Hour", hours).agg(F.first("Orders"))
     wide = wide.select("DayOfWeek", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
     spine = df.sparkSession.range(7).select(F.col("id").cast("int").alias("DayOfWeek"))
-    return (F.broadcast(spine).join(wide, "DayOfWeek", "left")
+    return (spine.join(F.broadcast(wide), "DayOfWeek", "left")
              .select("DayOfWeek", weekday_name("DayOfWeek").alias("Weekday"), *[f"h{h:02d}" for h in hours])
              .orderBy("DayOfWeek"))
 

@@ -1,9 +1,10 @@
 """The cleaning program as one call: raw lines -> clean Parquet tables.
 
-``clean_to_parquet`` writes the dashboard table (C14) and, optionally, the
-basket table (C15), then returns the checks the cleaning run reports: row
-and code counts (C12) and the weekday profile (C13), read back from the
-written table.
+``clean_to_parquet`` reads the raw files once: the typed, valid lines are
+written to a scratch table, from which the dashboard table (C14), the basket
+table (C15, if wanted) and the name lookups of both come. It returns the
+checks the cleaning run reports: row and code counts (C12) and the weekday
+profile (C13), read back from the written table.
 """
 
 from __future__ import annotations
@@ -11,15 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import clean as C
+from tillroll.plans.lineage import Scratch
 from tillroll.sources.files import read_raw, read_sales, write_sales
 
 
 def clean_to_parquet(spark: SparkSession, raw_path: str, sales_path: str, basket_path: str | None = None,
-                     fmt: str = "csv", partition_by: list[str] | None = None,
+                     fmt: str = "csv", partition_by: list[str] | None = None, formats: list[str] | None = None,
                      **read_options) -> tuple[DataFrame, DataFrame]:
     raw = read_raw(spark, raw_path, fmt, **read_options)
-    write_sales(C.clean_sales(raw), sales_path, partition_by=partition_by)
-    if basket_path:
-        write_sales(C.clean_basket_lines(raw), basket_path)
+    with Scratch(spark) as scratch:
+        valid = scratch.table(C.filter_valid(raw, formats), "valid_lines")
+        write_sales(C.sales_of_valid(valid), sales_path, partition_by=partition_by)
+        if basket_path:
+            write_sales(C.basket_lines_of_valid(valid), basket_path)
     clean = read_sales(spark, sales_path)
     return C.clean_summary(clean), C.weekday_profile(clean)

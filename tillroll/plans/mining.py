@@ -11,19 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tillroll.operators import basket as B
-from tillroll.plans.lineage import written_table
+from tillroll.plans.lookup import lookup_table
 from tillroll.sources.files import write_rules_csv
 
 REPORTS = ("frequent_itemsets_with_desc", "association_rules_with_desc",
            "top_association_rules_with_desc", "friendly_top_rules")
 
 
-def mine_and_report(lines: DataFrame, out_dir: str, ladder=B.DEFAULT_LADDER, max_items: int = 30,
+def mine_and_report(lines: DataFrame, out_dir: str, ladder=B.DEFAULT_LADDER, max_items: int | None = None,
                     top_n: int = 20, num_partitions: int | None = None) -> DataFrame:
-    """B1-B18 + A4 on clean basket lines (C15 output or a table of it)."""
-    lines = written_table(lines.select("InvoiceNo", "StockCode", "Description", "Quantity"), "basket_lines")
+    """B1-B18 + A4 on clean basket lines. Give a table of them (C15 written):
+    it is scanned twice, for the baskets and for the product table."""
     run = B.mine_with_backoff(lines, ladder, max_items, num_partitions=num_partitions)
-    dim = B.product_dim(lines)
+    dim = lookup_table(B.product_dim(lines))
     rules = B.describe_rules(run.rules, dim)
     out = out_dir.rstrip("/")
     write_rules_csv(B.describe_itemsets(run.itemsets, dim), f"{out}/{REPORTS[0]}")

@@ -1,7 +1,7 @@
 """DuckDB SQL equal to each registered query (the correctness oracle).
 
 The fixture views are written as CTEs over the pre-registered tables.
-Money is summed in whole cents on both sides; arrays are rendered as text
+Money is summed as plain decimals; arrays are rendered as text
 the same way as :func:`tillroll.plans.registry.flat`.
 """
 
@@ -21,7 +21,7 @@ NO_DESC = NO_DESCRIPTION.replace("'", "''")
 
 
 def money(expr: str) -> str:
-    return f"(CAST(SUM(CAST(round(({expr}) * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+    return f"CAST(CAST(SUM(CAST({expr} AS DECIMAL(28, 6))) AS VARCHAR) AS DOUBLE)"
 
 
 def month_year(y="Year", m="Month") -> str:
@@ -29,7 +29,10 @@ def month_year(y="Year", m="Month") -> str:
 
 
 def list_repr(arr: str) -> str:
-    return f"('[' || array_to_string(list_transform({arr}, lambda x: '''' || x || ''''), ', ') || ']')"
+    shown = "replace(replace(replace(replace(x, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+    item = (f"CASE WHEN contains(x, chr(39)) AND NOT contains(x, chr(34)) THEN chr(34) || {shown} || chr(34) "
+            f"ELSE chr(39) || replace({shown}, chr(39), chr(92) || chr(39)) || chr(39) END")
+    return f"('[' || array_to_string(list_transform({arr}, lambda x: {item}), ', ') || ']')"
 
 
 def codes(arr: str) -> str:
@@ -66,26 +69,39 @@ RAW = f"""raw_sales AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS InvoiceNo,
          CASE WHEN l_linenumber % 2 = 0 THEN ' ' || lower(p_brand) || ' ' ELSE p_brand END AS StockCode,
          CASE WHEN p_brand = 'Brand#13' OR (l_orderkey + l_linenumber) % 11 = 0 THEN NULL
-              WHEN (l_orderkey + l_linenumber) % 11 = 1 THEN '' ELSE p_name END AS Description,
+              WHEN (l_orderkey + l_linenumber) % 11 = 1 THEN ''
+              WHEN l_partkey % 5 = 0 THEN p_name || '''S' WHEN l_partkey % 5 = 1 THEN p_name || ' ''A'' 6"'
+              ELSE p_name END AS Description,
          CASE WHEN l_orderkey % 97 = 0 THEN 'bad'
+              WHEN l_orderkey % 101 = 1 THEN 'NaN' WHEN l_orderkey % 103 = 1 THEN 'Infinity'
+              WHEN l_orderkey % 107 = 1 THEN '1e12' WHEN l_orderkey % 109 = 1 THEN '1d'
+              WHEN l_orderkey % 113 = 1 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.5'
               WHEN l_orderkey % 31 = 0 THEN '-' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
               WHEN l_orderkey % 29 = 0 THEN '0'
               ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS Quantity,
          CASE WHEN l_orderkey % 89 = 0 THEN 'not a date'
+              WHEN l_orderkey % 91 = 1 THEN strftime(o_orderdate, '%-m/%-d/%Y %-H:%M')
               ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS InvoiceDate,
-         CASE WHEN l_partkey % 83 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS UnitPrice,
+         CASE WHEN l_partkey % 83 = 0 THEN 'n/a' WHEN l_partkey % 7 = 1 THEN '0.004' ELSE CAST(p_retailprice AS VARCHAR) END AS UnitPrice,
          CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS CustomerID,
          n_name AS Country
   FROM {_LINES})"""
 
-PARSED_DATES = """parsed AS (
-  SELECT InvoiceNo, StockCode, Description, Quantity, TRY_CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate,
-         UnitPrice, CustomerID, Country FROM raw_sales WHERE TRY_CAST(InvoiceDate AS TIMESTAMP) IS NOT NULL)"""
+DATED = "COALESCE(TRY_CAST(InvoiceDate AS TIMESTAMP), try_strptime(InvoiceDate, '%m/%d/%Y %H:%M'))"
+PARSED_DATES = f"""parsed AS (
+  SELECT InvoiceNo, StockCode, Description, Quantity, {DATED} AS InvoiceDate,
+         UnitPrice, CustomerID, Country FROM raw_sales WHERE {DATED} IS NOT NULL)"""
 
-NUMERIC = """numeric AS (
-  SELECT InvoiceNo, StockCode, Description, CAST(TRY_CAST(Quantity AS DOUBLE) AS BIGINT) AS Quantity,
-         InvoiceDate, TRY_CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country
-  FROM parsed WHERE TRY_CAST(Quantity AS DOUBLE) IS NOT NULL AND TRY_CAST(UnitPrice AS DOUBLE) IS NOT NULL)"""
+
+def number(col: str) -> str:
+    """A text as finite number, else null."""
+    return f"CASE WHEN isfinite(TRY_CAST({col} AS DOUBLE)) AND NOT regexp_matches({col}, '[a-df-zA-DF-Z]') THEN TRY_CAST({col} AS DOUBLE) END"
+
+
+NUMERIC = f"""numeric AS (
+  SELECT InvoiceNo, StockCode, Description, {number('Quantity')} AS Quantity,
+         InvoiceDate, {number('UnitPrice')} AS UnitPrice, CustomerID, Country
+  FROM parsed WHERE {number('Quantity')} IS NOT NULL AND {number('UnitPrice')} IS NOT NULL)"""
 
 VALID = """valid AS (SELECT * FROM numeric WHERE Quantity >= 0 AND UnitPrice >= 0)"""
 
@@ -347,8 +363,20 @@ FROM valid v LEFT JOIN modal m ON v.StockCode = m.StockCode"""
 FROM (SELECT DayOfWeek, COUNT(*) AS n_rows FROM sales GROUP BY DayOfWeek)"""
     q["clean_sales"] = _with(CLEAN_SALES) + "SELECT * FROM clean_sales"
     q["clean_basket_lines"] = _with(CLEAN_BASKET) + "SELECT * FROM clean_basket_lines"
+    q["dropped_counts"] = _with(RAW) + f"""SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (d IS NULL) AS n_no_date,
+       COUNT(*) FILTER (d IS NOT NULL AND (n IS NULL OR p IS NULL)) AS n_no_number,
+       COUNT(*) FILTER (d IS NOT NULL AND n IS NOT NULL AND p IS NOT NULL AND (n < 0 OR p < 0)) AS n_negative,
+       COUNT(*) FILTER (d IS NOT NULL AND n >= 0 AND p >= 0) AS n_kept
+FROM (SELECT {DATED} AS d, {number('Quantity')} AS n, {number('UnitPrice')} AS p FROM raw_sales)"""
+    q["clean_kpis"] = _with(CLEAN_SALES) + f"""SELECT total_revenue, total_invoices, total_customers,
+       total_revenue / total_invoices AS avg_order_value
+FROM (SELECT {money('TotalValue')} AS total_revenue, COUNT(DISTINCT InvoiceNo) AS total_invoices,
+             COUNT(DISTINCT CustomerID) AS total_customers FROM clean_sales)"""
+    q["ingest_raw"] = q["clean_sales"]
+    q["load_sales"] = _with(S) + f"SELECT {ALL_SALES_COLS.replace('StockCode', 'upper(trim(StockCode)) AS StockCode')} FROM sales"
     # F
     q.update(_filter_sql())
+    q["filtered_count"] = f"SELECT COUNT(*) AS n_rows FROM ({q['filter_both']})"
     q["list_countries"] = _with(S) + "SELECT DISTINCT Country FROM sales"
     q["date_bounds"] = _with(S) + """SELECT CAST(min(InvoiceDate) AS DATE) AS min_date,
        CAST(max(InvoiceDate) AS DATE) AS max_date FROM sales"""
@@ -363,6 +391,7 @@ FROM (SELECT {money('TotalValue')} AS total_revenue, COUNT(DISTINCT InvoiceNo) A
 WHERE Description IS NOT NULL GROUP BY Description ORDER BY Quantity DESC, Description LIMIT 10"""
     q["order_values"] = _with(S, ORDER_VALUES) + "SELECT * FROM ov"
     q["order_value_p95"] = _with(S, ORDER_VALUES, P95) + "SELECT * FROM p95"
+    q["order_value_p95_approx"] = _with(S, ORDER_VALUES) + "SELECT COUNT(*) AS n_orders, true AS within FROM ov"
     q["trimmed_order_values"] = _with(S, ORDER_VALUES, P95, TRIMMED) + "SELECT * FROM tr"
     q["order_value_histogram"] = _with(S, ORDER_VALUES, P95, TRIMMED) + """, b AS (SELECT min(TotalValue) AS lo, max(TotalValue) AS hi FROM tr),
 c AS (SELECT CASE WHEN hi - lo > 0 THEN LEAST(CAST(floor((TotalValue - lo) * 50 / (hi - lo)) AS INTEGER) + 1, 50)
@@ -430,7 +459,7 @@ ORDER BY md5('42:' || CAST(CustomerID AS VARCHAR)), CustomerID LIMIT 1000"""
         q[key] = _with(DESCRIBED) + f"""SELECT {RULES_DESCRIBED_COLS},
        {list_repr('antecedent_with_desc')} || ' → ' || {list_repr('consequent_with_desc')} AS rule
 FROM (SELECT * FROM rd ORDER BY {_rule_order(by)} LIMIT 20)"""
-    q["friendly_rules"] = _with(DESCRIBED) + f"""SELECT CAST(rule_id AS INTEGER) AS rule_id,
+    q["friendly_rules"] = _with(DESCRIBED) + f"""SELECT CAST(rule_id AS BIGINT) AS rule_id,
        {codes('antecedent')} AS antecedent_codes, array_to_string(antecedent_names, '; ') AS antecedent_descriptions,
        {codes('consequent')} AS consequent_codes, array_to_string(consequent_names, '; ') AS consequent_descriptions,
        confidence, lift

@@ -22,7 +22,8 @@ from tillroll.operators import filters as FL
 from tillroll.operators import overview as K
 from tillroll.operators import rfm as R
 from tillroll.operators import timeline as TL
-from tillroll.plans.lineage import written_table
+from tillroll.plans.lineage import Scratch, checkpointed
+from tillroll.plans.lookup import Lookup, lookup_table
 from tillroll.session import scratch_path
 from tillroll.sources import files as A
 from tillroll.sources import testdata as V
@@ -82,31 +83,52 @@ def roundtrip_parquet(spark, sf):
     return A.read_sales(spark, path)
 
 
+def load_sales(spark, sf):
+    path = scratch_path(spark, "sales")
+    A.write_sales(_sales(spark, sf), path, partition_by=["Year", "Month"])
+    loaded = A.load_sales(spark, path)
+    return loaded.select(_sales(spark, sf).columns)
+
+
+def ingest_raw(spark, sf):
+    path = scratch_path(spark, "raw")
+    (_raw(spark, sf).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return C.clean_sales(A.read_raw(spark, path, escape='"'))
+
+
 def profile_counts(spark, sf):
     return A.profile(_sales(spark, sf))
 
 
-def _described_run(spark, sf) -> tuple[B.MiningRun, DataFrame]:
+def _described(spark, sf, report: Callable[[B.MiningRun, Lookup], DataFrame]) -> DataFrame:
     # Clean once, keep the columns mining and naming read, write it down:
-    # baskets, the product table and every report then scan these files.
-    lines = written_table(C.clean_basket_lines(_raw(spark, sf))
-                          .select("InvoiceNo", "StockCode", "Description", "Quantity"), "basket_lines")
-    run = B.mine_with_backoff(lines, DESCRIBED_LADDER, max_items=30)
-    return run, B.product_dim(lines)
+    # the baskets and the product table then scan these files. The report is
+    # checkpointed, so that everything it came from can be let go.
+    with Scratch(spark) as scratch:
+        lines = scratch.table(C.clean_basket_lines(_raw(spark, sf))
+                              .select("InvoiceNo", "StockCode", "Description", "Quantity"), "basket_lines")
+        run = B.mine_with_backoff(lines, DESCRIBED_LADDER, max_items=30)
+        try:
+            return checkpointed(report(run, lookup_table(B.product_dim(lines))))
+        finally:
+            run.close()
 
 
 def rules_described(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return flat(B.describe_rules(run.rules, dim))
+    return _described(spark, sf, lambda run, dim: flat(B.describe_rules(run.rules, dim)))
 
 
 def roundtrip_rules_csv(spark, sf):
-    run, dim = _described_run(spark, sf)
     path = scratch_path(spark, "rules_csv")
-    rules = B.describe_rules(run.rules, dim).select(
-        "antecedent", "consequent", "confidence", "lift", "support", "antecedent_with_desc", "consequent_with_desc")
-    A.write_rules_csv(rules, path)
-    return flat(A.read_rules_csv(spark, path, "rules"))
+
+    def written(run, dim):
+        rules = B.describe_rules(run.rules, dim).select(
+            "antecedent", "consequent", "confidence", "lift", "support", "antecedent_with_desc", "consequent_with_desc")
+        A.write_rules_csv(rules, path)
+        return flat(A.read_rules_csv(spark, path, "rules"))
+
+    return _described(spark, sf, written)
 
 
 # ---- C: cleaning -------------------------------------------------------------
@@ -176,6 +198,14 @@ def clean_basket_lines(spark, sf):
     return C.clean_basket_lines(_raw(spark, sf))
 
 
+def dropped_counts(spark, sf):
+    return C.dropped_counts(_raw(spark, sf))
+
+
+def clean_kpis(spark, sf):
+    return K.kpis(C.clean_sales(_raw(spark, sf)))
+
+
 # ---- F: filters --------------------------------------------------------------
 
 def filter_country(spark, sf):
@@ -192,6 +222,10 @@ def filter_both(spark, sf):
     return FL.filter_sales(_sales(spark, sf), countries=c, start=s, end=e)
 
 
+def filtered_count(spark, sf):
+    return FL.filtered_count(filter_both(spark, sf))
+
+
 def list_countries(spark, sf):
     return FL.list_countries(_sales(spark, sf))
 
@@ -222,6 +256,16 @@ def order_value_p95(spark, sf):
     return K.order_value_p95(_sales(spark, sf), exact=True)
 
 
+def order_value_p95_approx(spark, sf):
+    """The default percentile is off by at most 1/10000 of the ranks: whether
+    the limit's rank is that near (one row)."""
+    orders = checkpointed(K.order_values(_sales(spark, sf)))
+    limit = K.order_value_percentile(orders).scalar()
+    n = F.count(F.lit(1))
+    upto, below = F.count_if(F.col("TotalValue") <= limit), F.count_if(F.col("TotalValue") < limit)
+    return orders.agg(n.alias("n_orders"), ((upto >= (0.95 - 2e-4) * n) & (below <= (0.95 + 2e-4) * n + 1)).alias("within"))
+
+
 def trimmed_order_values(spark, sf):
     return K.trimmed_order_values(_sales(spark, sf), exact=True)
 
@@ -318,9 +362,13 @@ def rfm_sample(spark, sf):
 
 # ---- B: market basket --------------------------------------------------------
 
-def _mine(spark, sf, run) -> B.MiningRun:
+def _mined(spark, sf, run, report: Callable[[B.MiningRun], DataFrame]) -> DataFrame:
     item, ladder, max_items = run
-    return B.mine_with_backoff(V.basket_source(spark, sf, item), ladder, max_items)
+    mined = B.mine_with_backoff(V.basket_source(spark, sf, item), ladder, max_items)
+    try:
+        return checkpointed(flat(report(mined)))
+    finally:
+        mined.close()
 
 
 def product_dim(spark, sf):
@@ -344,46 +392,39 @@ def basket_limit(spark, sf):
 
 
 def frequent_itemsets(spark, sf):
-    return flat(_mine(spark, sf, ITEMSETS_RUN).itemsets)
+    return _mined(spark, sf, ITEMSETS_RUN, lambda run: run.itemsets)
 
 
 def itemsets_backoff(spark, sf):
-    run = _mine(spark, sf, BACKOFF_RUN)
-    return flat(run.itemsets.withColumn("min_support", F.lit(run.min_support)))
+    return _mined(spark, sf, BACKOFF_RUN, lambda run: run.itemsets.withColumn("min_support", F.lit(run.min_support)))
 
 
 def association_rules(spark, sf):
-    return flat(_mine(spark, sf, RULES_RUN).rules)
+    return _mined(spark, sf, RULES_RUN, lambda run: run.rules)
 
 
 def itemsets_described(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return flat(B.describe_itemsets(run.itemsets, dim))
+    return _described(spark, sf, lambda run, dim: flat(B.describe_itemsets(run.itemsets, dim)))
 
 
 def top_rules_confidence(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return flat(B.top_rules(run.rules, "confidence", dim=dim))
+    return _described(spark, sf, lambda run, dim: flat(B.top_rules(run.rules, "confidence", dim=dim)))
 
 
 def top_rules_lift(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return flat(B.top_rules(run.rules, "lift", dim=dim))
+    return _described(spark, sf, lambda run, dim: flat(B.top_rules(run.rules, "lift", dim=dim)))
 
 
 def friendly_rules(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return B.friendly_rules(run.rules, dim)
+    return _described(spark, sf, lambda run, dim: B.friendly_rules(run.rules, dim))
 
 
 def top_itemsets(spark, sf):
-    run, dim = _described_run(spark, sf)
-    return flat(B.top_itemsets(run.itemsets, dim))
+    return _described(spark, sf, lambda run, dim: flat(B.top_itemsets(run.itemsets, dim)))
 
 
 def mining_summary(spark, sf):
-    run, _ = _described_run(spark, sf)
-    return B.mining_summary(run)
+    return _described(spark, sf, lambda run, dim: B.mining_summary(run))
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in [
@@ -395,11 +436,13 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("missing_description", missing_description), ("line_total", line_total), ("floor_ms", floor_ms),
     ("calendar_columns", calendar_columns), ("clean_summary", clean_summary),
     ("weekday_profile", weekday_profile), ("clean_sales", clean_sales),
-    ("clean_basket_lines", clean_basket_lines),
-    ("filter_country", filter_country), ("filter_dates", filter_dates), ("filter_both", filter_both),
+    ("clean_basket_lines", clean_basket_lines), ("dropped_counts", dropped_counts), ("clean_kpis", clean_kpis),
+    ("ingest_raw", ingest_raw), ("load_sales", load_sales),
+    ("filter_country", filter_country), ("filter_dates", filter_dates), ("filter_both", filter_both), ("filtered_count", filtered_count),
     ("list_countries", list_countries), ("date_bounds", date_bounds),
     ("kpis", kpis), ("monthly_revenue", monthly_revenue), ("top_products", top_products),
     ("order_values", order_values), ("order_value_p95", order_value_p95),
+    ("order_value_p95_approx", order_value_p95_approx),
     ("trimmed_order_values", trimmed_order_values), ("order_value_histogram", order_value_histogram),
     ("country_metrics", country_metrics), ("top_countries_revenue", top_countries_revenue),
     ("top_countries_aov", top_countries_aov),

@@ -14,6 +14,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # when no frame refers to them any more
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -22,11 +23,22 @@ DEFAULTS = {
 def get_session(master: str | None = None, app_name: str = "tillroll",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with AQE on and the session zone in UTC.
+    """Build a session with our defaults, or reuse the active one.
 
-    On a cluster call it without ``master``: the launcher decides; settings
-    already present on the session are never overwritten.
+    A running session keeps every setting it has, its time zone too; only
+    settings it lacks are added. On a cluster call it without ``master``: the
+    launcher decides.
     """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        for k, v in (extra or {}).items():
+            if running.conf.get(k, None) is None and running.conf.isModifiable(k):
+                running.conf.set(k, v)
+        for k, v in DEFAULTS.items():
+            if running.conf.get(k, None) is None and running.conf.isModifiable(k):
+                running.conf.set(k, v)
+        ensure_checkpoint_dir(running)
+        return running
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

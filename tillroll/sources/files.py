@@ -70,6 +70,8 @@ def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
     of landing in one.
     """
     spark = df.sparkSession
+    # A timestamp without zone is always stored in microseconds; the table holds instants.
+    df = df.withColumns({c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"})
     key = "spark.sql.parquet.outputTimestampType"
     before = spark.conf.get(key, None)
     spark.conf.set(key, "TIMESTAMP_MILLIS")
@@ -103,13 +105,11 @@ def write_rules_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def parse_list_text(c) -> "F.Column":
     """List cell text -> array<string>. Accepts JSON (``["a","b"]``, what
-    :func:`write_rules_csv` writes) and Python-list text (``['a', 'b']``,
-    items in single quotes, or double quotes when they hold an apostrophe)."""
+    :func:`write_rules_csv` writes) and Python-list text (``['a', "it's"]``,
+    either quote, backslash escapes). Text that is neither gives null."""
     c = F.col(c) if isinstance(c, str) else c
-    as_json = F.from_json(c, T.ArrayType(T.StringType()))
-    quoted = F.regexp_extract_all(c, F.lit(r"""('[^']*'|"[^"]*")"""), 1)
-    as_py = F.transform(quoted, lambda x: F.substring(x, 2, F.length(x) - 2))
-    return F.when(c.startswith('["') | (F.trim(c) == "[]"), as_json).otherwise(as_py)
+    either = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    return F.from_json(c, T.ArrayType(T.StringType()), either)
 
 
 def read_rules_csv(spark: SparkSession, path: str, kind: str = "rules") -> DataFrame:

@@ -84,16 +84,22 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("long").cast("string")
     quantity = (F.when(ok % 97 == 0, F.lit("bad"))
+                 .when(ok % 101 == 1, F.lit("NaN")).when(ok % 103 == 1, F.lit("Infinity"))
+                 .when(ok % 107 == 1, F.lit("1e12")).when(ok % 109 == 1, F.lit("1d"))
+                 .when(ok % 113 == 1, F.concat(qty, F.lit(".5")))
                  .when(ok % 31 == 0, F.concat(F.lit("-"), qty))
                  .when(ok % 29 == 0, F.lit("0"))
                  .otherwise(qty))
-    date_text = F.when(ok % 89 == 0, F.lit("not a date")).otherwise(
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
-    price = F.when(pk % 83 == 0, F.lit("n/a")).otherwise(F.col("p_retailprice").cast("string"))
+    date_text = (F.when(ok % 89 == 0, F.lit("not a date"))
+                  .when(ok % 91 == 1, F.date_format("o_orderdate", "M/d/yyyy H:mm"))
+                  .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+    price = (F.when(pk % 83 == 0, F.lit("n/a")).when(pk % 7 == 1, F.lit("0.004"))
+              .otherwise(F.col("p_retailprice").cast("string")))
     code = F.when(ln % 2 == 0, F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" "))).otherwise(F.col("p_brand"))
     m11 = (ok + ln) % 11
     desc = (F.when((F.col("p_brand") == "Brand#13") | (m11 == 0), F.lit(None).cast("string"))
              .when(m11 == 1, F.lit(""))
+             .when(pk % 5 == 0, F.concat(F.col("p_name"), F.lit("'S"))).when(pk % 5 == 1, F.concat(F.col("p_name"), F.lit(" 'A' 6\"")))
              .otherwise(F.col("p_name")))
     cust = F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast("string")).otherwise(
         F.col("o_custkey").cast("string"))
