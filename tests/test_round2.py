@@ -122,3 +122,25 @@ def test_nothing_stays_persisted_after_a_mining_query(spark):
     out = registry.QUERIES["mining_summary"](spark, "/root/testdata/sf0.001")
     assert out.count() == 1 and F is not None
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_cut_keys_are_those_of_a_full_sort(spark):
+    import random
+
+    from tillroll.plans.ranking import kth_keys
+
+    r = random.Random(0)
+    rows = [(k, r.choice([1, 1, 1, 2, 5]), r.random() * 100, f"c{k % 50:03d}-{k}") for k in r.sample(range(10_000), 700)]
+    df = spark.createDataFrame(rows, "CustomerID int, Frequency int, Monetary double, Name string")
+    for metric, ident, key in (("Frequency", "CustomerID", lambda x: (x[1], x[0])), ("Monetary", "CustomerID", lambda x: (x[2], x[0])), ("Frequency", "Name", lambda x: (x[1], x[3]))):
+        ordered = sorted(map(key, rows))
+        ks = [1, 233, 467, 700]
+        assert kth_keys(df, metric, ident, ks, 700) == [ordered[k - 1] for k in ks]
+
+
+def test_scores_leave_the_customer_table_unsorted(spark):
+    from tillroll.operators import rfm as R
+    from tillroll.sources import testdata as V
+
+    out = R.rfm_scores(V.sales(spark, "/root/testdata/sf0.001", null_customers=True))
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString() and out.count() > 0

@@ -9,8 +9,8 @@ customer count ``n`` (one scalar on the driver).
   Recency is a whole number of days, so its histogram has one row per
   distinct day and the running count over it is small.
 * F, M (ranks, ties by CustomerID): rank at or under the first cut scores
-  1, then 2, else 3. Ranks come from :func:`global_row_number`
-  (range-partitioned), never from a one-task window over all customers.
+  1, then 2, else 3. Only the customers at the two cut ranks are looked up
+  (:func:`kth_keys`, bracket and count); everyone else is compared with them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import SEGMENTS, money_sum
 from tillroll.functions.quantiles import cut_positions, rank_cuts
 from tillroll.plans.lineage import checkpointed
-from tillroll.plans.ranking import global_row_number
+from tillroll.plans.ranking import kth_keys
 
 
 def rfm_reference_date(df: DataFrame) -> DataFrame:
@@ -73,23 +73,28 @@ def rfm_r_score(base: DataFrame, n: int | None = None) -> DataFrame:
 def rank_score(df: DataFrame, metric: str, out: str, n: int | None = None) -> DataFrame:
     """Tercile score of the rank of ``metric`` (ties by CustomerID)."""
     n = df.count() if n is None else n
-    c1, c2 = rank_cuts(max(n, 1))
-    ranked = global_row_number(df, [metric, "CustomerID"], "_rank")
-    score = F.when(F.col("_rank") <= c1, 1).when(F.col("_rank") <= c2, 2).otherwise(3)
-    return ranked.withColumn(out, score).drop("_rank")
+    cuts = [int(c) for c in rank_cuts(max(n, 1))]
+    inside = [c for c in cuts if 1 <= c <= n]
+    keys = dict(zip(inside, kth_keys(df, metric, "CustomerID", inside, n))) if inside else {}
+
+    def at_or_under(cut: int):
+        if cut not in keys:
+            return F.lit(cut > n)
+        value, ident = keys[cut]
+        return (F.col(metric) < F.lit(value)) | ((F.col(metric) == F.lit(value)) & (F.col("CustomerID") <= F.lit(ident)))
+
+    return df.withColumn(out, F.when(at_or_under(cuts[0]), 1).when(at_or_under(cuts[1]), 2).otherwise(3))
 
 
 def rfm_scores(df: DataFrame) -> DataFrame:
     """R2-R5 on sales lines: base columns, R/F/M scores and RFM_Score.
 
     The customer table is checkpointed once; its row count is the only
-    value the driver sees, and both ranks read the checkpoint."""
+    value the driver sees besides the cut keys."""
     base = checkpointed(rfm_base(df))
     n = base.count()
     scored = rank_score(base, "Frequency", "F_Score", n)
     scored = rank_score(scored, "Monetary", "M_Score", n)
-    # R last: its cut subquery then runs once, in the final job, instead of
-    # inside every ranking pass.
     scored = rfm_r_score(scored, n)
     return scored.select("CustomerID", "Recency", "Frequency", "Monetary", "R_Score", "F_Score", "M_Score",
                          (F.col("R_Score") + F.col("F_Score") + F.col("M_Score")).alias("RFM_Score"))

@@ -101,3 +101,40 @@ def percentile_disc(df: DataFrame, col: str, p: float, accuracy: int = 100_000)
     if counts["below"] < k <= counts["below"] + counts["m"]:
         return kth_smallest(df.filter(inside).select(col), [col], k=k - counts["below"], tie_break=True)
     return kth_smallest(df.select(col), [col], k=k, tie_break=True)
+
+
+def kth_values(df: DataFrame, col: str, ks: list[int], n: int, accuracy: int = 100_000) -> list[tuple]:
+    """For each k: the k-th smallest value of ``col``, how many of the ``n``
+    rows are below it and how many equal it. Nothing is sorted: approximate
+    percentiles bracket the value, one pass counts the rows under the
+    brackets, and only the different values inside them (about 4 n /
+    ``accuracy`` and a few common ones) are counted and added up in order.
+    Read ``df`` from a checkpoint: it is scanned three times."""
+    eps, v = 2.0 / accuracy, F.col(col)
+    at = [p for k in ks for p in (max(k / n - eps, 0.0), min(k / n + eps, 1.0))]
+    bounds = df.agg(F.percentile_approx(v, at, accuracy)).first()[0]
+    pairs = list(zip(bounds[::2], bounds[1::2]))
+    counts = df.agg(*[c for lo, hi in pairs for c in (F.count_if(v < F.lit(lo)), F.count_if(v <= F.lit(hi)))]).first()
+    spans = []
+    for k, (lo, hi), below, upto in zip(ks, pairs, counts[::2], counts[1::2]):
+        spans.append((k, v.between(lo, hi), below) if below < k <= upto else (k, F.lit(True), 0))
+    tagged = df.select(v.alias("value"), F.explode(F.array(*[F.when(inside, F.lit(i)) for i, (_, inside, _) in enumerate(spans)])).alias("cut"))
+    tally = tagged.filter("cut is not null").groupBy("cut", "value").agg(F.count(F.lit(1)).alias("same"))
+    upto = F.sum("same").over(Window.partitionBy("cut").orderBy("value"))
+    need = F.element_at(F.array(*[F.lit(k - below) for k, _, below in spans]), F.col("cut") + 1)
+    found = {r["cut"]: r for r in tally.withColumn("upto", upto).filter((F.col("upto") >= need) & (F.col("upto") - F.col("same") < need)).collect()}
+    return [(found[i]["value"], below + found[i]["upto"] - found[i]["same"], found[i]["same"]) for i, (_, _, below) in enumerate(spans)]
+
+
+def kth_keys(df: DataFrame, metric: str, ident: str, ks: list[int], n: int) -> list[tuple]:
+    """For each k: the k-th smallest (``metric``, ``ident``) of ``n`` rows,
+    ``ident`` telling rows apart, without sorting the table."""
+    keys = []
+    numeric = dict(df.dtypes)[ident] in ("int", "bigint", "smallint", "tinyint", "float", "double")
+    for k, (value, below, ties) in zip(ks, kth_values(df, metric, ks, n)):
+        same = df.filter(F.col(metric) == F.lit(value)).select(ident)
+        if numeric and ties > 1:
+            keys.append((value, kth_values(same, ident, [k - below], ties)[0][0]))
+        else:
+            keys.append((value, kth_smallest(same, [ident], k=k - below).first()[0] if ties > 1 else same.first()[0]))
+    return keys
