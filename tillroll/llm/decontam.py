@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import ascii_lower
+from tillroll.llm.shared import ascii_lower, finished
 from tillroll.plans.lineage import Scratch
 
 WINDOW = 10
@@ -143,9 +143,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hit = spans.withColumn("adds", F.greatest(adds, F.lit(0))).groupBy(*DOC).agg(F.sum("adds").alias("n_hit"))
     named = (matches.select(*DOC, "wid").distinct().join(window_items, "wid")
              .groupBy(*DOC).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    return (counted.join(hit, DOC, "left").join(named, DOC, "left")
-            .select(*DOC, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+    found = (counted.join(hit, DOC, "left").join(named, DOC, "left")
+             .select(*DOC, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+    return finished(found, scratch, "contamination")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import ascii_lower, content_tag
+from tillroll.llm.shared import ascii_lower, content_tag, finished
 from tillroll.plans.lineage import Scratch
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -80,8 +80,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     kept = F.transform(F.filter(gaps, lambda g: g["end"] > g["start"]),
                        lambda g: F.struct(g["start"].alias("start"), (g["end"] - g["start"]).alias("length")))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_lines").alias("length")))
-    return both.select("doc_id", "tag", "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-                       F.when(F.col("drops").isNull(), whole).otherwise(kept).alias("keep_runs"))
+    bitmaps = both.select("doc_id", "tag", "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+                          F.when(F.col("drops").isNull(), whole).otherwise(kept).alias("keep_runs"))
+    return finished(bitmaps, scratch, "keep-bitmaps")
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, info: str = "_lines") -> DataFrame:

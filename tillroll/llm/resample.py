@@ -93,6 +93,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     keyed = scratch.table(importance(docs, labels, most).withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(draw))), "importance")
     k = round(share * keyed.count())
     ranked = global_row_number(keyed, [F.col("gumbel_key").desc(), "doc_id", "tag"], "place")
+    scratch.close()  # the ranking is a checkpoint of its own
     return ranked.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("place") <= k).alias("selected"))
 
 

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import positions_within
+from tillroll.llm.shared import finished, positions_within
 from tillroll.plans.lineage import Scratch
 
 MAX_BLOCKS = 1 << 16
@@ -122,8 +122,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     for first in cuts:
         shard = shard + (F.col("key") >= F.lit(first)).cast("int")
     dealt = positions_within(rows.withColumn("shard", shard), ["shard"], ["uid"], "slot", rows.count())
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                        F.lit(None).cast("int").alias("grown_shard"))
+    return finished(dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard")), scratch, "shards")
 
 
 def op5_minimax_shards(spark, sf_dir: str) -> DataFrame:

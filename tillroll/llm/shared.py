@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.plans.lineage import Scratch
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows numbered by one task of :func:`positions_within`.
 ROWS_PER_BUCKET = 50_000
 
 
+def finished(result: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``result`` written to a table of its own, and the intermediate tables
+    of ``scratch`` deleted: nothing large outlives the operator."""
+    table = Scratch(result.sparkSession).table(result, name)
+    scratch.close()
+    return table
+
+
 def ascii_lower(c) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(F.col(c) if isinstance(c, str) else c, UPPER, UPPER.lower())

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import content_tag
+from tillroll.llm.shared import content_tag, finished
 from tillroll.plans.lineage import Scratch
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -210,7 +210,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     placed = nodes.join(found, nodes.fp == found.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = scratch.table(placed.join(names, "root").select("fp", "root", "component_id"), "groups")
-    return prints.join(named, "fp").select("doc_id", "tag", "fp", "root", "component_id")
+    return finished(prints.join(named, "fp").select("doc_id", "tag", "fp", "root", "component_id"), scratch, "simhash-groups")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
