@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.shared import bound_batches
+
 DIMS = 4_096
 PER_LANGUAGE = 400
 CENTROIDS = 4
@@ -177,6 +179,7 @@ def held_out() -> Column:
 
 def identify(docs: DataFrame, name: str = "language") -> DataFrame:
     """``docs`` and a struct column ``name``: (``lang``, ``score``, ``rejected``)."""
+    bound_batches(docs.sparkSession)
     return docs.select("*", predicted(fit(docs, ~held_out())).alias(name))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import MAX_TARGET, flag_target
+from tillroll.llm.shared import MAX_TARGET, bound_batches, flag_target
 
 WORDS, BIGRAMS = 1 << 15, 1 << 19
 WORD_BYTES = 64
@@ -112,6 +112,7 @@ def token_losses(ids: np.ndarray, word: np.ndarray, bigram: np.ndarray) -> np.nd
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
     """One row per document: ``doc_id``, ``n_tokens``, ``target_loss``,
     ``background_loss`` (per token) and ``score``, their difference."""
+    bound_batches(docs.sparkSession)
     vocab = vocabulary(docs)
     word, bigram = (x.astype("f4") for x in model_counts(flag_target(docs, labels, most), vocab))
 

@@ -46,7 +46,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import positions_within
+from tillroll.llm.shared import bound_batches, positions_within
 from tillroll.plans.lineage import Scratch
 
 CAPACITY = 2_048
@@ -88,6 +88,7 @@ def _pieces(vocabulary: str, capacity: int):
 def tokenise(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
     """Pieces, written: ``uid``, ``doc_id``, ``piece``, ``start``, ``length``,
     ``ids`` (little-endian unsigned 32-bit)."""
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     pieces = docs.select("doc_id", "text").mapInArrow(
         _pieces(vocabulary, capacity), f"doc_id {kind}, piece int, start long, length int, ids binary")

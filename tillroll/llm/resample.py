@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import MAX_TARGET, flag_target
+from tillroll.llm.shared import MAX_TARGET, bound_batches, flag_target
 from tillroll.plans.lineage import Scratch
 from tillroll.plans.ranking import global_row_number
 
@@ -69,6 +69,7 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 def importance(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id``, ``tag`` (hash of the text), ``n_grams``, ``log_weight``."""
+    bound_batches(docs.sparkSession)
     ratio = log_ratio(*bucket_counts(flag_target(docs, labels, most), buckets))
 
     @F.pandas_udf("n_grams long, log_weight double")

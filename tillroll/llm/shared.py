@@ -10,6 +10,8 @@ from tillroll.plans.lineage import Scratch
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows numbered by one task of :func:`positions_within`.
 ROWS_PER_BUCKET = 50_000
+# Rows of an Arrow batch of texts.
+BATCH_ROWS = 1_000
 
 
 def finished(result: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -20,6 +22,15 @@ def finished(result: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return table
 
 
+def bound_batches(spark) -> None:
+    """Texts go to Python in Arrow batches, which are cut by rows, not bytes.
+    A session without a setting of its own gets ``BATCH_ROWS``, so that long
+    texts do not add up to more than a worker holds."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def ascii_lower(c) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(F.col(c) if isinstance(c, str) else c, UPPER, UPPER.lower())

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import content_tag, finished
+from tillroll.llm.shared import bound_batches, content_tag, finished
 from tillroll.plans.lineage import Scratch
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -201,6 +201,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``tag`` (hash of the text), ``fp``
     (64 bits, signed), ``root`` (a fingerprint that names the group) and
     ``component_id``, the smallest doc_id reachable over links."""
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     prints = scratch.table(docs.select("doc_id", "text", content_tag().alias("tag"))
