@@ -9,7 +9,7 @@ from tillroll.plans.lineage import Scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows numbered by one task of :func:`positions_within`.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 10_000
 # Rows of an Arrow batch of texts.
 BATCH_ROWS = 1_000
 
