@@ -19,7 +19,17 @@ from tillroll.functions.columns import UNKNOWN_PRODUCT
 # ``yyyy-MM-dd[ HH:mm[:ss[.SSS]]]`` (month-first, as in the raw retail export).
 DATE_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy H:mm"]
 # Text that is a number: no NaN, no Infinity, no type suffix.
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+
+
+def _once(df: DataFrame, **columns) -> DataFrame:
+    """``withColumns`` whose expressions are worked out once per row. A filter
+    on a projected column is pushed below it, expression and all; parsing
+    would then run two or three times per line and outgrow what is compiled.
+    A one-row generator stops that."""
+    rest = [c for c in df.columns if c not in columns]
+    made = F.inline(F.array(F.struct(*[e.alias(c) for c, e in columns.items()])))
+    return df.select(*rest, made).select(df.columns)
 
 
 def _wall_clock(raw, fmt: str):
@@ -36,7 +46,7 @@ def parse_dates(df: DataFrame, col: str = "InvoiceDate", formats: list[str] | No
 
     ISO text is cast directly (no zone involved); other layouts are tried in
     the order of ``formats`` and read as wall-clock time."""
-    return df.withColumn(col, F.coalesce(*_date_tries(df, col, formats))).filter(F.col(col).isNotNull())
+    return _once(df, **{col: F.coalesce(*_date_tries(df, col, formats))}).filter(F.col(col).isNotNull())
 
 
 def _date_tries(df: DataFrame, col: str, formats: list[str] | None) -> list:
@@ -47,17 +57,22 @@ def _date_tries(df: DataFrame, col: str, formats: list[str] | None) -> list:
 
 
 def _number(df: DataFrame, col: str):
-    """A column as finite double, else null."""
+    """A column as double, null for NaN and text that is no number."""
     c = F.col(col)
-    value = F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")) if dict(df.dtypes)[col] == "string" else c.cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    if dict(df.dtypes)[col] != "string":
+        return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+    return F.regexp_extract(c, NUMBER, 1).try_cast("double")
+
+
+def _finite(col: str):
+    return F.col(col).isNotNull() & (F.abs(F.col(col)) < float("inf"))
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
     """Quantity and UnitPrice to doubles; whatever is no finite number
     (malformed, NaN, Infinity) -> null -> dropped. Fractions are kept."""
-    return (df.withColumn("Quantity", _number(df, "Quantity")).withColumn("UnitPrice", _number(df, "UnitPrice"))
-              .filter(F.col("Quantity").isNotNull() & F.col("UnitPrice").isNotNull()))
+    numbers = _once(df, Quantity=_number(df, "Quantity"), UnitPrice=_number(df, "UnitPrice"))
+    return numbers.filter(_finite("Quantity") & _finite("UnitPrice"))
 
 
 def drop_returns(df: DataFrame) -> DataFrame:
@@ -163,10 +178,12 @@ def filter_valid(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
 def dropped_counts(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
     """What :func:`filter_valid` drops, by rule (one row): rows in, without a
     date, then without numbers, then negative, and kept. One pass."""
-    marked = raw.select("InvoiceDate", _number(raw, "Quantity").alias("q"), _number(raw, "UnitPrice").alias("p"))
-    dated = F.coalesce(*_date_tries(marked, "InvoiceDate", formats)).isNotNull()
-    numbers = F.col("q").isNotNull() & F.col("p").isNotNull()
-    positive = (F.col("q") >= 0) & (F.col("p") >= 0)
+    lines = raw.select("InvoiceDate", "Quantity", "UnitPrice")
+    marked = _once(lines, InvoiceDate=F.coalesce(*_date_tries(raw, "InvoiceDate", formats)),
+                   Quantity=_number(raw, "Quantity"), UnitPrice=_number(raw, "UnitPrice"))
+    dated = F.col("InvoiceDate").isNotNull()
+    numbers = F.coalesce(_finite("Quantity"), F.lit(False)) & F.coalesce(_finite("UnitPrice"), F.lit(False))
+    positive = (F.col("Quantity") >= 0) & (F.col("UnitPrice") >= 0)
     return marked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~dated).alias("n_no_date"),
                       F.count_if(dated & ~numbers).alias("n_no_number"), F.count_if(dated & numbers & ~positive).alias("n_negative"),
                       F.count_if(dated & numbers & positive).alias("n_kept"))
