@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.shared import MAX_TARGET, bound_batches, flag_target
+from tillroll.plans.lineage import Scratch
 
 WORDS, BIGRAMS = 1 << 15, 1 << 19
 WORD_BYTES = 64
@@ -59,8 +60,20 @@ def vocabulary(docs: DataFrame, size: int = WORDS) -> dict[bytes, int]:
                 seen.clear()
         yield rows()
 
-    counts = docs.select("text").mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter("n > 1").orderBy(F.col("n").desc(), "word").limit(size).collect()
+    scratch = Scratch(docs.sparkSession)
+    counts = scratch.table(docs.select("text").mapInArrow(counted, "word binary, n long")
+                           .groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "word-counts")
+    # How many words there are of each count (nearly, for large ones) tells from which count on they
+    # are wanted; so the driver is sent little more than ``size`` words, however many there are.
+    level = F.when(F.col("n") < 64, F.col("n")).otherwise(64 + F.floor(F.log2(F.col("n") / 64.0) * 16))
+    tally = {r["level"]: r["words"] for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    wanted, found = 0, 0
+    for wanted in sorted(tally, reverse=True):
+        found += tally[wanted]
+        if found >= size:
+            break
+    top = counts.filter(level >= wanted).orderBy(F.col("n").desc(), "word").limit(size).collect()
+    scratch.close()
     return {bytes(r["word"]): k + 2 for k, r in enumerate(top)}
 
 
