@@ -138,6 +138,31 @@ def test_losses(spark, monkeypatch):
     assert all((r["score"] is None) == (r["n_tokens"] == 0) for r in got)
 
 
+def test_losses_in_a_corpus_many_times_larger(spark):
+    """More words and more pairs than any fixed table would hold, and documents longer than a block."""
+    r = np.random.default_rng(5)
+    long = "many" * 20
+    some = [(i, f"the cat number{i % 3} sat on the {long} mat. " * 5, "en") for i in range(6)]
+    filler = [(100 + k, " ".join(f"w{x}" for x in r.integers(0, 50_000, 400)), "en") for k in range(2_000)]
+    filler.append((99, " ".join(f"w{x}" for x in r.integers(0, 9_000, lmscore.BLOCK + 50_000)), "en"))
+    labels = [(i, 1, 0) for i in (1, 2, *range(100, 400))]
+    for rows in (some, some + filler):
+        toks = {i: t.encode().split() for i, t, _ in rows}
+        every = Counter(w for ws in toks.values() for w in ws)
+        ids = {i: ["<s>"] + [w if every[w] > 1 else "?" for w in ws] for i, ws in toks.items()}
+        vocab, good = sum(n > 1 for n in every.values()), {i for i, *_ in labels}
+        models = []
+        for keep in (good, set(ids)):
+            word = Counter(w for i, ws in ids.items() if i in keep for w in ws)
+            models.append((word, Counter(p for i, ws in ids.items() if i in keep for p in zip(ws, ws[1:])), sum(word.values()) - word["<s>"]))
+        got = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(docs_frame(spark, rows), labels_frame(spark, labels)).collect()}
+        assert len(got) == len(rows)
+        for i, ws in ids.items():
+            want = [-np.mean([math.log((pair[a, b] + lmscore.PRIOR * (word[b] + 0.5) / (total + 0.5 * (vocab + 1))) / (word[a] + lmscore.PRIOR))
+                              for a, b in zip(ws, ws[1:])]) for word, pair, total in models]
+            assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx(want, abs=1e-9)
+
+
 def test_good_text_scores_below_bad(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = lmscore.op3_cross_entropy_difference(spark, SF).join(labels, "doc_id").agg(

@@ -5,13 +5,21 @@ Two bigram models, one of text labelled good (target) and one of all text
 score is the difference of its losses per token: below zero it is more like
 the target than like the corpus.
 
-The vocabulary is the ``WORDS`` most frequent words of the whole corpus that
-occur at least twice (words of over ``WORD_BYTES`` bytes and all others are
-one unknown word). Word counts are exact; bigram counts are kept in
-``BIGRAMS`` hashed places and can't exceed the counts of either word. So both
-models have a fixed size and may go to every task, while what is counted for
-them is every token of every document. A bigram's probability falls back on
-its second word's by a Dirichlet prior of ``PRIOR`` tokens.
+Counts are exact and grow with the corpus: the vocabulary is every word that
+occurs at least twice (words that occur once are one unknown word), and every
+pair of neighbours has a count of its own. A bigram's probability falls back
+on its second word's by a Dirichlet prior of ``PRIOR`` tokens; what a word's
+row lacks to one is the end of a text, which is not scored. Words and pairs
+are compared by 64-bit hashes, as in operator 6.
+
+The corpus is written once as blocks of about ``BLOCK`` tokens: the block's
+different words and, for each token, its place among them. A longer document
+goes on in the next block. Each block sends its sorted words, and later its
+pairs, with their counts to buckets of the hash range, which hold about
+``BUCKET_BYTES`` of text each, however large the corpus. A bucket adds up and
+sends every block the totals of what it asked for, and the block's documents
+are scored by them. A word or pair reaches its bucket once from a block, so a
+very common one is no larger than others.
 
 Defined cases: a null text or one without words has 0 tokens and null losses
 and score; rows are scored each, however often repeated; without any labels
@@ -21,126 +29,252 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+import re
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import MAX_TARGET, bound_batches, flag_target
+from tillroll.llm.shared import MAX_TARGET, bound_batches, finished, target_ids
 from tillroll.plans.lineage import Scratch
 
-WORDS, BIGRAMS = 1 << 15, 1 << 19
-WORD_BYTES = 64
 PRIOR = 10.0
-UNKNOWN, BEGIN = 0, 1  # ids before those of the vocabulary
-# Different words a task counts before it passes them on.
-FLUSH = 500_000
+# Keys before those of the words.
+UNKNOWN, BEGIN = 0, 1
+# A block ends after so many tokens, or bytes of text.
+BLOCK, BLOCK_BYTES = 1 << 21, 1 << 25
+# Bytes of one text split into words at once.
+CHUNK = 1 << 20
+BUCKET_BYTES = 6 << 20
+SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+# Kinds of rows that a block gets.
+GOOD, WORDS, PAIRS = 0, 1, 2
+SLICE = "block long, bucket int, keys binary, counts binary"
+TOTALS = "block long, at int, totals binary, words long, target long, background long, rare_target long, rare_background long"
 
 
-def words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def words(text: bytes) -> Iterator[list[bytes]]:
+    """The words in order, of some ``CHUNK`` bytes at a time."""
+    at = 0
+    while at < len(text):
+        gap = SPACE.search(text, at + CHUNK)
+        end = gap.start() if gap else len(text)
+        yield text[at:end].lower().split()
+        at = end
 
 
-def vocabulary(docs: DataFrame, size: int = WORDS) -> dict[bytes, int]:
-    """Ids of the most frequent words, ties by word."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+def planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second ones: high ones are mostly 0."""
+    return np.ascontiguousarray(values).view("u1").reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(held: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(held, "u1").reshape(size, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(held: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(held, "<u8"), dtype="u8")
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def slices(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
+    """Sorted keys and their (target, background) counts, a row per bucket."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype("i4")
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts[1:], len(keys))
+    return pa.table({"block": pa.array(np.full(len(starts), block)), "bucket": pa.array(bucket[starts]),
+                     "keys": pa.array([packed_keys(keys[a:z]) for a, z in zip(starts, ends)], pa.binary()),
+                     "counts": pa.array([planes(counts[a:z].astype("<u4").ravel()) for a, z in zip(starts, ends)], pa.binary())})
+
+
+def bucket_totals(rows: pa.Table) -> pa.Table:
+    """For each slice of a bucket the totals of its keys. The first row also
+    has sums over the bucket's words: different ones that occur twice, all
+    occurrences in both models, and those of words that occur once."""
+    keys = [unpacked_keys(k) for k in rows.column("keys").to_pylist()]
+    counts = np.concatenate([from_planes(c, "<u4") for c in rows.column("counts").to_pylist()]).reshape(-1, 2)
+    every, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.column_stack([np.bincount(at, counts[:, m], len(every)) for m in (0, 1)]).astype("<i8")
+    totals = np.split(sums[at], np.cumsum([len(k) for k in keys])[:-1])
+    word, rare = every != BEGIN, sums[:, 1] < 2
+    stats = [(word & ~rare).sum(), *sums[word].sum(axis=0), *sums[word & rare].sum(axis=0)]
+    return pa.table({"block": rows.column("block"), "at": rows.column("bucket"), "totals": pa.array([planes(t.ravel()) for t in totals], pa.binary()),
+                     **{name: pa.array([int(s)] + [0] * (len(keys) - 1), pa.int64())
+                        for name, s in zip(("words", "target", "background", "rare_target", "rare_background"), stats)}})
+
+
+def written_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` as blocks: ``keys`` of the different words, sorted after
+    ``BEGIN``; ``tokens``, places in ``keys`` of each piece's words after the
+    one before them; ``doc_ids``, ``rows`` and ``lengths`` of the pieces. A
+    row's number is the same in all its pieces."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 33
+        made = row = 0
+        places: defaultdict = defaultdict()
+        places.default_factory = places.__len__  # a new word gets the next number
+        ids: list = []
+        numbers: list = []
+        lengths: list = []
+        tokens: list = []
+        held = size = 0
+
+        def block() -> pa.RecordBatch:
+            nonlocal made, held, size
+            hashed = np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in places), "<u8")
+            keys, at = np.unique(np.maximum(hashed, BEGIN + 1), return_inverse=True)
+            at = np.append(at + 1, 0).astype("<u4")  # BEGIN is -1 until here
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([base + made], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([numbers], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())),
+                 pa.array([pa.compress(planes(at[np.concatenate(tokens)]), "zstd", asbytes=True)], pa.binary()),
+                 pa.array([packed_keys(np.append(np.uint64(BEGIN), keys))], pa.binary())],
+                names=["block", "doc_ids", "rows", "lengths", "tokens", "keys"])
+            made += 1
+            held = size = 0
+            for x in (places, ids, numbers, lengths, tokens):
+                x.clear()
+            return out
 
-        seen: Counter = Counter()
-        for b in batches:
-            for text in b.column("text").cast(pa.binary()):
-                seen.update(w for w in words(text.as_py()) if len(w) <= WORD_BYTES)
-            if len(seen) > FLUSH:
-                yield rows()
-                seen.clear()
-        yield rows()
-
-    scratch = Scratch(docs.sparkSession)
-    counts = scratch.table(docs.select("text").mapInArrow(counted, "word binary, n long")
-                           .groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "word-counts")
-    # How many words there are of each count (nearly, for large ones) tells from which count on they
-    # are wanted; so the driver is sent little more than ``size`` words, however many there are.
-    level = F.when(F.col("n") < 64, F.col("n")).otherwise(64 + F.floor(F.log2(F.col("n") / 64.0) * 16))
-    tally = {r["level"]: r["words"] for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()}
-    wanted, found = 0, 0
-    for wanted in sorted(tally, reverse=True):
-        found += tally[wanted]
-        if found >= size:
-            break
-    top = counts.filter(level >= wanted).orderBy(F.col("n").desc(), "word").limit(size).collect()
-    scratch.close()
-    return {bytes(r["word"]): k + 2 for k, r in enumerate(top)}
-
-
-def token_ids(text: bytes | None, vocab: dict[bytes, int]) -> np.ndarray:
-    return np.array([BEGIN] + [vocab.get(w, UNKNOWN) for w in words(text)], dtype="int64")
-
-
-def bigram_places(ids: np.ndarray) -> np.ndarray:
-    mixed = (ids[:-1].astype("u8") * np.uint64(0x9E3779B97F4A7C15) + ids[1:].astype("u8")) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((mixed >> np.uint64(40)) % np.uint64(BIGRAMS)).astype("int64")
-
-
-def model_counts(flagged: DataFrame, vocab: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(words, bigrams): counts by model (0 target, 1 background) and place,
-    over all rows of ``flagged`` (``text``, ``target``)."""
-    n_words = len(vocab) + 2
-    size = n_words + BIGRAMS
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size), dtype="int64")
         for b in batches:
-            held: tuple[list, list] = ([], [])
-            for text, target in zip(b.column("text").cast(pa.binary()), b.column("target")):
-                ids = token_ids(text.as_py(), vocab)
-                held[0 if target.as_py() else 1].extend((ids, n_words + bigram_places(ids)))
-            for model in (0, 1):
-                if held[model]:
-                    sums[model] += np.bincount(np.concatenate(held[model]), minlength=size)
-        at = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[0][at]), pa.array(sums[0][at] + sums[1][at])], names=["place", "target", "background"])
-
-    parts = flagged.select("text", "target").mapInArrow(counted, "place long, target long, background long")
-    sums = parts.groupBy("place").agg(F.sum("target").alias("t"), F.sum("background").alias("b")).toArrow()
-    both = np.zeros((2, size))
-    for model, name in enumerate(("t", "b")):
-        both[model, sums.column("place").to_numpy()] = sums.column(name).to_numpy()
-    return both[:, :n_words].copy(), both[:, n_words:].copy()
-
-
-def token_losses(ids: np.ndarray, word: np.ndarray, bigram: np.ndarray) -> np.ndarray:
-    """-log P of each token after the first, under one model's counts."""
-    own, last = word[ids[1:]], word[ids[:-1]]
-    total = word.sum() - word[BEGIN]
-    alone = (own + 0.5) / (total + 0.5 * (len(word) - 1))
-    pair = np.minimum(np.minimum(bigram[bigram_places(ids)], own), last)
+            kind = b.schema.field("doc_id").type
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary())):
+                before = None
+                for part in words(text.as_py() or b"") if text.as_py() else [[]]:
+                    for a in range(0, max(len(part), 1), BLOCK):
+                        piece = part[a:a + BLOCK]
+                        ids.append(doc_id), numbers.append(base + row), lengths.append(len(piece))
+                        tokens.append(np.array([-1 if before is None else places[before], *map(places.__getitem__, piece)]))
+                        before = piece[-1] if piece else before
+                        held, size = held + len(piece) + 1, size + sum(map(len, piece))
+                        if held >= BLOCK or size >= BLOCK_BYTES:
+                            yield block()
+                row += 1
+        if ids:
+            yield block()
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"block long, doc_ids array<{id_type}>, rows array<long>, lengths array<int>, tokens binary, keys binary"
+    return scratch.table(docs.select("doc_id", "text").mapInArrow(cut, schema), "blocks", compression="zstd")
+
+
+class Opened:
+    """A block with what it has got so far."""
+
+    def __init__(self, block: pa.Table, got: pa.Table):
+        self.row = {name: block.column(name)[0] for name in block.column_names}
+        self.number = self.row["block"].as_py()
+        self.lengths = self.row["lengths"].values.to_numpy()
+        self.keys = unpacked_keys(self.row["keys"].as_py())
+        size = 4 * int((self.lengths + 1).sum())
+        self.tokens = from_planes(pa.decompress(self.row["tokens"].as_py(), size, "zstd", asbytes=True), "<u4")
+        self.first = np.cumsum(self.lengths + 1) - self.lengths - 1  # the place before each piece
+        own = np.ones(len(self.tokens), dtype=bool)
+        own[self.first] = False
+        self.at = np.flatnonzero(own)
+        self.kind, self.place = got.column("kind").to_numpy(), got.column("at").to_numpy()
+        self.held = got.column("totals")
+        self.good = np.zeros(len(self.lengths), dtype=bool)
+        self.good[self.place[self.kind == GOOD]] = True
+
+    def totals(self, kind: int) -> np.ndarray:
+        """(target, background) totals, in the order of the keys sent."""
+        rows = np.flatnonzero(self.kind == kind)
+        parts = [from_planes(self.held[int(r)].as_py(), "<i8") for r in rows[np.argsort(self.place[rows])]]
+        return np.concatenate(parts or [np.zeros(0, "<i8")]).reshape(-1, 2)
+
+    def counts(self, at: np.ndarray, size: int, good: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.bincount(at[good], minlength=size), np.bincount(at, minlength=size)])
+
+    def word_counts(self) -> np.ndarray:
+        begins = self.first[self.tokens[self.first] == 0]
+        good = np.repeat(self.good, self.lengths)
+        return (self.counts(self.tokens[self.at], len(self.keys), good)
+                + self.counts(self.tokens[begins], len(self.keys), self.good[self.tokens[self.first] == 0]))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of the different pairs, and each token's place there."""
+        known = self.totals(WORDS)[:, 1] > 1
+        known[0] = True
+        ids = np.where(known, self.keys, np.uint64(UNKNOWN))[self.tokens]
+        return np.unique(pair_keys(ids[self.at - 1], ids[self.at]), return_inverse=True)
+
+
+def losses(pair: np.ndarray, own: np.ndarray, last: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
+    """-log P of tokens under one model's counts."""
+    alone = (own + 0.5) / (total + 0.5 * (vocabulary + 1))
     return -np.log((pair + PRIOR * alone) / (last + PRIOR))
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
     """One row per document: ``doc_id``, ``n_tokens``, ``target_loss``,
     ``background_loss`` (per token) and ``score``, their difference."""
-    bound_batches(docs.sparkSession)
-    vocab = vocabulary(docs)
-    word, bigram = (x.astype("f4") for x in model_counts(flag_target(docs, labels, most), vocab))
-
-    @F.pandas_udf("n_tokens long, target_loss double, background_loss double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            out = []
-            for t in texts:
-                ids = token_ids(t.encode() if t else None, vocab)
-                n = len(ids) - 1
-                out.append((n, *((float(token_losses(ids, word[m].astype(float), bigram[m]).mean()) if n else None) for m in (0, 1))))
-            yield pd.DataFrame(out, columns=["n_tokens", "target_loss", "background_loss"]).astype({"target_loss": "float64", "background_loss": "float64"})
-
-    scored = docs.select("doc_id", score("text").alias("s"))
-    return scored.select("doc_id", "s.n_tokens", "s.target_loss", "s.background_loss", (F.col("s.target_loss") - F.col("s.background_loss")).alias("score"))
+    spark = docs.sparkSession
+    bound_batches(spark)
+    scratch = Scratch(spark)
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Several buckets a task even out what tasks get.
+    buckets = max(-(-n_bytes // BUCKET_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = written_blocks(docs, scratch)
+    ids = target_ids(labels, most).select(F.col("doc_id").alias("_good"))
+    pieces = blocks.select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
+    good = scratch.table(pieces.join(ids, F.col("doc_id") == F.col("_good")).select("block", "at"), "good-pieces")
+    nothing = F.lit(None).cast("binary").alias("totals")
+    got = good.select("block", F.lit(GOOD).alias("kind"), "at", nothing)
+
+    def per_block(more: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        return blocks.groupBy("block").cogroup(more.groupBy("block")).applyInArrow(run, schema)
+
+    def send_words(block: pa.Table, more: pa.Table) -> pa.Table:
+        b = Opened(block, more)
+        return slices(b.number, b.keys, b.word_counts(), buckets)
+
+    word_totals = scratch.table(per_block(got, send_words, SLICE).groupBy("bucket").applyInArrow(bucket_totals, TOTALS), "word-totals", compression="zstd")
+    names = ("words", "target", "background", "rare_target", "rare_background")
+    n_words, n_target, n_background, *rare = (x or 0 for x in word_totals.agg(*[F.sum(name) for name in names]).first())
+    got = got.unionByName(word_totals.select("block", F.lit(WORDS).alias("kind"), "at", "totals"))
+
+    def send_pairs(block: pa.Table, more: pa.Table) -> pa.Table:
+        b = Opened(block, more)
+        keys, at = b.pairs()
+        return slices(b.number, keys, b.counts(at, len(keys), np.repeat(b.good, b.lengths)), buckets)
+
+    pair_totals = per_block(got, send_pairs, SLICE).groupBy("bucket").applyInArrow(bucket_totals, TOTALS)
+    got = got.unionByName(pair_totals.select("block", F.lit(PAIRS).alias("kind"), "at", "totals"))
+
+    def score(block: pa.Table, more: pa.Table) -> pa.Table:
+        b = Opened(block, more)
+        _, at = b.pairs()
+        word, pair = b.totals(WORDS), b.totals(PAIRS)
+        word[1:] = np.where(word[1:, 1:] > 1, word[1:], rare)
+        own, last = word[b.tokens[b.at]], word[b.tokens[b.at - 1]]
+        piece = np.repeat(np.arange(len(b.lengths)), b.lengths)
+        sums = [np.bincount(piece, losses(pair[at, m], own[:, m], last[:, m], total, n_words), len(b.lengths))
+                for m, total in enumerate((n_target, n_background))]
+        return pa.table({"row": b.row["rows"].values, "doc_id": b.row["doc_ids"].values, "n": pa.array(b.lengths.astype("i8")),
+                         "target": pa.array(sums[0]), "background": pa.array(sums[1])})
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    scored = (per_block(got, score, f"row long, doc_id {id_type}, n long, target double, background double")
+              .groupBy("row", "doc_id").agg(F.sum("n").alias("n_tokens"), F.sum("target").alias("t"), F.sum("background").alias("b")))
+    n = F.nullif(F.col("n_tokens"), F.lit(0))
+    lost = scored.select("doc_id", "n_tokens", (F.col("t") / n).alias("target_loss"), (F.col("b") / n).alias("background_loss"))
+    return finished(lost.withColumn("score", F.col("target_loss") - F.col("background_loss")), scratch, "scores")
 
 
 def op3_cross_entropy_difference(spark, sf_dir: str) -> DataFrame:
