@@ -163,6 +163,14 @@ def test_losses_in_a_corpus_many_times_larger(spark):
             assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx(want, abs=1e-9)
 
 
+def test_every_labelled_row_counts(spark):
+    """If all of a large corpus is labelled good, both models are the same."""
+    docs = spark.range(100_050).select(F.col("id").alias("doc_id"), F.concat(F.lit("own words "), F.col("id") % 1_000).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = lmscore.cross_entropy_difference(docs, labels.unionByName(labels.limit(10)))
+    assert got.agg(F.count_if(F.abs("score") < 1e-12), F.sum("n_tokens")).first()[:] == (100_050, 300_150)
+
+
 def test_good_text_scores_below_bad(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = lmscore.op3_cross_entropy_difference(spark, SF).join(labels, "doc_id").agg(

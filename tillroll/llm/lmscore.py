@@ -5,7 +5,8 @@ Two bigram models, one of text labelled good (target) and one of all text
 score is the difference of its losses per token: below zero it is more like
 the target than like the corpus.
 
-Counts are exact and grow with the corpus: the vocabulary is every word that
+Counts are exact and grow with the corpus, those of the target with all its
+labelled rows, which meet the documents' ids in a shuffle join: the vocabulary is every word that
 occurs at least twice (words that occur once are one unknown word), and every
 pair of neighbours has a count of its own. A bigram's probability falls back
 on its second word's by a Dirichlet prior of ``PRIOR`` tokens; what a word's
@@ -40,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import MAX_TARGET, bound_batches, finished, target_ids
+from tillroll.llm.shared import bound_batches, finished, good_ids
 from tillroll.plans.lineage import Scratch
 
 PRIOR = 10.0
@@ -221,7 +222,7 @@ def losses(pair: np.ndarray, own: np.ndarray, last: np.ndarray, total: int, voca
     return -np.log((pair + PRIOR * alone) / (last + PRIOR))
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_tokens``, ``target_loss``,
     ``background_loss`` (per token) and ``score``, their difference."""
     spark = docs.sparkSession
@@ -231,7 +232,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, most: int = MAX
     # Several buckets a task even out what tasks get.
     buckets = max(-(-n_bytes // BUCKET_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = written_blocks(docs, scratch)
-    ids = target_ids(labels, most).select(F.col("doc_id").alias("_good"))
+    ids = good_ids(labels).select(F.col("doc_id").alias("_good")).hint("merge")  # grows with the labels
     pieces = blocks.select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
     good = scratch.table(pieces.join(ids, F.col("doc_id") == F.col("_good")).select("block", "at"), "good-pieces")
     nothing = F.lit(None).cast("binary").alias("totals")

@@ -68,15 +68,20 @@ def positions_within(df: DataFrame, keys: list[str], order: list[str], out: str,
             .drop("_row", "_offset", "_bucket", "_o_bucket", *[f"_o_{k}" for k in keys]))
 
 
-# Labelled rows a model of good text is fitted on, at most.
+# Labelled rows operator 2 fits its model of good text on, at most.
 MAX_TARGET = 100_000
 
 
-def target_ids(labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
-    """``doc_id`` of documents labelled good and not toxic: all of them, or
-    the ``most`` with the smallest hash. Bounded, so it may be broadcast."""
+def good_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id`` of all documents labelled good and not toxic, each once."""
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    ids = good.select("doc_id").distinct().withColumn("_hash", F.xxhash64(F.lit("target"), "doc_id"))
+    return good.select("doc_id").distinct()
+
+
+def target_ids(labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
+    """:func:`good_ids`: all of them, or the ``most`` with the smallest hash.
+    Bounded, so it may be broadcast."""
+    ids = good_ids(labels).withColumn("_hash", F.xxhash64(F.lit("target"), "doc_id"))
     # Most rows that can't be among the first go before they are put in order.
     share = min(1.0, 1.05 * most / max(ids.count(), 1))
     some = ids.filter(F.pmod("_hash", F.lit(1 << 30)) / float(1 << 30) <= share)
