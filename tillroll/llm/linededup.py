@@ -8,8 +8,11 @@ Every long line becomes two 64-bit hashes of its key with its place. These
 rows are range-partitioned by (hash, document) and sorted inside each
 partition by hash, document (largest first) and position, so a key held by a
 third of all lines spreads over many partitions while the lines of one key
-and document stay together; one pass over each partition gathers them. The
-first document of a key is its keeper. What is returned is a keep bitmap per
+and document stay together; a grouping that needs no further
+shuffle gathers them. The keeper is not read off the sorted order: a grouped
+count and maximum of doc_id per key and a join back to the holders replace the
+streamed first occurrence, since a key may span partitions. Of the range
+partitioning only the clustering is used. What is returned is a keep bitmap per
 document, compressed as runs of kept lines; texts are only read to make the
 hashes and, if wanted, to apply the bitmaps.
 
@@ -52,7 +55,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         "doc_id", "tag", "pos", "n_lines", "long",
         F.when(F.col("long"), F.xxhash64(key)).alias("h1"), F.when(F.col("long"), F.xxhash64(F.lit(1), key)).alias("h2")), "line-hashes")
 
-    # One shuffle deals and orders the lines; grouping by what they are dealt by needs none.
+    # One shuffle deals the lines; grouping by what they are dealt by needs none. No result depends on the order.
     dealt = (hashed.filter("long").select("h1", "h2", "doc_id", "tag", "pos")
              .repartitionByRange("h1", "h2", F.col("doc_id").desc())
              .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "tag", "pos"))
