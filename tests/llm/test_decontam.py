@@ -85,6 +85,19 @@ def test_proximity(spark):
     assert {(names[r["d1"]], r["first"], r["last"]) for r in got.collect()} == want
 
 
+def test_proximity_without_a_word_the_corpus_lacks(spark):
+    """A copied passage with one word replaced, of an item shorter and one longer than a window."""
+    passage = [f"p{k}" for k in range(14)]
+    rows = [(1, " ".join(passage), "en"), (2, "other words", "en")]
+    items = [(1, " ".join([*passage[:4], "absent", *passage[5:9]])), (2, " ".join([*passage[:7], "missing", *passage[8:]]))]
+    scratch = Scratch(spark)
+    index = decontam.build_index(docs_frame(spark, rows), scratch)
+    windows, window_items = decontam.item_windows(items_frame(spark, items), scratch)
+    got = decontam.proximity_matches(index, windows, scratch).join(window_items, "wid").select("item_id", "wid").distinct().collect()
+    assert {r["item_id"] for r in got} == {1, 2} and len(got) == windows.count()
+    assert decontam.phrase_matches(index, windows, scratch).count() == 0
+
+
 def test_clean_documents_stay(spark):
     rows, items = corpus(4, n_docs=20)
     docs = docs_frame(spark, rows)

@@ -76,13 +76,16 @@ def _of_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     return postings.join(wanted, "term", "left_semi")
 
 
-def ranked_terms(postings: DataFrame, windows: DataFrame, scratch: Scratch) -> DataFrame:
+def ranked_terms(postings: DataFrame, windows: DataFrame, scratch: Scratch, whole: bool = True) -> DataFrame:
     """``wid``, ``size``, ``off``, ``term``, ``rank`` (1 = rarest in the
-    corpus) for windows whose every term occurs; written."""
+    corpus) for windows whose every term occurs, or, unless ``whole``, of the
+    terms that do occur; written."""
     each = windows.select("wid", F.size("terms").alias("size"), F.posexplode("terms").alias("off", "term"))
     counts = _of_terms(postings, each).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     own = Window.partitionBy("wid")
-    known = each.join(counts, "term").withColumn("found", F.count(F.lit(1)).over(own)).filter("found = size")
+    known = each.join(counts, "term")
+    if whole:
+        known = known.withColumn("found", F.count(F.lit(1)).over(own)).filter("found = size")
     rarest = F.row_number().over(own.orderBy("n", "off"))
     return scratch.table(known.select("wid", "size", "off", "term", rarest.alias("rank")), "ranked-terms")
 
@@ -113,9 +116,10 @@ def phrase_matches(postings: DataFrame, windows: DataFrame, scratch: Scratch) ->
 
 def proximity_matches(postings: DataFrame, windows: DataFrame, scratch: Scratch, within: int = 20, rarest: int = 3) -> DataFrame:
     """``d1``, ``d2``, ``wid``, ``first``, ``last``: places where the
-    ``rarest`` rarest different terms of a window (all, if fewer) stand within
-    ``within`` consecutive words, in any order. One row per first word."""
-    ranked = ranked_terms(postings, windows, scratch).groupBy("wid", "term").agg(F.min("rank").alias("rank"))
+    ``rarest`` rarest different terms of a window (all, if fewer), of those
+    that the corpus holds, stand within ``within`` consecutive words, in any
+    order. One row per first word."""
+    ranked = ranked_terms(postings, windows, scratch, whole=False).groupBy("wid", "term").agg(F.min("rank").alias("rank"))
     own = Window.partitionBy("wid").orderBy("rank")
     wanted = (ranked.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= rarest)
               .withColumn("need", F.count(F.lit(1)).over(Window.partitionBy("wid"))))
