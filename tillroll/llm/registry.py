@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import ann, chat, decontam, langid, linededup, lmscore, packing, resample, shards, simhash
+from tillroll.llm import ann, chat, decontam, langid, linededup, lmscore, packing, resample, shards, simhash, tokencount
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_nearest_centroid": langid.op8_nearest_centroid,
     "op9_simhash": simhash.op9_simhash,
     "op10_block_matrix_knn": ann.op10_block_matrix_knn,
+    "op11_token_counts": tokencount.op11_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
