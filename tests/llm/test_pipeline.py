@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered_names():
-    assert [int(k[2:].split("_")[0]) for k in registry.QUERIES if k.startswith("op")] == list(range(1, 12))
+    assert [int(k[2:].split("_")[0]) for k in registry.QUERIES if k.startswith("op")] == list(range(1, 14))
     assert "pipeline" in registry.QUERIES and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 

@@ -1,0 +1,133 @@
+"""Spelling variants against a plain comparison of all words."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from brute import LOWER, awkward_rows, docs_frame
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from oracle_compare import compare, duck
+
+from tillroll.llm import variants
+from tillroll.plans.lineage import Scratch
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:k] + long[k + 1:] == short for k in range(len(long)))
+
+
+def word_counts(rows):
+    counts = Counter()
+    for i, text, *_ in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def expected(rows):
+    counts = word_counts(rows)
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    form = {}
+    for w, ns in near.items():
+        best = min(ns, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best and counts[best] >= 10 * counts[w] else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), counts[form[w]] if form[w] else None))
+    return sorted(out, key=lambda r: r[0])
+
+
+def found(spark, rows, **kw):
+    return sorted((tuple(r) for r in variants.variants(docs_frame(spark, rows), **kw).collect()), key=lambda r: r[0])
+
+
+words_st = st.lists(st.text(alphabet="abé", min_size=7, max_size=10), min_size=2, max_size=60, unique=True)
+
+
+@settings(max_examples=60, deadline=None)
+@given(words_st, st.integers(7, 9))
+def test_tiles_find_each_pair_of_a_group_once(words, shorter):
+    words = [w for w in words if len(w) in (shorter, shorter + 1)]
+    if len(words) < 2:
+        return
+    for suffix in (False, True):
+        groups = np.zeros(len(words), int)
+        same = np.ones(len(words), bool)
+        p, q = variants.near_in_tiles(words, groups, same, groups, same if suffix else ~same, shorter)
+        want = {(a, b) for a in range(len(words)) for b in range(a + 1, len(words)) if one_edit(words[a], words[b])
+                and min(len(words[a]), len(words[b])) == shorter and not (suffix and words[a][:shorter // 2] == words[b][:shorter // 2])}
+        assert set(zip(p.tolist(), q.tolist())) == want and len(p) == len(want)
+
+
+def near(spark, words, **kw):
+    with Scratch(spark) as scratch:
+        frame = scratch.table(spark.createDataFrame([(w, 2) for w in words], "word string, n long"), "words")
+        return sorted(tuple(sorted((r["word"], r["near"]))) for r in variants.near_pairs(frame, scratch, **kw).collect())
+
+
+@pytest.mark.parametrize("cells", [variants.BLOCK_CELLS, 1])
+def test_all_pairs_once_in_one_block_or_many(spark, cells, monkeypatch):
+    monkeypatch.setattr(variants, "ROWS", 64)  # groups go on over several batches
+    r = np.random.default_rng(0)
+    words = {"".join(r.choice(list("ab"), r.integers(7, 12))) for _ in range(700)} | {"prefix" + "".join(r.choice(list("xyzé"), 4)) for _ in range(200)}
+    words |= {"".join(r.choice(list("abcdefgh"), 9)) for _ in range(300)} | {"a" * n for n in (7, 8, 9, 4000, 4001)}
+    words = sorted(words)
+    want = sorted((a, b) for k, a in enumerate(words) for b in words[k + 1:] if one_edit(a, b))
+    assert near(spark, words, block_cells=cells) == want and len(want) > 1000
+
+
+def test_no_partition_holds_a_large_group(spark):
+    words = ["samehalf" + "".join(c) for c in ("abcdefghij"[k // 1000] + f"{chr(97 + k // 100 % 10)}{chr(97 + k // 10 % 10)}{chr(97 + k % 10)}" for k in range(5000))]
+    with Scratch(spark) as scratch:
+        frame = scratch.table(spark.createDataFrame([(w, 2) for w in words], "word string, n long"), "words")
+        dealt = variants.grouped(frame, scratch, 7, block_cells=6000)
+        assert dealt.groupBy(*variants.KEY).count().agg({"count": "max"}).first()[0] <= 1300 and dealt.count() > 2 * 5000
+
+
+def test_small_table(spark):
+    rows = [(k, "Commence COMMENCE comence commences straße straßen Straßes naïveté naivete", "en") for k in range(60)]
+    rows += [(100 + k, "comence comience " * 2 + "commencess", "en") for k in range(3)]
+    rows += [(200, "tiebreak " * 30 + "tiebreax " * 30 + "tiebreay " * 2, "en"), (201, None, "en"), (None, "commence commence", "fr")]
+    got = found(spark, rows)
+    assert got == expected(rows)
+    assert dict((r[0], r[1]) for r in got)["tiebreay"] == "tiebreak"
+
+
+def test_chains_of_forms(spark):
+    counts = [("aaaaaaa", 2), ("aaaaaab", 25), ("aaaaabb", 260), ("aaaabbb", 2700)]
+    forms = spark.createDataFrame([(a[0], b[0]) for a, b in zip(counts, counts[1:])], "word string, root string")
+    with Scratch(spark) as scratch:
+        got = {r["word"]: r["root"] for r in variants.followed(forms, scratch).collect()}
+        assert got == {w: "aaaabbb" for w, _ in counts[:3]}
+        assert variants.followed(forms.limit(0), scratch).count() == 0
+
+
+def test_awkward_and_empty_tables(spark):
+    rows = awkward_rows()
+    assert found(spark, rows) == expected(rows)
+    assert found(spark, []) == []
+
+
+def test_query_matches_brute_force_and_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = sorted((tuple(r) for r in variants.op13_prefix_suffix_tiling(spark, sf).collect()), key=lambda r: r[0])
+    assert got == expected(rows) and any(r[1] for r in got)
+    sf = "/root/testdata/sf0.01"
+    found = compare(spark, "op13", variants.op13_prefix_suffix_tiling, variants.OP13_SQL, sf, duck(sf))
+    assert found["status"] == "match", found

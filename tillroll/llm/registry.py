@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillroll.llm import ann, chat, decontam, langid, linededup, lmscore, packing, resample, shards, simhash, tokencount
+from tillroll.llm import ann, chat, decontam, langid, linededup, lmscore, packing, resample, shards, simhash, tokencount, variants, whitening
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_simhash": simhash.op9_simhash,
     "op10_block_matrix_knn": ann.op10_block_matrix_knn,
     "op11_token_counts": tokencount.op11_token_counts,
+    "op12_spectrum_slicing": whitening.op12_spectrum_slicing,
+    "op13_prefix_suffix_tiling": variants.op13_prefix_suffix_tiling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +27,5 @@ ORACLE_SQL = {
     "op6_positional_index": decontam.OP6_SQL,
     "op7_line_dedup": linededup.OP7_SQL,
     "op10_block_matrix_knn": ann.OP10_SQL,
+    "op13_prefix_suffix_tiling": variants.OP13_SQL,
 }
