@@ -31,6 +31,13 @@ def test_special_and_odd_texts(text):
     assert packing.encoding(packing.VOCABULARY).encode(text, allowed_special="all") + [0] == ids_of(text)
 
 
+@pytest.mark.parametrize("gap", [" ", "\n", "\t", " \n\t "])
+@pytest.mark.parametrize("around", [("", ""), ("first", "last")])
+def test_very_long_runs_of_white_space(gap, around):
+    text = around[0] + gap * (2_000_000 // len(gap)) + around[1]
+    assert packing.text_ids(text).tolist() + [0] == ids_of(text)
+
+
 def best_fit_decreasing(lengths, capacity):
     room, n = [0] * (capacity + 1), 0
     for x in sorted(lengths, reverse=True):
@@ -92,7 +99,7 @@ def check(spark, rows):
 
 
 def test_awkward_documents(spark):
-    check(spark, awkward_rows())
+    check(spark, awkward_rows() + [(70, "x" + " " * 1_100_000 + "y", "en"), (71, "\n" * 1_100_000, "en")])
 
 
 def test_many_documents(spark):

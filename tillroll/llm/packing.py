@@ -24,7 +24,9 @@ length held by any share of the rows is no hot spot.
 Token ids are those of ``tokenizers`` for ``byte_bpe_50k.json`` without added
 special tokens; they are computed by ``tiktoken`` from the same vocabulary as
 ranks, which gives the same ids (tested against ``tokenizers``) several times
-faster. The string ``<|endoftext|>`` in a text is that token, as there.
+faster. The string ``<|endoftext|>`` in a text is that token, as there. Runs of
+about a million blanks or line feeds are too long for ``tiktoken``'s pattern
+engine; a text that holds one gets its ids from ``tokenizers`` itself.
 
 Defined cases: a null text is empty, which is one token, the closing id;
 repeated rows are packed each; a null doc_id is kept as null; other columns
@@ -45,8 +47,9 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tillroll.llm.shared import bound_batches, positions_within
+from tillroll.llm.shared import bound_batches, finished, positions_within
 from tillroll.plans.lineage import Scratch
 
 CAPACITY = 2_048
@@ -55,6 +58,8 @@ GROUPS = 128
 # A length is large above capacity / border; the border that needs the fewest sequences is taken.
 BORDERS = (2, 3, 4)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# The same vocabulary as ``tokenizers`` reads it.
+PLAIN = public_tokenizers.path("byte_bpe_50k.json")
 # Fixed values of that vocabulary.
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -66,15 +71,26 @@ def encoding(vocabulary: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
-def _pieces(vocabulary: str, capacity: int):
+@functools.lru_cache(maxsize=2)
+def tokenizer(plain: str) -> Tokenizer:
+    return Tokenizer.from_file(plain)
+
+
+def text_ids(text: str, vocabulary: str = VOCABULARY, plain: str = PLAIN) -> np.ndarray:
+    try:
+        return encoding(vocabulary).encode_to_numpy(text, allowed_special="all")
+    except ValueError:  # the pattern engine gives up
+        return np.array(tokenizer(plain).encode(text, add_special_tokens=False).ids, "<u4")
+
+
+def _pieces(vocabulary: str, capacity: int, plain: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(vocabulary).encode_to_numpy
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 row, number, start, ids = [], [], [], []
                 for n, text in enumerate(part.column("text").to_pylist()):
-                    tokens = np.append(encode(text or "", allowed_special="all"), CLOSING_ID).astype("<u4")
+                    tokens = np.append(text_ids(text or "", vocabulary, plain), CLOSING_ID).astype("<u4")
                     cuts = [0, *range(len(tokens) % capacity or capacity, len(tokens) + 1, capacity)]
                     for k, (b, e) in enumerate(zip(cuts, cuts[1:])):
                         row.append(n), number.append(k), start.append(b), ids.append(tokens[b:e].tobytes())
@@ -85,13 +101,13 @@ def _pieces(vocabulary: str, capacity: int):
     return run
 
 
-def tokenise(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
+def tokenise(docs: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, plain: str = PLAIN) -> DataFrame:
     """Pieces, written: ``uid``, ``doc_id``, ``piece``, ``start``, ``length``,
     ``ids`` (little-endian unsigned 32-bit)."""
     bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     pieces = docs.select("doc_id", "text").mapInArrow(
-        _pieces(vocabulary, capacity), f"doc_id {kind}, piece int, start long, length int, ids binary")
+        _pieces(vocabulary, capacity, plain), f"doc_id {kind}, piece int, start long, length int, ids binary")
     return scratch.table(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces", compression="zstd")
 
 
@@ -304,9 +320,11 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) ->
 
 @dataclass
 class Packing:
-    """``pieces`` (with token ids) and their ``places``, joined on ``uid``."""
+    """``pieces`` (with token ids) and their ``places``, joined on ``uid``.
+    ``scratch`` holds the pieces; close it once they are read."""
     pieces: DataFrame
     places: DataFrame
+    scratch: Scratch
 
     def sequences(self) -> DataFrame:
         """``sequence_id`` and ``ids``: the packed sequences themselves."""
@@ -316,10 +334,10 @@ class Packing:
         return parts.groupBy("sequence_id").agg(F.unhex(joined).alias("ids"))
 
 
-def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, groups: int = GROUPS) -> Packing:
+def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, groups: int = GROUPS, plain: str = PLAIN) -> Packing:
     scratch = Scratch(docs.sparkSession)
-    pieces = tokenise(docs, scratch, vocabulary, capacity)
-    return Packing(pieces, place(pieces, capacity, groups))
+    pieces = tokenise(docs, scratch, vocabulary, capacity, plain)
+    return Packing(pieces, place(pieces, capacity, groups), scratch)
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:
@@ -327,7 +345,8 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     checksum of its ids."""
     packing = pack(docs)
     own = packing.pieces.select("uid", "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
-    return own.join(packing.places, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    placed = own.join(packing.places, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return finished(placed, packing.scratch, "packed-pieces")
 
 
 def op1_best_fit_packing(spark, sf_dir: str) -> DataFrame:
