@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import LOWER, awkward_rows, docs_frame
 from hypothesis import given, settings
@@ -80,9 +81,21 @@ def near(spark, words, **kw):
         return sorted(tuple(sorted((r["word"], r["near"]))) for r in variants.near_pairs(frame, scratch, **kw).collect())
 
 
+def test_groups_that_go_on_over_batches(monkeypatch):
+    monkeypatch.setattr(variants, "ROWS", 16)
+    r = np.random.default_rng(2)
+    words = sorted({"same" + "".join(r.choice(list("ab"), 5)) for _ in range(25)} | {"".join(r.choice(list("cde"), 9)) for _ in range(40)} | {"longer" + c + "ending" for c in "abc"})
+    rows = [{"shorter": c, "side": 0, "part": w[:c // 2], "i": 0, "j": 0, "block": 0, "word": w, "n": 2} for w in words for c in (len(w) - 1, len(w)) if c >= 7]
+    rows.sort(key=lambda row: [row[k] for k in variants.KEY])
+    want = sorted((a, b) for a in words for b in words if a < b and one_edit(a, b) and a[:min(len(a), len(b)) // 2] == b[:min(len(a), len(b)) // 2])
+    for size in (1, 7, 100):
+        batches = [pa.RecordBatch.from_pylist(rows[a:a + size]) for a in range(0, len(rows), size)]
+        got = [tuple(sorted((x["word"], x["near"]))) for b in variants._tiles(iter(batches)) for x in b.to_pylist()]
+        assert sorted(got) == want and len(want) > 20
+
+
 @pytest.mark.parametrize("cells", [variants.BLOCK_CELLS, 1])
-def test_all_pairs_once_in_one_block_or_many(spark, cells, monkeypatch):
-    monkeypatch.setattr(variants, "ROWS", 64)  # groups go on over several batches
+def test_all_pairs_once_in_one_block_or_many(spark, cells):
     r = np.random.default_rng(0)
     words = {"".join(r.choice(list("ab"), r.integers(7, 12))) for _ in range(700)} | {"prefix" + "".join(r.choice(list("xyzé"), 4)) for _ in range(200)}
     words |= {"".join(r.choice(list("abcdefgh"), 9)) for _ in range(300)} | {"a" * n for n in (7, 8, 9, 4000, 4001)}
