@@ -1,4 +1,5 @@
-"""Market-basket analysis (B1-B18) on Spark ML's parallel FP-Growth.
+"""Market-basket analysis (B1-B18): Spark ML's parallel FP-Growth, and level-wise
+projection where one item's database may outgrow a task.
 
 Item arrays are always sorted (``array_sort``) before they are compared or
 written. Names are attached by exploding item arrays with their position,
@@ -11,17 +12,23 @@ driver-side dictionary. A program makes the product table once
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import NO_DESCRIPTION, list_repr, truncate_text
+from tillroll.operators.itemsets import item_counts, least_count, projected_itemsets, rules_of
+from tillroll.plans.lineage import Scratch
 from tillroll.plans.lookup import Lookup, join_lookup
 
 # Support/confidence ladder of the mining run: first rung that finds any
 # frequent itemset wins (fixed values of the reference run).
 DEFAULT_LADDER = ((0.007, 0.6), (0.003, 0.6))
+# Items of all baskets together, frequent ones only, up to which the database
+# of one item surely fits a task.
+SPLIT_CELLS = 20_000_000
 
 
 def basket_lines(df: DataFrame) -> DataFrame:
@@ -35,16 +42,44 @@ def product_dim(df: DataFrame) -> DataFrame:
             .groupBy("StockCode").agg(F.min("Description").alias("Description")))
 
 
-def baskets(df: DataFrame, item_col: str = "StockCode") -> DataFrame:
+def basket_items(df: DataFrame, item_col: str = "StockCode") -> DataFrame:
+    """Different (InvoiceNo, ``item``) pairs of the positive lines. They are
+    dealt by both, so a huge invoice is spread over tasks."""
+    lines = basket_lines(df).filter(F.col(item_col).isNotNull())
+    return lines.select("InvoiceNo", F.col(item_col).alias("item")).distinct()
+
+
+def basket_sizes(items: DataFrame) -> DataFrame:
+    """Items per invoice (InvoiceNo, basket_size) from :func:`basket_items`,
+    by partial counts: no set of items is made."""
+    return items.groupBy("InvoiceNo").agg(F.count(F.lit(1)).cast("int").alias("basket_size"))
+
+
+def baskets(df: DataFrame, item_col: str = "StockCode", max_items: int | None = None) -> DataFrame:
     """B3 + B4: one row per invoice with its sorted distinct items and size.
 
     ``collect_set`` aggregates partially on the map side, so a huge invoice
-    reaches the reducer as per-task sets of distinct items."""
+    reaches the reducer as per-task sets of distinct items. With
+    ``max_items`` the larger invoices (a placeholder number, say) are known
+    from their counts and leave before any set is collected."""
+    if max_items is not None:
+        items = basket_items(df, item_col)
+        return baskets_within(items, basket_sizes(items), max_items)
     lines = basket_lines(df).filter(F.col(item_col).isNotNull())
     return (lines.groupBy("InvoiceNo").agg(F.array_sort(F.collect_set(item_col)).alias("items"))
                  .withColumn("basket_size", F.size("items")))
 
 
+def baskets_within(items: DataFrame, sizes: DataFrame, max_items: int) -> DataFrame:
+    """B3 + B6: the baskets of at most ``max_items`` items, from
+    :func:`basket_items` and :func:`basket_sizes`. Spark broadcasts the
+    oversized numbers while they are few, so their lines are not shuffled."""
+    big = sizes.filter(F.col("basket_size") > max_items).select(F.col("InvoiceNo").alias("_big"))
+    small = items.join(big, F.col("InvoiceNo").eqNullSafe(F.col("_big")), "left_anti")
+    return (small.groupBy("InvoiceNo").agg(F.array_sort(F.collect_list("item")).alias("items"))
+                 .withColumn("basket_size", F.size("items")))
+
+
 def basket_count(b: DataFrame) -> DataFrame:
     """Number of baskets (one row)."""
     return b.agg(F.count(F.lit(1)).alias("n_baskets"))
@@ -63,12 +98,14 @@ def limit_baskets(b: DataFrame, max_items: int | None = None) -> DataFrame:
 
 
 def basket_limit_summary(b: DataFrame, max_items: int | None = None) -> DataFrame:
-    """B6 + B7 counts in one pass: total, kept, dropped for size, null."""
+    """B6 + B7 counts in one pass: total, kept, dropped for size, null. ``b``
+    is a basket table or, without its sets, :func:`basket_sizes`."""
     big = F.lit(False) if max_items is None else F.col("basket_size") > max_items
+    null = F.col("items" if "items" in b.columns else "basket_size").isNull()
     return b.agg(F.count(F.lit(1)).alias("n_baskets"),
-                 F.count_if(~big & F.col("items").isNotNull()).alias("n_kept"),
+                 F.count_if(~big & ~null).alias("n_kept"),
                  F.count_if(big).alias("n_dropped"),
-                 F.count_if(F.col("items").isNull()).alias("n_null"))
+                 F.count_if(null).alias("n_null"))
 
 
 def fit_fpgrowth(b: DataFrame, min_support: float, min_confidence: float,
@@ -93,52 +130,72 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
 
 @dataclass
 class MiningRun:
-    baskets: DataFrame          # all baskets (B3), persisted
-    used: DataFrame             # baskets fed to the miner (B6/B7)
-    model: FPGrowthModel
+    baskets: DataFrame          # baskets fed to the miner (B3, B6, B7), persisted
+    itemsets: DataFrame         # B8, written
+    counts: tuple               # baskets before the limit, used, dropped for size, null
     min_support: float
     min_confidence: float
     max_items: int | None
+    scratch: Scratch
 
     @property
     def limits(self) -> DataFrame:
         """How many baskets the size limit kept and dropped (one row)."""
-        return basket_limit_summary(self.baskets, self.max_items)
+        return self.baskets.sparkSession.createDataFrame([self.counts], "n_baskets long, n_kept long, n_dropped long, n_null long")
 
-    @property
-    def itemsets(self) -> DataFrame:
-        return frequent_itemsets(self.model)
-
-    @property
+    @cached_property
     def rules(self) -> DataFrame:
-        return association_rules(self.model)
+        """B10, worked out and written on first use."""
+        return self.scratch.table(rules_of(self.itemsets, self.counts[1], self.min_confidence), "rules")
 
     def close(self) -> None:
-        """Release the cached baskets and itemsets."""
-        self.model.freqItemsets.unpersist()
+        """Release the cached baskets and the written itemsets and rules."""
         self.baskets.unpersist()
+        self.scratch.close()
 
 
 def mine_with_backoff(lines: DataFrame, ladder=DEFAULT_LADDER, max_items: int | None = None,
-                      item_col: str = "StockCode", num_partitions: int | None = None) -> MiningRun:
-    """B8 + B9: mine at each (support, confidence) rung until one yields an
-    itemset. The basket table is persisted once and reused by every rung and
-    the summary; only the itemset count of each rung reaches the driver.
-    ``max_items`` leaves out larger baskets; ``MiningRun.limits`` counts them."""
+                      item_col: str = "StockCode", num_partitions: int | None = None,
+                      split_cells: int = SPLIT_CELLS) -> MiningRun:
+    """B8 + B9: mine at the first (support, confidence) rung that yields an
+    itemset. There is one exactly if some item reaches the rung's support, so
+    the rung follows from the item counts and mining runs once, whatever the
+    ladder. ``max_items`` leaves out larger baskets before their sets are
+    collected; ``MiningRun.limits`` counts them.
+
+    The itemsets come from Spark ML's FP-Growth while the frequent items of
+    all baskets together are at most ``split_cells``, and from
+    :mod:`tillroll.operators.itemsets` beyond it, where no item's database is
+    one task. Both give the same itemsets."""
     if not ladder:
         raise ValueError("the ladder needs at least one (support, confidence) rung")
-    all_baskets = baskets(lines, item_col).persist()
-    used = limit_baskets(all_baskets, max_items).select("items")
-    model, s, c = None, None, None
-    for s, c in ladder:
-        if model is not None:
-            model.freqItemsets.unpersist()
-        model = fit_fpgrowth(used, s, c, num_partitions)
-        # The model's itemsets are an RDD-backed plan that re-mines on every
-        # action; cache them once (rules and reports reuse the same plan).
-        if model.freqItemsets.persist().count() > 0:
-            break
-    return MiningRun(all_baskets, used, model, s, c, max_items)
+    spark = lines.sparkSession
+    scratch = Scratch(spark)
+    items = None
+    if max_items is None:
+        used = baskets(lines, item_col).persist()
+        counts = tuple(basket_limit_summary(used).first())
+    else:
+        items = basket_items(lines, item_col).persist()
+        sizes = scratch.table(basket_sizes(items), "basket-sizes")
+        counts = tuple(basket_limit_summary(sizes, max_items).first())
+        used = baskets_within(items, sizes, max_items).persist()
+    n_used = counts[1]
+    per_item = scratch.table(item_counts(used), "item-counts")
+    most = per_item.agg(F.max("freq")).first()[0] or 0
+    support, confidence = next(((s, c) for s, c in ladder if least_count(s, n_used) <= most), ladder[-1])
+    least = least_count(support, n_used)
+    cells = per_item.agg(F.sum(F.when(F.col("freq") >= least, F.col("freq")))).first()[0] or 0
+    if cells > split_cells:
+        itemsets = projected_itemsets(used, least, scratch)
+    elif most >= least:
+        itemsets = frequent_itemsets(fit_fpgrowth(used, support, confidence, num_partitions))
+    else:
+        itemsets = used.select("items", F.lit(0).cast("long").alias("freq")).limit(0)
+    run = MiningRun(used, scratch.table(itemsets, "itemsets"), counts, support, confidence, max_items, scratch)
+    if items is not None:
+        items.unpersist()
+    return run
 
 
 def _describe(df: DataFrame, arr: str, dim: DataFrame | Lookup, prefix: str | None = None) -> DataFrame:
@@ -262,11 +319,8 @@ def top_itemsets(itemsets: DataFrame, dim: DataFrame | Lookup | None = None, n:
 def mining_summary(run: MiningRun) -> DataFrame:
     """Baskets before/after the size limit, itemsets, rules, thresholds
     (one row of scalar subqueries)."""
-    counts = basket_limit_summary(run.baskets, run.max_items).select(
-        F.struct("n_baskets", F.col("n_kept").alias("n_used")).alias("c")).scalar()
     n_sets = run.itemsets.agg(F.count(F.lit(1))).scalar()
     n_rules = run.rules.agg(F.count(F.lit(1))).scalar()
-    return run.baskets.sparkSession.range(1).select(
-        counts.getField("n_baskets").alias("n_baskets"), counts.getField("n_used").alias("n_used"),
-        n_sets.alias("n_itemsets"), n_rules.alias("n_rules"),
+    return run.limits.select(
+        "n_baskets", F.col("n_kept").alias("n_used"), n_sets.alias("n_itemsets"), n_rules.alias("n_rules"),
         F.lit(run.min_support).alias("min_support"), F.lit(run.min_confidence).alias("min_confidence"))

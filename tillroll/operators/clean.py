@@ -175,16 +175,22 @@ def filter_valid(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
     return drop_returns(coerce_numeric(parse_dates(raw, formats=formats)))
 
 
-def dropped_counts(raw: DataFrame, formats: list[str] | None = None) -> DataFrame:
+def dropped_counts(raw: DataFrame, formats: list[str] | None = None, bad_line: str | None = None) -> DataFrame:
     """What :func:`filter_valid` drops, by rule (one row): rows in, without a
-    date, then without numbers, then negative, and kept. One pass."""
-    lines = raw.select("InvoiceDate", "Quantity", "UnitPrice")
+    date, then without numbers, then negative, and kept. One pass.
+
+    With ``bad_line``, the column of lines that are no record (see
+    :func:`tillroll.sources.files.read_raw`), those are counted first, as
+    ``n_malformed``, and by no other rule."""
+    whole = F.col(bad_line).isNull() if bad_line else F.lit(True)
+    lines = raw.select(whole.alias("_whole"), "InvoiceDate", "Quantity", "UnitPrice")
     marked = _once(lines, InvoiceDate=F.coalesce(*_date_tries(raw, "InvoiceDate", formats)),
                    Quantity=_number(raw, "Quantity"), UnitPrice=_number(raw, "UnitPrice"))
-    dated = F.col("InvoiceDate").isNotNull()
+    dated = F.col("_whole") & F.col("InvoiceDate").isNotNull()
     numbers = F.coalesce(_finite("Quantity"), F.lit(False)) & F.coalesce(_finite("UnitPrice"), F.lit(False))
     positive = (F.col("Quantity") >= 0) & (F.col("UnitPrice") >= 0)
-    return marked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~dated).alias("n_no_date"),
+    malformed = [F.count_if(~F.col("_whole")).alias("n_malformed")] if bad_line else []
+    return marked.agg(F.count(F.lit(1)).alias("n_rows"), *malformed, F.count_if(F.col("_whole") & ~dated).alias("n_no_date"),
                       F.count_if(dated & ~numbers).alias("n_no_number"), F.count_if(dated & numbers & ~positive).alias("n_negative"),
                       F.count_if(dated & numbers & positive).alias("n_kept"))
 

@@ -13,15 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import clean as C
 from tillroll.plans.lineage import Scratch
-from tillroll.sources.files import read_raw, read_sales, write_sales
+from tillroll.sources.files import BAD_LINE, read_raw, read_sales, split_bad_lines, write_sales
 
 
 def clean_to_parquet(spark: SparkSession, raw_path: str, sales_path: str, basket_path: str | None = None,
                      fmt: str = "csv", partition_by: list[str] | None = None, formats: list[str] | None = None,
-                     **read_options) -> tuple[DataFrame, DataFrame]:
-    raw = read_raw(spark, raw_path, fmt, **read_options)
+                     report_path: str | None = None, **read_options) -> tuple[DataFrame, DataFrame]:
+    """Returns the summary (C12) and the weekday profile (C13). Lines that are
+    no record are left out; with ``report_path`` they are written to
+    ``bad_lines`` in that folder, and what was dropped by which rule to
+    ``dropped_counts``."""
+    raw = read_raw(spark, raw_path, fmt, bad_line=BAD_LINE, **read_options)
     with Scratch(spark) as scratch:
-        valid = scratch.table(C.filter_valid(raw, formats), "valid_lines")
+        if report_path:
+            raw = scratch.table(raw, "raw_lines")
+            C.dropped_counts(raw, formats, BAD_LINE).write.mode("overwrite").parquet(f"{report_path.rstrip('/')}/dropped_counts")
+            split_bad_lines(raw)[1].write.mode("overwrite").parquet(f"{report_path.rstrip('/')}/bad_lines")
+        valid = scratch.table(C.filter_valid(split_bad_lines(raw)[0], formats), "valid_lines")
         write_sales(C.sales_of_valid(valid), sales_path, partition_by=partition_by)
         if basket_path:
             write_sales(C.basket_lines_of_valid(valid), basket_path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from tillroll.functions.columns import MONTH_NAMES, NO_DESCRIPTION, UNKNOWN_PRODUCT, WEEKDAY_NAMES
 from tillroll.plans import registry as Q
+from tillroll.sources import testdata as V
 
 
 def _list_lit(values) -> str:
@@ -87,6 +88,11 @@ RAW = f"""raw_sales AS (
          n_name AS Country
   FROM {_LINES})"""
 
+# Lines of these orders are replaced by lines that are no record.
+BAD_ORDER = f"CAST(InvoiceNo AS BIGINT) % 53 IN ({V.SHORT}, {V.LONG}, {V.UNCLOSED})"
+RAW_ALL = RAW.replace("raw_sales AS (", "raw_all AS (", 1)
+RECORDS = f"{RAW_ALL},\nraw_sales AS (SELECT * FROM raw_all WHERE NOT {BAD_ORDER})"
+
 DATED = "COALESCE(TRY_CAST(InvoiceDate AS TIMESTAMP), try_strptime(InvoiceDate, '%m/%d/%Y %H:%M'))"
 PARSED_DATES = f"""parsed AS (
   SELECT InvoiceNo, StockCode, Description, Quantity, {DATED} AS InvoiceDate,
@@ -373,6 +379,14 @@ FROM (SELECT {DATED} AS d, {number('Quantity')} AS n, {number('UnitPrice')} AS p
 FROM (SELECT {money('TotalValue')} AS total_revenue, COUNT(DISTINCT InvoiceNo) AS total_invoices,
              COUNT(DISTINCT CustomerID) AS total_customers FROM clean_sales)"""
     q["ingest_raw"] = q["clean_sales"]
+    q["ingest_records"] = q["clean_sales"].replace(RAW, RECORDS)
+    q["malformed_counts"] = q["dropped_counts"].replace(RAW, RECORDS).replace(
+        "SELECT COUNT(*) AS n_rows,", f"""SELECT COUNT(*) + (SELECT COUNT(*) FROM raw_all WHERE {BAD_ORDER}) AS n_rows,
+       (SELECT COUNT(*) FROM raw_all WHERE {BAD_ORDER}) AS n_malformed,""")
+    q["malformed_lines"] = _with(RAW_ALL) + f"""SELECT bad_line, COUNT(*) AS n_lines FROM (
+  SELECT CASE CAST(InvoiceNo AS BIGINT) % 53 WHEN {V.SHORT} THEN InvoiceNo || ',too,short'
+              WHEN {V.LONG} THEN InvoiceNo || ',a,b,1,2010-12-01,1.5,c,d,too long'
+              ELSE chr(34) || InvoiceNo || ',a,b,1,2010-12-01,1.5,c,d' END AS bad_line FROM raw_all WHERE {BAD_ORDER}) GROUP BY 1"""
     q["load_sales"] = _with(S) + f"SELECT {ALL_SALES_COLS.replace('StockCode', 'upper(trim(StockCode)) AS StockCode')} FROM sales"
     # F
     q.update(_filter_sql())
@@ -448,11 +462,15 @@ ORDER BY md5('42:' || CAST(CustomerID AS VARCHAR)), CustomerID LIMIT 1000"""
     q["basket_limit"] = _with(basket_source_cte("l_partkey"), baskets_cte("basket_source")) + f"""SELECT COUNT(*) AS n_baskets,
        COUNT(*) FILTER (WHERE len(items) <= {m} AND items IS NOT NULL) AS n_kept,
        COUNT(*) FILTER (WHERE len(items) > {m}) AS n_dropped, COUNT(*) FILTER (WHERE items IS NULL) AS n_null FROM bk_all"""
+    q["baskets_within_limit"] = _with(basket_source_cte("l_partkey"), baskets_cte("basket_source")) + f"""SELECT InvoiceNo,
+       {codes('items')} AS items, CAST(len(items) AS INTEGER) AS basket_size FROM bk_all WHERE len(items) <= {m}"""
     q["frequent_itemsets"] = _mined(Q.ITEMSETS_RUN) + f"SELECT {codes('items')} AS items, freq FROM fi"
+    q["projected_itemsets"] = q["frequent_itemsets"]
     q["itemsets_backoff"] = _backoff()
     _, rladder, _ = Q.RULES_RUN
     q["association_rules"] = _mined(Q.RULES_RUN, rladder[0][1]) + f"""SELECT {codes('antecedent')} AS antecedent,
        {codes('consequent')} AS consequent, confidence, lift, support FROM rules"""
+    q["projected_rules"] = q["association_rules"]
     q["itemsets_described"] = _with(DESCRIBED) + f"""SELECT {codes('items')} AS items, freq,
        {list_repr('items_with_desc')} AS items_with_desc FROM fid"""
     for key, by in (("top_rules_confidence", "confidence"), ("top_rules_lift", "lift")):
@@ -465,6 +483,7 @@ FROM (SELECT * FROM rd ORDER BY {_rule_order(by)} LIMIT 20)"""
        confidence, lift
 FROM (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY array_to_string(antecedent, ', '), array_to_string(consequent, ', ')) AS rule_id FROM rd)
       ORDER BY {_rule_order('confidence')} LIMIT 20)"""
+    q["roundtrip_friendly_rules"] = q["friendly_rules"]
     q["top_itemsets"] = _with(DESCRIBED) + f"""SELECT {codes('items')} AS items, freq, {list_repr('items_with_desc')} AS items_with_desc,
        CASE WHEN length({list_repr('items_with_desc')}) > 75 THEN substring({list_repr('items_with_desc')}, 1, 75) || '...'
             ELSE {list_repr('items_with_desc')} END AS items_display

@@ -22,7 +22,7 @@ from tillroll.operators import filters as FL
 from tillroll.operators import overview as K
 from tillroll.operators import rfm as R
 from tillroll.operators import timeline as TL
-from tillroll.plans.lineage import Scratch, checkpointed
+from tillroll.plans.lineage import Scratch, checkpointed, written_table
 from tillroll.plans.lookup import Lookup, lookup_table
 from tillroll.session import scratch_path
 from tillroll.sources import files as A
@@ -97,6 +97,25 @@ def ingest_raw(spark, sf):
     return C.clean_sales(A.read_raw(spark, path, escape='"'))
 
 
+def _raw_with_bad_lines(spark, sf):
+    path = scratch_path(spark, "raw_text")
+    V.raw_text(spark, sf).write.text(path)
+    return written_table(A.read_raw(spark, path, bad_line=A.BAD_LINE, header=False, escape='"'), "raw_lines")
+
+
+def malformed_counts(spark, sf):
+    return C.dropped_counts(_raw_with_bad_lines(spark, sf), bad_line=A.BAD_LINE)
+
+
+def malformed_lines(spark, sf):
+    bad = A.split_bad_lines(_raw_with_bad_lines(spark, sf))[1]
+    return bad.groupBy(F.col(A.BAD_LINE).alias("bad_line")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def ingest_records(spark, sf):
+    return C.clean_sales(A.split_bad_lines(_raw_with_bad_lines(spark, sf))[0])
+
+
 def profile_counts(spark, sf):
     return A.profile(_sales(spark, sf))
 
@@ -131,6 +150,16 @@ def roundtrip_rules_csv(spark, sf):
     return _described(spark, sf, written)
 
 
+def roundtrip_friendly_rules(spark, sf):
+    path = scratch_path(spark, "friendly_csv")
+
+    def written(run, dim):
+        A.write_rules_csv(B.friendly_rules(run.rules, dim), path)
+        return A.friendly_text(A.read_friendly_rules(spark, path))
+
+    return _described(spark, sf, written)
+
+
 # ---- C: cleaning -------------------------------------------------------------
 
 def clean_dates(spark, sf):
@@ -362,9 +391,9 @@ def rfm_sample(spark, sf):
 
 # ---- B: market basket --------------------------------------------------------
 
-def _mined(spark, sf, run, report: Callable[[B.MiningRun], DataFrame]) -> DataFrame:
+def _mined(spark, sf, run, report: Callable[[B.MiningRun], DataFrame], **options) -> DataFrame:
     item, ladder, max_items = run
-    mined = B.mine_with_backoff(V.basket_source(spark, sf, item), ladder, max_items)
+    mined = B.mine_with_backoff(V.basket_source(spark, sf, item), ladder, max_items, **options)
     try:
         return checkpointed(flat(report(mined)))
     finally:
@@ -388,13 +417,26 @@ def basket_size_distribution(spark, sf):
 
 
 def basket_limit(spark, sf):
-    return B.basket_limit_summary(B.baskets(V.basket_source(spark, sf, "l_partkey")), LIMIT_MAX_ITEMS)
+    return B.basket_limit_summary(B.basket_sizes(B.basket_items(V.basket_source(spark, sf, "l_partkey"))), LIMIT_MAX_ITEMS)
+
+
+def baskets_within_limit(spark, sf):
+    return flat(B.baskets(V.basket_source(spark, sf, "l_partkey"), max_items=LIMIT_MAX_ITEMS))
 
 
 def frequent_itemsets(spark, sf):
     return _mined(spark, sf, ITEMSETS_RUN, lambda run: run.itemsets)
 
 
+def projected_itemsets(spark, sf):
+    """The same run without FP-Growth: no item's database is one task."""
+    return _mined(spark, sf, ITEMSETS_RUN, lambda run: run.itemsets, split_cells=0)
+
+
+def projected_rules(spark, sf):
+    return _mined(spark, sf, RULES_RUN, lambda run: run.rules, split_cells=0)
+
+
 def itemsets_backoff(spark, sf):
     return _mined(spark, sf, BACKOFF_RUN, lambda run: run.itemsets.withColumn("min_support", F.lit(run.min_support)))
 
@@ -429,7 +471,8 @@ def mining_summary(spark, sf):
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("scan_sales", scan_sales), ("roundtrip_parquet", roundtrip_parquet),
-    ("roundtrip_rules_csv", roundtrip_rules_csv), ("profile_counts", profile_counts),
+    ("roundtrip_rules_csv", roundtrip_rules_csv), ("roundtrip_friendly_rules", roundtrip_friendly_rules),
+    ("malformed_counts", malformed_counts), ("malformed_lines", malformed_lines), ("ingest_records", ingest_records), ("profile_counts", profile_counts),
     ("clean_dates", clean_dates), ("clean_numeric", clean_numeric), ("clean_nonnegative", clean_nonnegative),
     ("code_strip_all", code_strip_all), ("code_trim", code_trim), ("desc_counts", desc_counts),
     ("modal_description", modal_description), ("standardize_description", standardize_description),
@@ -455,6 +498,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("segment_counts", segment_counts), ("rfm_sample", rfm_sample),
     ("product_dim", product_dim), ("baskets", baskets), ("basket_count", basket_count),
     ("basket_size_distribution", basket_size_distribution), ("basket_limit", basket_limit),
+    ("baskets_within_limit", baskets_within_limit), ("projected_itemsets", projected_itemsets), ("projected_rules", projected_rules),
     ("frequent_itemsets", frequent_itemsets), ("itemsets_backoff", itemsets_backoff),
     ("association_rules", association_rules), ("itemsets_described", itemsets_described),
     ("rules_described", rules_described), ("top_rules_confidence", top_rules_confidence),

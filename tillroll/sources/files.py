@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +38,15 @@ ITEMSETS_CSV_SCHEMA = T.StructType([
     T.StructField("freq", T.LongType()),
     T.StructField("items_with_desc", T.StringType()),
 ])
+FRIENDLY_CSV_SCHEMA = T.StructType([
+    T.StructField("rule_id", T.LongType()),
+    T.StructField("antecedent_codes", T.StringType()),
+    T.StructField("antecedent_descriptions", T.StringType()),
+    T.StructField("consequent_codes", T.StringType()),
+    T.StructField("consequent_descriptions", T.StringType()),
+    T.StructField("confidence", T.DoubleType()),
+    T.StructField("lift", T.DoubleType()),
+])
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
@@ -41,22 +54,66 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
+# Column with the text of lines that are no record, see :func:`read_raw`.
+BAD_LINE = "_bad_line"
+
+
+def read_raw(spark: SparkSession, path: str, fmt: str = "csv", bad_line: str | None = None, **options) -> DataFrame:
     """A2: ingest raw invoice lines with every column as text.
 
     CSV and JSON are read with the declared string schema (no inference
     pass over the data); Parquet/ORC sources are read as stored and then
     cast to text so the same cleaning chain applies.
+
+    Lines with too few or too many fields, with a quote that is never closed,
+    or that are no JSON object, are padded or cut to the schema by the reader.
+    Name a ``bad_line`` column (such as ``BAD_LINE``) to tell them apart: it
+    holds their text and is null for records; :func:`split_bad_lines` divides
+    the two.
     """
     if fmt in ("csv", "json"):
-        reader = spark.read.schema(RAW_SCHEMA)
+        schema = RAW_SCHEMA
+        reader = spark.read
         if fmt == "csv":
             reader = reader.option("header", True)
+        if bad_line:
+            schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(bad_line, T.StringType())])
+            # Every field is parsed whatever a query reads: a line must not look whole because its end was skipped.
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_line).option("columnPruning", False)
         for k, v in options.items():
             reader = reader.option(k, v)
-        return reader.format(fmt).load(path)
+        return reader.schema(schema).format(fmt).load(path)
     df = spark.read.format(fmt).load(path)
-    return df.select([F.col(f.name).cast("string").alias(f.name) for f in RAW_SCHEMA.fields])
+    df = df.select([F.col(f.name).cast("string").alias(f.name) for f in RAW_SCHEMA.fields])
+    return df.withColumn(bad_line, F.lit(None).cast("string")) if bad_line else df
+
+
+def split_bad_lines(raw: DataFrame, bad_line: str = BAD_LINE) -> tuple[DataFrame, DataFrame]:
+    """(records, texts of bad lines) of a table read with ``bad_line``. Give a
+    table that is written or persisted: Spark does not read the bad lines
+    alone from CSV or JSON files."""
+    return raw.filter(F.col(bad_line).isNull()).drop(bad_line), raw.filter(F.col(bad_line).isNotNull()).select(bad_line)
+
+
+def _apart(df: DataFrame, **settings: str) -> Iterator[DataFrame]:
+    """``df`` in a session of its own that has the caller's settings and
+    ``settings``; the caller's session stays as it is."""
+    spark = df.sparkSession
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key, value in settings.items():
+        session.conf.set(key.replace("__", "."), value)
+    name = f"apart_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        yield session.table(f"global_temp.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
+apart = contextmanager(_apart)
 
 
 def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
@@ -68,25 +125,19 @@ def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
     (AQE ``rebalance``): each task then writes few folders, and a month
     holding a large share of the rows is split over several tasks instead
     of landing in one.
+
+    The unit of timestamps is a session setting, so the write runs in a
+    session of its own: writers of one session don't disturb each other.
     """
-    spark = df.sparkSession
     # A timestamp without zone is always stored in microseconds; the table holds instants.
     df = df.withColumns({c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"})
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "TIMESTAMP_MILLIS")
-    try:
+    with apart(df, spark__sql__parquet__outputTimestampType="TIMESTAMP_MILLIS") as own:
         if partition_by:
-            df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode(mode).option("compression", "snappy")
+            own = own.hint("rebalance", *partition_by)
+        writer = own.write.mode(mode).option("compression", "snappy")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
 
 
 def flatten_arrays(df: DataFrame) -> DataFrame:
@@ -98,8 +149,10 @@ def flatten_arrays(df: DataFrame) -> DataFrame:
 
 
 def write_rules_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write itemsets, rules or a report as CSV with a header."""
+    """Write itemsets, rules or a report as CSV with a header. Blanks
+    at the ends of names are kept."""
     (flatten_arrays(df).write.mode(mode).option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("quote", '"').option("escape", '"').csv(path))
 
 
@@ -123,6 +176,33 @@ def read_rules_csv(spark: SparkSession, path: str, kind: str = "rules") -> DataF
     ])
 
 
+def read_friendly_rules(spark: SparkSession, path: str) -> DataFrame:
+    """A5: read a readable rule report (B16 written by :func:`write_rules_csv`,
+    or any CSV with its seven columns in that order, whatever they are called)
+    back into rules: codes and names of both sides as arrays.
+
+    Codes are parted at ``, ``, names at ``; ``. A name may itself hold
+    ``; ``; if a side then has more parts than codes, its names can't be told
+    apart and are null, the codes stay."""
+    shown = (spark.read.schema(FRIENDLY_CSV_SCHEMA).option("header", True).option("enforceSchema", True)
+             .option("quote", '"').option("escape", '"').csv(path))
+    sides = {}
+    for side in ("antecedent", "consequent"):
+        codes = F.split(f"{side}_codes", ", ", -1)
+        names = F.split(F.coalesce(f"{side}_descriptions", F.lit("")), "; ", -1)
+        sides[side] = codes
+        sides[f"{side}_names"] = F.when(F.size(names) == F.size(codes), names)
+    return shown.select("rule_id", *[c.alias(name) for name, c in sides.items()], "confidence", "lift")
+
+
+def friendly_text(rules: DataFrame) -> DataFrame:
+    """The report's columns from what :func:`read_friendly_rules` returns."""
+    return rules.select("rule_id", F.array_join("antecedent", ", ").alias("antecedent_codes"),
+                        F.array_join("antecedent_names", "; ").alias("antecedent_descriptions"),
+                        F.array_join("consequent", ", ").alias("consequent_codes"),
+                        F.array_join("consequent_names", "; ").alias("consequent_descriptions"), "confidence", "lift")
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row with the row count and the column count."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(

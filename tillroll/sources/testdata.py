@@ -115,6 +115,23 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lines of :func:`raw_text` that are no record: order number modulo 53.
+SHORT, LONG, UNCLOSED = 1, 2, 3
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines as CSV text (``value``), those of some orders replaced by
+    lines with too few fields, too many, or a quote that is never closed."""
+    raw = raw_sales(spark, sf_dir)
+    as_is = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    kind = F.col("InvoiceNo").cast("long") % 53
+    line = (F.when(kind == SHORT, F.concat("InvoiceNo", F.lit(",too,short")))
+             .when(kind == LONG, F.concat("InvoiceNo", F.lit(",a,b,1,2010-12-01,1.5,c,d,too long")))
+             .when(kind == UNCLOSED, F.concat(F.lit('"'), "InvoiceNo", F.lit(",a,b,1,2010-12-01,1.5,c,d")))
+             .otherwise(F.to_csv(F.struct(*raw.columns), as_is)))
+    return raw.select(line.alias("value"))
+
+
 def basket_source(spark: SparkSession, sf_dir: str, item: str = "p_type") -> DataFrame:
     """Distinct (InvoiceNo, item, Quantity) lines for the miner."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
