@@ -109,33 +109,64 @@ def test_labelled_quality_is_told_apart(spark):
 
 # ---- LM scoring ------------------------------------------------------------
 
-def test_losses(spark, monkeypatch):
-    rows, labels = awkward_rows(), [(7, 1, 0), (10, 1, 0), (11, 1, 0), (30, 0, 1)]
+def scored_parts(text):
+    """The words of a text; of one longer than a block, part by part."""
+    part = []
+    for chunk in lmscore.words((text or "").encode()):
+        part += chunk
+        if len(part) >= lmscore.BLOCK:
+            yield part
+            part = []
+    yield part
+
+
+def brute_losses(rows, good):
+    """(tokens, target loss, background loss) per row: each part by the counts
+    of all but itself."""
+    parts = []
+    for n, (i, t, *_) in enumerate(rows):
+        before = "<s>"
+        for part in scored_parts(t):
+            parts.append((n, i in good, before, part))
+            before = part[-1] if part else before
+    models = [[Counter(), Counter(), 0], [Counter(), Counter(), 0]]
+    counted = []
+    for n, is_good, before, part in parts:
+        word, pair = Counter(part), Counter(zip([before, *part], part))
+        word["<s>"] += before == "<s>"
+        counted.append((word, pair))
+        for model in models[not is_good:]:
+            model[0].update(word), model[1].update(pair)
+            model[2] += len(part)
+    types = len(models[1][0]) - 1
+    out = [[0, 0.0, 0.0] for _ in rows]
+    for (n, is_good, before, part), (word, pair) in zip(parts, counted):
+        out[n][0] += len(part)
+        for v, w in zip([before, *part], part):
+            alone = 1 / types
+            for m, prior in ((1, lmscore.ADDED * types), (0, lmscore.WORD_PRIOR)):
+                less = m or is_good
+                alone = (models[m][0][w] - word[w] * less + prior * alone) / (models[m][2] - len(part) * less + prior)
+                likely = (models[m][1][v, w] - pair[v, w] * less + lmscore.PRIOR * alone) / (models[m][0][v] - word[v] * less + lmscore.PRIOR)
+                out[n][1 + m] -= math.log(likely)
+    return [(n, t / n, b / n) if n else (0, None, None) for n, t, b in out]
+
+
+def check_losses(spark, rows, labels):
+    good = {i for i, q, t in labels if q == 1 and not t and i is not None}
     got = lmscore.cross_entropy_difference(docs_frame(spark, rows), labels_frame(spark, labels)).collect()
-    toks = [(i, (t or "").encode().lower().split()) for i, t, *_ in rows]
-    every = Counter(w for _, ws in toks for w in ws if len(w) <= 64)
-    vocab = {w for w, n in every.items() if n > 1}
-    ids = [(i, ["<s>"] + [w if w in vocab else "?" for w in ws]) for i, ws in toks]
-
-    def model(keep):
-        word, pair = Counter(), Counter()
-        for i, ws in ids:
-            if keep(i):
-                word.update(ws), pair.update(zip(ws, ws[1:]))
-        total = sum(word.values()) - word["<s>"]
-
-        def loss(ws):
-            p = [(pair[a, b] + lmscore.PRIOR * (word[b] + 0.5) / (total + 0.5 * (len(vocab) + 1))) / (word[a] + lmscore.PRIOR) for a, b in zip(ws, ws[1:])]
-            return -sum(map(math.log, p)) / len(p) if p else None
-        return loss
-
-    target, background = model(lambda i: i in (7, 10, 11)), model(lambda i: True)
-    want = sorted((i is None, i or 0, len(ws) - 1, target(ws) or 0, background(ws) or 0) for i, ws in ids)
-    have = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["target_loss"] or 0, r["background_loss"] or 0) for r in got)
-    # Bigrams that share a hashed place may only raise a count, never above either word's.
-    for a, b in zip(have, want):
-        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], abs=0.05)
-    assert all((r["score"] is None) == (r["n_tokens"] == 0) for r in got)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[2] or 0, 6))
+    have = sorted(((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got), key=key)
+    want = sorted(((i, *w) for (i, *_), w in zip(rows, brute_losses(rows, good))), key=key)
+    for a, b in zip(have, want, strict=True):
+        assert a[:2] == b[:2] and a[2:] == (b[2:] if b[2] is None else pytest.approx(b[2:], abs=1e-9))
+    assert all((r["score"] is None) if not r["n_tokens"] else r["score"] == r["target_loss"] - r["background_loss"] for r in got)
+
+
+def test_losses(spark):
+    check_losses(spark, awkward_rows(), [(7, 1, 0), (10, 1, 0), (11, 1, 0), (30, 0, 1), (5, 1, 1), (None, 1, 0)])
+    check_losses(spark, awkward_rows(), [])
+    check_losses(spark, [(1, "alone", "en")], [(1, 1, 0)])
 
 
 def test_losses_in_a_corpus_many_times_larger(spark):
@@ -145,38 +176,40 @@ def test_losses_in_a_corpus_many_times_larger(spark):
     some = [(i, f"the cat number{i % 3} sat on the {long} mat. " * 5, "en") for i in range(6)]
     filler = [(100 + k, " ".join(f"w{x}" for x in r.integers(0, 50_000, 400)), "en") for k in range(2_000)]
     filler.append((99, " ".join(f"w{x}" for x in r.integers(0, 9_000, lmscore.BLOCK + 50_000)), "en"))
-    labels = [(i, 1, 0) for i in (1, 2, *range(100, 400))]
-    for rows in (some, some + filler):
-        toks = {i: t.encode().split() for i, t, _ in rows}
-        every = Counter(w for ws in toks.values() for w in ws)
-        ids = {i: ["<s>"] + [w if every[w] > 1 else "?" for w in ws] for i, ws in toks.items()}
-        vocab, good = sum(n > 1 for n in every.values()), {i for i, *_ in labels}
-        models = []
-        for keep in (good, set(ids)):
-            word = Counter(w for i, ws in ids.items() if i in keep for w in ws)
-            models.append((word, Counter(p for i, ws in ids.items() if i in keep for p in zip(ws, ws[1:])), sum(word.values()) - word["<s>"]))
-        got = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(docs_frame(spark, rows), labels_frame(spark, labels)).collect()}
-        assert len(got) == len(rows)
-        for i, ws in ids.items():
-            want = [-np.mean([math.log((pair[a, b] + lmscore.PRIOR * (word[b] + 0.5) / (total + 0.5 * (vocab + 1))) / (word[a] + lmscore.PRIOR))
-                              for a, b in zip(ws, ws[1:])]) for word, pair, total in models]
-            assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx(want, abs=1e-9)
+    labels = [(i, 1, 0) for i in (1, 2, *range(99, 400))]
+    check_losses(spark, some, labels)
+    check_losses(spark, some + filler, labels)
 
 
 def test_every_labelled_row_counts(spark):
-    """If all of a large corpus is labelled good, both models are the same."""
+    """If all of a large corpus is labelled good, the models differ by smoothing alone."""
     docs = spark.range(100_050).select(F.col("id").alias("doc_id"), F.concat(F.lit("own words "), F.col("id") % 1_000).alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     got = lmscore.cross_entropy_difference(docs, labels.unionByName(labels.limit(10)))
-    assert got.agg(F.count_if(F.abs("score") < 1e-12), F.sum("n_tokens")).first()[:] == (100_050, 300_150)
-
-
-def test_good_text_scores_below_bad(spark):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    got = lmscore.op3_cross_entropy_difference(spark, SF).join(labels, "doc_id").agg(
-        F.max(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.col("score"))).alias("good"),
-        F.min(F.when(F.col("quality") == 0, F.col("score"))).alias("bad")).first()
-    assert got["good"] < got["bad"]
+    assert got.agg(F.count_if(F.abs("score") < 2e-3), F.sum("n_tokens")).first()[:] == (100_050, 300_150)
+
+
+def below(a, b):
+    """Share of pairs in which a value of ``a`` is below one of ``b``."""
+    return float((np.array(a)[:, None] < np.array(b)[None]).mean())
+
+
+def test_withheld_good_text_scores_like_trained_and_noise_worse(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic").collect()
+    good = sorted(r["doc_id"] for r in labels if r["quality"] == 1 and not r["toxic"])
+    r = np.random.default_rng(1)
+    withheld = set(r.choice(good, len(good) // 2, replace=False).tolist())
+    noise = " ".join("".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), r.integers(4, 11))) for _ in range(2_000))
+    some = spark.createDataFrame([tuple(x) for x in labels if x["doc_id"] not in withheld], "doc_id long, quality int, toxic int")
+    both = docs.unionByName(spark.createDataFrame([(-1, noise)], "doc_id long, text string"))
+    score = {x["doc_id"]: x["score"] for x in lmscore.cross_entropy_difference(both, some).collect() if x["score"] is not None}
+    trained, held = ([score[i] for i in good if (i in withheld) == w and i in score] for w in (False, True))
+    bad = [score[x["doc_id"]] for x in labels if x["quality"] == 0 and x["doc_id"] in score]
+    assert 0.4 < below(trained, held) < 0.6 and below(held, bad) > 0.92
+    # Only junk scores worse than noise: no text that is labelled of good quality.
+    assert score[-1] > max(trained + held + [score[x["doc_id"]] for x in labels if x["quality"] == 1 and x["doc_id"] in score])
+    assert np.mean([s > score[-1] for s in score.values()]) < 0.05
 
 
 def test_empty_tables(spark):

@@ -2,20 +2,28 @@
 
 Two bigram models, one of text labelled good (target) and one of all text
 (background), share one vocabulary, one order and one smoothing. A document's
-score is the difference of its losses per token: below zero it is more like
-the target than like the corpus.
+score is the difference of its losses per token: the lower, the more it is
+like the target rather than like the corpus.
 
 Counts are exact and grow with the corpus, those of the target with all its
-labelled rows, which meet the documents' ids in a shuffle join: the vocabulary is every word that
-occurs at least twice (words that occur once are one unknown word), and every
-pair of neighbours has a count of its own. A bigram's probability falls back
-on its second word's by a Dirichlet prior of ``PRIOR`` tokens; what a word's
-row lacks to one is the end of a text, which is not scored. Words and pairs
-are compared by 64-bit hashes, as in operator 6.
+labelled rows, which meet the documents' ids in a shuffle join. The vocabulary
+is every different word of the corpus, and every pair of neighbours has a
+count of its own. A document is scored by the counts of all others: its own
+words and pairs are taken out of both models first, so that a document of the
+target scores like one that is not, and a word that only it has is unseen.
+
+A pair falls back on its second word by a Dirichlet prior of ``PRIOR`` tokens,
+a word of the target falls back on the background by one of ``WORD_PRIOR``
+tokens, and a word of the background on the even distribution over all
+different words. So what no other document holds costs most in both models,
+and in the target more than in the background: noise scores worse than text.
+What a word's row lacks to one is the end of a text, which is not scored.
+Words and pairs are compared by 64-bit hashes, as in operator 6.
 
 The corpus is written once as blocks of about ``BLOCK`` tokens: the block's
-different words and, for each token, its place among them. A longer document
-goes on in the next block. Each block sends its sorted words, and later its
+different words and, for each token, its place among them. A document is in one block; one
+of more than a block's tokens goes on in the next, and each of its parts is
+then scored by the counts of all but that part. Each block sends its sorted words, and later its
 pairs, with their counts to buckets of the hash range, which hold about
 ``BUCKET_BYTES`` of text each, however large the corpus. A bucket adds up and
 sends every block the totals of what it asked for, and the block's documents
@@ -44,9 +52,9 @@ from pyspark.sql import functions as F
 from tillroll.llm.shared import bound_batches, finished, good_ids
 from tillroll.plans.lineage import Scratch
 
-PRIOR = 10.0
-# Keys before those of the words.
-UNKNOWN, BEGIN = 0, 1
+PRIOR, WORD_PRIOR, ADDED = 1_000.0, 10.0, 0.5
+# Key before those of the words.
+BEGIN = 1
 # A block ends after so many tokens, or bytes of text.
 BLOCK, BLOCK_BYTES = 1 << 21, 1 << 25
 # Bytes of one text split into words at once.
@@ -56,7 +64,7 @@ SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 # Kinds of rows that a block gets.
 GOOD, WORDS, PAIRS = 0, 1, 2
 SLICE = "block long, bucket int, keys binary, counts binary"
-TOTALS = "block long, at int, totals binary, words long, target long, background long, rare_target long, rare_background long"
+TOTALS = "block long, at int, totals binary, words long, target long, background long"
 
 
 def words(text: bytes) -> Iterator[list[bytes]]:
@@ -106,18 +114,17 @@ def slices(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa
 
 def bucket_totals(rows: pa.Table) -> pa.Table:
     """For each slice of a bucket the totals of its keys. The first row also
-    has sums over the bucket's words: different ones that occur twice, all
-    occurrences in both models, and those of words that occur once."""
+    has sums over the bucket's words: different ones, and all occurrences in
+    both models."""
     keys = [unpacked_keys(k) for k in rows.column("keys").to_pylist()]
     counts = np.concatenate([from_planes(c, "<u4") for c in rows.column("counts").to_pylist()]).reshape(-1, 2)
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.column_stack([np.bincount(at, counts[:, m], len(every)) for m in (0, 1)]).astype("<i8")
     totals = np.split(sums[at], np.cumsum([len(k) for k in keys])[:-1])
-    word, rare = every != BEGIN, sums[:, 1] < 2
-    stats = [(word & ~rare).sum(), *sums[word].sum(axis=0), *sums[word & rare].sum(axis=0)]
+    word = every != BEGIN
+    stats = [word.sum(), *sums[word].sum(axis=0)]
     return pa.table({"block": rows.column("block"), "at": rows.column("bucket"), "totals": pa.array([planes(t.ravel()) for t in totals], pa.binary()),
-                     **{name: pa.array([int(s)] + [0] * (len(keys) - 1), pa.int64())
-                        for name, s in zip(("words", "target", "background", "rare_target", "rare_background"), stats)}})
+                     **{name: pa.array([int(s)] + [0] * (len(keys) - 1), pa.int64()) for name, s in zip(("words", "target", "background"), stats)}})
 
 
 def written_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -134,7 +141,7 @@ def written_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
         numbers: list = []
         lengths: list = []
         tokens: list = []
-        held = size = 0
+        held = size = own = 0
 
         def block() -> pa.RecordBatch:
             nonlocal made, held, size
@@ -156,16 +163,19 @@ def written_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
             kind = b.schema.field("doc_id").type
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary())):
                 before = None
+                if ids and size + len(text.as_py() or b"") >= BLOCK_BYTES:
+                    yield block()
                 for part in words(text.as_py() or b"") if text.as_py() else [[]]:
-                    for a in range(0, max(len(part), 1), BLOCK):
-                        piece = part[a:a + BLOCK]
-                        ids.append(doc_id), numbers.append(base + row), lengths.append(len(piece))
-                        tokens.append(np.array([-1 if before is None else places[before], *map(places.__getitem__, piece)]))
-                        before = piece[-1] if piece else before
-                        held, size = held + len(piece) + 1, size + sum(map(len, piece))
-                        if held >= BLOCK or size >= BLOCK_BYTES:
-                            yield block()
-                row += 1
+                    ids.append(doc_id), numbers.append(base + row), lengths.append(len(part))
+                    tokens.append(np.array([-1 if before is None else places[before], *map(places.__getitem__, part)]))
+                    before = part[-1] if part else before
+                    held, size, own = held + len(part) + 1, size + sum(map(len, part)) + len(part), own + len(part)
+                    if own >= BLOCK or size >= BLOCK_BYTES:  # more than a block by itself
+                        yield block()
+                        own = 0
+                row, own = row + 1, 0
+                if held >= BLOCK:
+                    yield block()
         if ids:
             yield block()
 
@@ -209,17 +219,27 @@ class Opened:
                 + self.counts(self.tokens[begins], len(self.keys), self.good[self.tokens[self.first] == 0]))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys of the different pairs, and each token's place there."""
+        """Sorted keys of the different pairs, and each token's place there.
+        A pair with a word that occurs once occurs once itself: no other
+        document holds it, it has no key and its place is -1."""
         known = self.totals(WORDS)[:, 1] > 1
         known[0] = True
-        ids = np.where(known, self.keys, np.uint64(UNKNOWN))[self.tokens]
-        return np.unique(pair_keys(ids[self.at - 1], ids[self.at]), return_inverse=True)
+        first, second = self.tokens[self.at - 1], self.tokens[self.at]
+        asked = known[first] & known[second]
+        keys, places = np.unique(pair_keys(self.keys[first[asked]], self.keys[second[asked]]), return_inverse=True)
+        at = np.full(len(self.at), -1)
+        at[asked] = places
+        return keys, at
 
+    def row_of(self) -> np.ndarray:
+        """Number, inside the block, of each piece's document."""
+        return np.unique(self.row["rows"].values.to_numpy(), return_inverse=True)[1]
 
-def losses(pair: np.ndarray, own: np.ndarray, last: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
-    """-log P of tokens under one model's counts."""
-    alone = (own + 0.5) / (total + 0.5 * (vocabulary + 1))
-    return -np.log((pair + PRIOR * alone) / (last + PRIOR))
+
+def own_counts(row: np.ndarray, key: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """How often the row of each entry has its key, among entries ``counted``."""
+    _, at = np.unique(row * (int(key.max(initial=0)) + 1) + key, return_inverse=True)
+    return np.bincount(at[counted], minlength=len(at))[at]
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,14 +266,15 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return slices(b.number, b.keys, b.word_counts(), buckets)
 
     word_totals = scratch.table(per_block(got, send_words, SLICE).groupBy("bucket").applyInArrow(bucket_totals, TOTALS), "word-totals", compression="zstd")
-    names = ("words", "target", "background", "rare_target", "rare_background")
-    n_words, n_target, n_background, *rare = (x or 0 for x in word_totals.agg(*[F.sum(name) for name in names]).first())
+    names = ("words", "target", "background")
+    n_words, *n_tokens = (x or 0 for x in word_totals.agg(*[F.sum(name) for name in names]).first())
     got = got.unionByName(word_totals.select("block", F.lit(WORDS).alias("kind"), "at", "totals"))
 
     def send_pairs(block: pa.Table, more: pa.Table) -> pa.Table:
         b = Opened(block, more)
         keys, at = b.pairs()
-        return slices(b.number, keys, b.counts(at, len(keys), np.repeat(b.good, b.lengths)), buckets)
+        asked = at >= 0
+        return slices(b.number, keys, b.counts(at[asked], len(keys), np.repeat(b.good, b.lengths)[asked]), buckets)
 
     pair_totals = per_block(got, send_pairs, SLICE).groupBy("bucket").applyInArrow(bucket_totals, TOTALS)
     got = got.unionByName(pair_totals.select("block", F.lit(PAIRS).alias("kind"), "at", "totals"))
@@ -261,12 +282,27 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(block: pa.Table, more: pa.Table) -> pa.Table:
         b = Opened(block, more)
         _, at = b.pairs()
-        word, pair = b.totals(WORDS), b.totals(PAIRS)
-        word[1:] = np.where(word[1:, 1:] > 1, word[1:], rare)
-        own, last = word[b.tokens[b.at]], word[b.tokens[b.at - 1]]
+        row = b.row_of()
+        token_row = np.repeat(row, b.lengths)
+        # What a document adds itself: to its words, those before them and their pairs; to the target only if it is there.
+        counted = np.zeros(len(b.tokens), bool)
+        counted[b.at] = True
+        begins = b.first[b.tokens[b.first] == 0]
+        counted[begins] = True
+        own_word = own_counts(np.repeat(row, b.lengths + 1), b.tokens.astype("i8"), counted)
+        asked = at >= 0
+        own_pair = np.zeros(len(at), "i8")
+        own_pair[asked] = own_counts(token_row[asked], at[asked], np.ones(int(asked.sum()), bool))
+        length = np.bincount(token_row, minlength=int(row.max(initial=0)) + 1)[token_row]
+        good = np.repeat(b.good, b.lengths)
+        word, pair = b.totals(WORDS), np.vstack([b.totals(PAIRS), np.zeros((1, 2), "i8")])
         piece = np.repeat(np.arange(len(b.lengths)), b.lengths)
-        sums = [np.bincount(piece, losses(pair[at, m], own[:, m], last[:, m], total, n_words), len(b.lengths))
-                for m, total in enumerate((n_target, n_background))]
+        sums, alone = {}, ADDED / (ADDED * n_words) if n_words else 0.0
+        for m, prior, in_model in ((1, ADDED * n_words, True), (0, WORD_PRIOR, good)):  # the background, then the target on top of it
+            own, last = (word[b.tokens[x], m] - own_word[x] * in_model for x in (b.at, b.at - 1))
+            alone = (own + prior * alone) / (n_tokens[m] - length * in_model + prior)
+            likely = (pair[at, m] - own_pair * in_model + PRIOR * alone) / (last + PRIOR)
+            sums[m] = np.bincount(piece, -np.log(likely), len(b.lengths))
         return pa.table({"row": b.row["rows"].values, "doc_id": b.row["doc_ids"].values, "n": pa.array(b.lengths.astype("i8")),
                          "target": pa.array(sums[0]), "background": pa.array(sums[1])})
 
