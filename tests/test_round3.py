@@ -1,5 +1,6 @@
 """Mining without a task per item, size guard, bad lines, isolated writes."""
 
+import os
 import random
 import threading
 from collections import Counter
@@ -222,3 +223,136 @@ def test_the_isolated_write_keeps_the_callers_settings(spark, tmp_path):
         assert A.read_sales(spark, str(tmp_path / "zoned")).select(F.col("InvoiceDate").cast("string")).first()[0] == "2010-12-01 08:26:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+# ---- terciles of text ids --------------------------------------------------------
+
+def texts(seed):
+    r = random.Random(seed)
+    parts = ["", "a", "ab", "ab\0", "abcdefg", "abcdefgh", "abcdefg\0", "é", "一", "\U0001f600", "customer-000"]
+    return sorted({r.choice(parts) + r.choice(parts) + str(r.randint(0, 400)) * r.randint(0, 3) for _ in range(700)}, key=str.encode)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_the_kth_text_without_a_sort(spark, seed, monkeypatch):
+    from tillroll.plans import ranking
+
+    monkeypatch.setattr(ranking, "global_row_number", None)  # nothing may be sorted
+    want = texts(seed)
+    df = spark.createDataFrame([(t, 5.0 if k % 9 else float(k)) for k, t in enumerate(want)], "CustomerID string, Monetary double").repartition(4)
+    n = len(want)
+    for k in (1, 2, n // 3, n // 2, n - 1, n):
+        assert ranking.kth_text(df, "CustomerID", k, n) == want[k - 1]
+    ordered = sorted(((5.0 if k % 9 else float(k)), t.encode()) for k, t in enumerate(want))
+    ks = [1, n // 3, 2 * n // 3, n]
+    assert ranking.kth_keys(df, "Monetary", "CustomerID", ks, n) == [(m, t.decode()) for m, t in (ordered[k - 1] for k in ks)]
+    same = spark.createDataFrame([("twice",), ("twice",), ("once",)], "CustomerID string")
+    assert [ranking.kth_text(same, "CustomerID", k, 3) for k in (1, 2, 3)] == ["once", "twice", "twice"]
+
+
+def test_scores_of_text_customers_sort_nothing(spark, monkeypatch):
+    from tillroll.operators import rfm as R
+    from tillroll.plans import ranking
+    from tillroll.sources import testdata as V
+
+    sales = V.sales(spark, SF, null_customers=True)
+    numbers = {str(r["CustomerID"]).rjust(9): tuple(r)[1:] for r in R.rfm_scores(sales).collect()}
+    monkeypatch.setattr(ranking, "global_row_number", None)
+    as_text = R.rfm_scores(sales.withColumn("CustomerID", F.lpad(F.col("CustomerID").cast("string"), 9, " ")))
+    assert {r["CustomerID"]: tuple(r)[1:] for r in as_text.collect()} == numbers
+
+
+# ---- layout, footers, sketches ---------------------------------------------------
+
+def test_a_bucketed_table_groups_by_invoice_without_an_exchange(spark, tmp_path):
+    from tillroll.operators import overview as K
+    from tillroll.sources import testdata as V
+
+    sales = V.sales(spark, SF)
+    A.write_sales_bucketed(sales, str(tmp_path / "by_invoice"), "sales_by_invoice_test", 8)
+    try:
+        table = A.read_sales_table(spark, "sales_by_invoice_test")
+        for made, plain in ((K.order_values(table), K.order_values(sales)), (B.baskets(table), B.baskets(sales)),
+                            (table.groupBy("InvoiceNo").count(), sales.groupBy("InvoiceNo").count())):
+            rows = sorted(map(tuple, made.collect()))
+            assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+            assert rows == sorted(map(tuple, plain.collect()))
+        # The invoices of K1: only the one-row total moves.
+        invoices = table.agg(F.countDistinct("InvoiceNo"))
+        assert invoices.first()[0] == sales.select("InvoiceNo").distinct().count()
+        assert "hashpartitioning" not in invoices._jdf.queryExecution().executedPlan().toString()
+        assert timestamp_units(tmp_path / "by_invoice") == {"ms"}
+    finally:
+        spark.sql("DROP TABLE sales_by_invoice_test")
+
+
+def test_footers_answer_without_a_data_page(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tillroll.operators import filters as FL
+    from tillroll.sources import testdata as V
+
+    sales = V.sales(spark, SF)
+    path = str(tmp_path / "by_month")
+    A.write_sales(sales, path, partition_by=["Year", "Month"])
+    want = (tuple(A.profile(sales).first()), tuple(FL.date_bounds(sales).first()))
+    months = sorted(map(tuple, sales.groupBy("Year", "Month").agg(F.min("Day"), F.max("Day"), F.count(F.lit(1))).collect()))
+    for name in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(name).metadata
+        columns = [meta.row_group(g).column(c) for g in range(meta.num_row_groups) for c in range(meta.num_columns)]
+        end = max(min(c.dictionary_page_offset or c.data_page_offset, c.data_page_offset) + c.total_compressed_size for c in columns)
+        with open(name, "r+b") as f:  # pages become zeros, the footer stays
+            f.seek(4)
+            f.write(b"\0" * (end - 4))
+    for checksum in glob.glob(f"{path}/**/.*.crc", recursive=True):
+        os.unlink(checksum)
+    with pytest.raises(Exception):
+        A.read_sales(spark, path).agg(F.sum("Quantity")).collect()
+    assert (tuple(A.footer_profile(spark, path).first()), tuple(A.footer_bounds(spark, path).first())) == want
+    assert sorted(map(tuple, A.footer_months(spark, path).collect())) == months
+    A.write_sales(sales.limit(0), str(tmp_path / "none"))
+    assert A.footer_profile(spark, str(tmp_path / "none")).first()["n_rows"] == 0
+
+
+def test_sketches_roll_up_within_their_error(spark):
+    from tillroll.operators import sketches as S
+
+    lines = spark.range(0, 60_000, 1, 6).select(
+        F.concat(F.lit("o"), (F.col("id") / 2).cast("long").cast("string")).alias("InvoiceNo"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 9_000).alias("CustomerID"), (F.col("id") % 100 / 100).alias("TotalValue"),
+        (F.col("id") % 5).cast("string").alias("Country"), F.lit(2011).alias("Year"), (F.col("id") % 12).cast("int").alias("Month"))
+    fine = S.sketched(lines, ["Country", "Year", "Month"])
+    with Scratch(spark) as scratch:
+        stored = scratch.table(fine, "sketches")
+        assert stored.count() == 60
+        for keys in ([], ["Country"], ["Year", "Month"]):
+            exact = {tuple(r[k] for k in keys): r for r in lines.groupBy(*keys).agg(
+                F.countDistinct("InvoiceNo").alias("o"), F.countDistinct("CustomerID").alias("c"), F.count(F.lit(1)).alias("n"),
+                F.sum(F.col("TotalValue").cast("decimal(28,6)")).cast("double").alias("v")).collect()}
+            got = S.estimated(S.rolled_up(stored, keys)).collect()
+            assert len(got) == len(exact)
+            for r in got:
+                e = exact[tuple(r[k] for k in keys)]
+                assert r["n_lines"] == e["n"] and r["Revenue"] == e["v"]
+                assert abs(r["Orders"] - e["o"]) <= 0.05 * e["o"] and abs(r["Customers"] - e["c"]) <= 0.05 * e["c"]
+        assert S.estimated(S.sketched(lines.limit(0), ["Country"])).count() == 0
+
+
+# ---- the entry point ---------------------------------------------------------------
+
+def test_a_missing_module_of_the_optional_part_leaves_the_rest(tmp_path):
+    """Without ``tiktoken``, or without the subpackage, the other queries register."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for blocked in ("tiktoken", "public_tokenizers", "tillroll.llm"):
+        code = (f"import sys; sys.path.insert(0, {root!r}); sys.modules[{blocked!r}] = None\n"
+                "import __spark_entry__ as e\nnames = set(e.queries())\n"
+                "assert 'kpis' in names and not any(n.startswith('op') and n[2:3].isdigit() for n in names) and 'pipeline' not in names\n"
+                "assert set(e.oracle_sql()) <= names")
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
+        assert "training-data queries left out" in done.stderr

@@ -341,6 +341,7 @@ def oracle_sql() -> dict[str, str]:
     q["scan_sales"] = _with(S) + f"SELECT {ALL_SALES_COLS} FROM sales"
     q["roundtrip_parquet"] = q["scan_sales"]
     q["profile_counts"] = _with(S) + "SELECT COUNT(*) AS n_rows, 14 AS n_columns FROM sales"
+    q["footer_profile"] = q["profile_counts"]
     q["rules_described"] = _with(DESCRIBED) + f"SELECT {RULES_DESCRIBED_COLS} FROM rd"
     q["roundtrip_rules_csv"] = _with(DESCRIBED) + f"""SELECT {codes('antecedent')} AS antecedent,
        {codes('consequent')} AS consequent, confidence, lift, support,
@@ -403,7 +404,15 @@ FROM (SELECT {money('TotalValue')} AS total_revenue, COUNT(DISTINCT InvoiceNo) A
        printf('%d-%02d', Year, Month) AS "Date" FROM sales GROUP BY Year, Month"""
     q["top_products"] = _with(S) + """SELECT Description, CAST(SUM(Quantity) AS BIGINT) AS Quantity FROM sales
 WHERE Description IS NOT NULL GROUP BY Description ORDER BY Quantity DESC, Description LIMIT 10"""
+    q["footer_bounds"] = q["date_bounds"]
     q["order_values"] = _with(S, ORDER_VALUES) + "SELECT * FROM ov"
+    q["bucketed_order_values"] = q["order_values"]
+    q["bucketed_baskets"] = _with(S, baskets_cte("sales")) + f"""SELECT InvoiceNo,
+       {codes('items')} AS items, CAST(len(items) AS INTEGER) AS basket_size FROM bk_all"""
+    for key, cte, view, keys in (("approx_country_metrics", SN, "sales", "Country"), ("approx_monthly_metrics", SN, "sales", "Year, Month"),
+                                 ("approx_heatmap", ACTIVITY, "activity", "DayOfWeek, Hour")):
+        q[key] = _with(cte) + f"""SELECT {keys}, COUNT(*) AS n_lines, {money('TotalValue')} AS Revenue,
+       true AS orders_near, true AS customers_near FROM {view} GROUP BY {keys}"""
     q["order_value_p95"] = _with(S, ORDER_VALUES, P95) + "SELECT * FROM p95"
     q["order_value_p95_approx"] = _with(S, ORDER_VALUES) + "SELECT COUNT(*) AS n_orders, true AS within FROM ov"
     q["trimmed_order_values"] = _with(S, ORDER_VALUES, P95, TRIMMED) + "SELECT * FROM tr"

@@ -126,15 +126,44 @@ def kth_values(df: DataFrame, col: str, ks: list[int], n: int, accuracy: int = 1
     return [(found[i]["value"], below + found[i]["upto"] - found[i]["same"], found[i]["same"]) for i, (_, _, below) in enumerate(spans)]
 
 
+# Bytes of a text compared at once: seven and their number fit a long.
+CHUNK = 7
+
+
+def _text_chunk(c, start: int) -> Column:
+    """``CHUNK`` bytes of a text from ``start`` on, as a number in the order
+    of texts: the bytes, filled up with zeros, then how many there are."""
+    part = F.substring(F.col(c).cast("binary"), start + 1, CHUNK)
+    return F.conv(F.rpad(F.hex(part), 2 * CHUNK, "0"), 16, 10).cast("long") * 8 + F.octet_length(part)
+
+
+def kth_text(df: DataFrame, col: str, k: int, n: int) -> str:
+    """The k-th smallest of ``n`` texts, without sorting them: the k-th
+    smallest first bytes, then among the texts that begin so the next bytes,
+    until one text is left or the text ends. Each step is a
+    :func:`kth_values` over numbers."""
+    rows, start = df.select(col), 0
+    while True:
+        chunks = rows.withColumn("_chunk", _text_chunk(col, start))
+        value, below, same = kth_values(chunks, "_chunk", [k], n)[0]
+        rows = chunks.filter(F.col("_chunk") == F.lit(value)).select(col)
+        if same == 1 or value % 8 < CHUNK:
+            return rows.first()[0]
+        k, n, start = k - below, same, start + CHUNK
+
+
 def kth_keys(df: DataFrame, metric: str, ident: str, ks: list[int], n: int) -> list[tuple]:
     """For each k: the k-th smallest (``metric``, ``ident``) of ``n`` rows,
     ``ident`` telling rows apart, without sorting the table."""
     keys = []
-    numeric = dict(df.dtypes)[ident] in ("int", "bigint", "smallint", "tinyint", "float", "double")
+    kind = dict(df.dtypes)[ident]
+    numeric = kind in ("int", "bigint", "smallint", "tinyint", "float", "double")
     for k, (value, below, ties) in zip(ks, kth_values(df, metric, ks, n)):
         same = df.filter(F.col(metric) == F.lit(value)).select(ident)
         if numeric and ties > 1:
             keys.append((value, kth_values(same, ident, [k - below], ties)[0][0]))
+        elif kind == "string" and ties > 1:
+            keys.append((value, kth_text(same, ident, k - below, ties)))
         else:
             keys.append((value, kth_smallest(same, [ident], k=k - below).first()[0] if ties > 1 else same.first()[0]))
     return keys

@@ -21,6 +21,7 @@ from tillroll.operators import country as G
 from tillroll.operators import filters as FL
 from tillroll.operators import overview as K
 from tillroll.operators import rfm as R
+from tillroll.operators import sketches as S
 from tillroll.operators import timeline as TL
 from tillroll.plans.lineage import Scratch, checkpointed, written_table
 from tillroll.plans.lookup import Lookup, lookup_table
@@ -120,6 +121,35 @@ def profile_counts(spark, sf):
     return A.profile(_sales(spark, sf))
 
 
+def _by_month(spark, sf) -> str:
+    path = scratch_path(spark, "sales_by_month")
+    A.write_sales(_sales(spark, sf), path, partition_by=["Year", "Month"])
+    return path
+
+
+def footer_profile(spark, sf):
+    return A.footer_profile(spark, _by_month(spark, sf))
+
+
+def footer_bounds(spark, sf):
+    return A.footer_bounds(spark, _by_month(spark, sf))
+
+
+def _bucketed(spark, sf) -> DataFrame:
+    path = scratch_path(spark, "sales_by_invoice")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    A.write_sales_bucketed(_sales(spark, sf), path, table, 16)
+    return A.read_sales_table(spark, table)
+
+
+def bucketed_order_values(spark, sf):
+    return K.order_values(_bucketed(spark, sf))
+
+
+def bucketed_baskets(spark, sf):
+    return flat(B.baskets(_bucketed(spark, sf)))
+
+
 def _described(spark, sf, report: Callable[[B.MiningRun, Lookup], DataFrame]) -> DataFrame:
     # Clean once, keep the columns mining and naming read, write it down:
     # the baskets and the product table then scan these files. The report is
@@ -317,6 +347,40 @@ def top_countries_aov(spark, sf):
     return G.top_countries(_sales(spark, sf), "Avg_Order_Value").select("Country", "Avg_Order_Value")
 
 
+# ---- sketches: approximate distinct counts -------------------------------------
+
+def _near(estimate: str, exact: str):
+    """Within 5 %, three standard errors."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= 0.05 * F.col(exact)
+
+
+def _against_exact(sketches: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    found = S.estimated(S.rolled_up(sketches, keys)).select(*keys, "n_lines", "Revenue", F.col("Orders").alias("o"), F.col("Customers").alias("c"))
+    return found.join(exact, keys).select(*keys, "n_lines", "Revenue", _near("o", "Orders").alias("orders_near"), _near("c", "Customers").alias("customers_near"))
+
+
+def _exact_counts(sales: DataFrame, keys: list[str]) -> DataFrame:
+    return sales.groupBy(*keys).agg(F.countDistinct("InvoiceNo").alias("Orders"), F.countDistinct("CustomerID").alias("Customers"))
+
+
+def approx_country_metrics(spark, sf):
+    """G1 from month and country sketches: revenue, and whether the distinct
+    counts are as near as promised."""
+    sales = _sales_nc(spark, sf)
+    return _against_exact(S.sketched(sales, ["Country", "Year", "Month"]), _exact_counts(sales, ["Country"]), ["Country"])
+
+
+def approx_monthly_metrics(spark, sf):
+    sales = _sales_nc(spark, sf)
+    return _against_exact(S.sketched(sales, ["Country", "Year", "Month"]), _exact_counts(sales, ["Year", "Month"]), ["Year", "Month"])
+
+
+def approx_heatmap(spark, sf):
+    """T4 from finer sketches."""
+    lines = V.activity(spark, sf)
+    return _against_exact(S.sketched(lines, ["Country", "DayOfWeek", "Hour"]), _exact_counts(lines, ["DayOfWeek", "Hour"]), ["DayOfWeek", "Hour"])
+
+
 # ---- T: time -----------------------------------------------------------------
 
 def hourly(spark, sf):
@@ -473,6 +537,8 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("scan_sales", scan_sales), ("roundtrip_parquet", roundtrip_parquet),
     ("roundtrip_rules_csv", roundtrip_rules_csv), ("roundtrip_friendly_rules", roundtrip_friendly_rules),
     ("malformed_counts", malformed_counts), ("malformed_lines", malformed_lines), ("ingest_records", ingest_records), ("profile_counts", profile_counts),
+    ("footer_profile", footer_profile), ("footer_bounds", footer_bounds),
+    ("bucketed_order_values", bucketed_order_values), ("bucketed_baskets", bucketed_baskets),
     ("clean_dates", clean_dates), ("clean_numeric", clean_numeric), ("clean_nonnegative", clean_nonnegative),
     ("code_strip_all", code_strip_all), ("code_trim", code_trim), ("desc_counts", desc_counts),
     ("modal_description", modal_description), ("standardize_description", standardize_description),
@@ -489,6 +555,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in [
     ("trimmed_order_values", trimmed_order_values), ("order_value_histogram", order_value_histogram),
     ("country_metrics", country_metrics), ("top_countries_revenue", top_countries_revenue),
     ("top_countries_aov", top_countries_aov),
+    ("approx_country_metrics", approx_country_metrics), ("approx_monthly_metrics", approx_monthly_metrics), ("approx_heatmap", approx_heatmap),
     ("hourly", hourly), ("weekday_revenue", weekday_revenue), ("daily_trend", daily_trend),
     ("heatmap_long", heatmap_long), ("heatmap_matrix", heatmap_matrix),
     ("month_year_revenue", month_year_revenue), ("monthly_country_revenue", monthly_country_revenue),

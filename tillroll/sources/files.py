@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -95,25 +96,31 @@ def split_bad_lines(raw: DataFrame, bad_line: str = BAD_LINE) -> tuple[DataFrame
     return raw.filter(F.col(bad_line).isNull()).drop(bad_line), raw.filter(F.col(bad_line).isNotNull()).select(bad_line)
 
 
-def _apart(df: DataFrame, **settings: str) -> Iterator[DataFrame]:
-    """``df`` in a session of its own that has the caller's settings and
-    ``settings``; the caller's session stays as it is."""
-    spark = df.sparkSession
+def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own on the same cluster, with the caller's settings
+    and ``settings``; the caller's session stays as it is."""
     session = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if session.conf.isModifiable(key):
             session.conf.set(key, value)
     for key, value in settings.items():
-        session.conf.set(key.replace("__", "."), value)
+        session.conf.set(key, value)
+    return session
+
+
+def _apart(df: DataFrame, settings: dict[str, str]) -> Iterator[DataFrame]:
+    """``df`` in a session of its own."""
+    session = own_session(df.sparkSession, settings)
     name = f"apart_{uuid.uuid4().hex}"
     df.createGlobalTempView(name)
     try:
         yield session.table(f"global_temp.{name}")
     finally:
-        spark.catalog.dropGlobalTempView(name)
+        df.sparkSession.catalog.dropGlobalTempView(name)
 
 
 apart = contextmanager(_apart)
+MILLIS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS"}
 
 
 def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
@@ -131,7 +138,7 @@ def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
     """
     # A timestamp without zone is always stored in microseconds; the table holds instants.
     df = df.withColumns({c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"})
-    with apart(df, spark__sql__parquet__outputTimestampType="TIMESTAMP_MILLIS") as own:
+    with apart(df, MILLIS) as own:
         if partition_by:
             own = own.hint("rebalance", *partition_by)
         writer = own.write.mode(mode).option("compression", "snappy")
@@ -140,6 +147,24 @@ def write_sales(df: DataFrame, path: str, mode: str = "overwrite",
         writer.parquet(path)
 
 
+def write_sales_bucketed(df: DataFrame, path: str, table: str, buckets: int, key: str = "InvoiceNo") -> None:
+    """A3 with a layout: table ``table``, stored in ``path``, in ``buckets``
+    buckets of ``key``, each sorted by it. What groups or counts by invoice
+    (K4, B3, the invoices of K1) or joins on it then shuffles no line. Choose
+    the buckets so that one fits a task, such as bytes / 256 MB; all lines of
+    an invoice are in one bucket."""
+    df = df.withColumns({c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"})
+    with apart(df, MILLIS) as own:
+        # Dealt like the buckets, so that each is one file.
+        (own.repartition(buckets, key).write.mode("overwrite").option("compression", "snappy").option("path", path)
+            .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
+def read_sales_table(spark: SparkSession, table: str) -> DataFrame:
+    """A1 for :func:`write_sales_bucketed`."""
+    return spark.table(table)
+
+
 def flatten_arrays(df: DataFrame) -> DataFrame:
     """Turn every array column into JSON text (CSV cannot hold arrays)."""
     return df.select([
@@ -209,6 +234,34 @@ def profile(df: DataFrame) -> DataFrame:
         "n_rows", F.lit(len(df.columns)).alias("n_columns"))
 
 
+# Parquet read so that counts, minima and maxima come from the files' footers.
+# Groups by partition columns are only pushed down under case-sensitive names.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true",
+           "spark.sql.caseSensitive": "true"}
+
+
+def footer_months(spark: SparkSession, path: str) -> DataFrame:
+    """``Year``, ``Month``, ``first_day``, ``last_day``, ``n_rows`` of a table
+    written by ``write_sales(partition_by=["Year", "Month"])``, from folder
+    names and file footers: no data page is read. One row per month."""
+    table = own_session(spark, FOOTERS).read.parquet(path)
+    return table.groupBy("Year", "Month").agg(F.min("Day").alias("first_day"), F.max("Day").alias("last_day"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def footer_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """F5 from footers: first and last date (one row)."""
+    months = footer_months(spark, path).collect()
+    days = [[datetime.date(r["Year"], r["Month"], r[c]) for r in months] for c in ("first_day", "last_day")]
+    return spark.createDataFrame([(min(days[0], default=None), max(days[1], default=None))], "min_date date, max_date date")
+
+
+def footer_profile(spark: SparkSession, path: str) -> DataFrame:
+    """A7 from footers: row and column count of any Parquet table (one row)."""
+    table = own_session(spark, FOOTERS).read.parquet(path)
+    n_rows = table.agg(F.count(F.lit(1))).first()[0] or 0  # no row group at all gives null
+    return spark.createDataFrame([(n_rows, len(table.columns))], "n_rows long, n_columns int")
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """The schema as rows (position, column, type, nullable); metadata
     only, no job runs."""
