@@ -1,11 +1,13 @@
 """Line dedup against plain Python."""
 
+import random
 from collections import Counter
 
 import pytest
 from brute import LONG_LINE, awkward_rows, docs_frame, line_dedup
 
 from tillroll.llm import linededup
+from tillroll.plans.lineage import Scratch
 
 
 def applied(spark, rows, **k):
@@ -43,3 +45,44 @@ def test_bitmaps_hold_no_text(spark):
 
 def test_empty_table(spark):
     assert applied(spark, [(1, "x", "en")][:0] or [], ) == Counter()
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_keys_and_documents_that_go_on_over_borders(spark, monkeypatch, seed):
+    """Eight range partitions and a few keys: some end inside a document, some hold no id."""
+    r = random.Random(seed)
+    line = [LONG_LINE + f" number {k}" for k in range(6)]
+    rows = []
+    for k in range(400):
+        text = "\n".join(r.choice([line[0], line[0], line[r.randrange(6)], f"short {k}", LONG_LINE + f" own {k}"]) for _ in range(r.randint(1, 8)))
+        rows.append((r.choice([None, None, k, k, k % 7, 5]), text, "en"))
+    rows += [(None, "\n".join([line[1]] * 300), "en"), (399, "\n".join([line[1]] * 500), "en"), (3, line[5], "en")]
+    rows += rows[:20]
+    spans = {}
+    plain = Scratch.table
+
+    def kept(self, df, name, compression=None):
+        back = plain(self, df, name, compression)
+        spans[name] = back.count()
+        return back
+
+    monkeypatch.setattr(Scratch, "table", kept)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = docs_frame(spark, rows)
+        out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs), "info").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:3], x[3] or "")
+    got = sorted(((x["doc_id"], x["info"]["n_lines"], x["info"]["n_dropped"], x["text"]) for x in out), key=key)
+    assert got == sorted(line_dedup(rows), key=key)
+    assert spans["keys-over-borders"] >= 2 and spans["carried-keys"] == spans["keys-over-borders"]
+
+
+def test_no_second_grouping_of_all_lines(spark):
+    """Inside a partition the keeper is streamed: the joins are with tables of a row per border."""
+    with Scratch(spark) as scratch:
+        lines = scratch.table(spark.range(50).selectExpr("id % 3 AS h1", "id % 3 AS h2", "id AS doc_id", "id AS tag", "0 AS pos"), "hashes")
+        lost = linededup._lost_lines(lines, 5, scratch)
+        plan = lost._jdf.queryExecution().executedPlan().toString()
+        assert lost.count() == 47 and "Window" in plan and "SortMergeJoin" not in plan and "Aggregate" not in plan

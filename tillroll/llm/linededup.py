@@ -5,14 +5,14 @@ case. Keys of at least ``min_chars`` code points found in at least
 ``min_docs`` documents lose all their lines but those of the largest doc_id.
 
 Every long line becomes two 64-bit hashes of its key with its place. These
-rows are range-partitioned by (hash, document) and sorted inside each
-partition by hash, document (largest first) and position, so a key held by a
-third of all lines spreads over many partitions while the lines of one key
-and document stay together; a grouping that needs no further
-shuffle gathers them. The keeper is not read off the sorted order: a grouped
-count and maximum of doc_id per key and a join back to the holders replace the
-streamed first occurrence, since a key may span partitions. Of the range
-partitioning only the clustering is used. What is returned is a keep bitmap per
+rows are range-partitioned by hash, document (largest first) and position, so
+a key or a document held by a third of all lines spreads over partitions that
+follow one another in that order. Inside a partition the lines of a key are
+streamed in it: the first one's document is the keeper, and a running count
+numbers the documents. Only a key that goes on over a border needs more than
+its own partition: there are at most as many such keys as partitions, and what
+their partitions found (documents, first and last one) is carried over the
+borders by a table of that size. What is returned is a keep bitmap per
 document, compressed as runs of kept lines; texts are only read to make the
 hashes and, if wanted, to apply the bitmaps.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import ascii_lower, content_tag, finished
+from tillroll.llm.shared import ascii_lower, content_tag, finished, own_names
 from tillroll.plans.lineage import Scratch
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -40,6 +40,39 @@ def _lines(c="text") -> Column:
     return F.split(F.coalesce(F.col(c), F.lit("")), "\n", -1)
 
 
+def _lost_lines(lines: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
+    """``doc_id``, ``tag``, ``pos`` of the lines that go, from the hashes of
+    long lines (``h1``, ``h2``) and their places; repeated rows once."""
+    order = ["h1", "h2", F.desc_nulls_last("doc_id"), "tag", "pos"]
+    dealt = (lines.repartitionByRange(*order).dropDuplicates(["h1", "h2", "doc_id", "tag", "pos"])
+             .withColumn("part", F.spark_partition_id()))
+    dealt = scratch.table(dealt, "dealt-lines", compression="zstd")
+
+    inside = Window.partitionBy("part", "h1", "h2")
+    streamed = inside.orderBy(F.desc_nulls_last("doc_id"), "tag", "pos")
+    numbered = dealt.withColumn("first", F.first("doc_id").over(streamed)).withColumn(
+        "nth", F.when(F.col("doc_id").isNotNull(), F.dense_rank().over(streamed)))
+    found = numbered.withColumn("holders", F.max("nth").over(inside)).drop("nth")
+
+    # Keys that go on over a border are the last of one partition and the first of a later one.
+    key = F.struct("h1", "h2")
+    edges = dealt.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    over = (edges.select("part", F.explode(F.array("low", "high")).alias("key")).distinct()
+            .groupBy("key").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key.h1", "key.h2"))
+    over = scratch.table(over, "keys-over-borders")
+    here = (dealt.join(F.broadcast(over), ["h1", "h2"], "left_semi").groupBy("h1", "h2", "part")
+            .agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("top"), F.min("doc_id").alias("last")))
+    # A document that goes on over the border counts once.
+    before = F.lag("last").over(Window.partitionBy("h1", "h2").orderBy("part"))
+    each = here.withColumn("n", F.col("n") - F.coalesce((F.col("top") == before).cast("int"), F.lit(0)))
+    carried = scratch.table(each.groupBy("h1", "h2").agg(F.sum("n").alias("all_holders"), F.max("top").alias("keeper")), "carried-keys")
+
+    both = found.join(F.broadcast(carried), ["h1", "h2"], "left")
+    keeper = F.when(F.col("all_holders").isNull(), F.col("first")).otherwise(F.col("keeper"))
+    enough = F.coalesce("all_holders", "holders", F.lit(0)) >= min_docs
+    return both.filter(enough & ~F.col("doc_id").eqNullSafe(keeper)).select("doc_id", "tag", "pos")
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """One row per different (``doc_id``, ``tag``), see
     :func:`shared.content_tag`: ``n_lines``, ``n_dropped`` and ``keep_runs``,
@@ -55,20 +88,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         "doc_id", "tag", "pos", "n_lines", "long",
         F.when(F.col("long"), F.xxhash64(key)).alias("h1"), F.when(F.col("long"), F.xxhash64(F.lit(1), key)).alias("h2")), "line-hashes")
 
-    # One shuffle deals the lines; grouping by what they are dealt by needs none. No result depends on the order.
-    dealt = (hashed.filter("long").select("h1", "h2", "doc_id", "tag", "pos")
-             .repartitionByRange("h1", "h2", F.col("doc_id").desc())
-             .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "tag", "pos"))
-    held = scratch.table(dealt.groupBy("h1", "h2", "doc_id").agg(F.collect_set(F.struct("tag", "pos")).alias("places")), "line-holders")
-    # Written, so that the join below reads two plain shuffles and Spark can split a common key's rows.
-    common = scratch.table(held.groupBy("h1", "h2").agg(F.count("doc_id").alias("holders"), F.max("doc_id").alias("keeper"))
-                           .filter(F.col("holders") >= min_docs).drop("holders"), "common-lines")
-    lost = held.join(common, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    lost = _lost_lines(hashed.filter("long").select("h1", "h2", "doc_id", "tag", "pos"), min_docs, scratch)
 
     # Positions to runs: neighbours have the same distance to their rank.
     own = Window.partitionBy("doc_id", "tag").orderBy("pos")
-    runs = (lost.select("doc_id", F.explode("places").alias("p")).select("doc_id", "p.tag", "p.pos")
-            .withColumn("island", F.col("pos") - F.row_number().over(own))
+    runs = (lost.withColumn("island", F.col("pos") - F.row_number().over(own))
             .groupBy("doc_id", "tag", "island").agg(F.min("pos").alias("start"), F.count(F.lit(1)).cast("int").alias("length"))
             .groupBy("doc_id", "tag").agg(F.sum("length").alias("n_dropped"),
                                           F.sort_array(F.collect_list(F.struct("start", "length"))).alias("drops")))
@@ -91,15 +115,17 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, info: str = "_lines") -> DataFrame:
     """``docs`` with ``text`` = its kept lines joined by line feeds (a text
     that loses nothing stays as it is, null included) and a struct column
-    ``info`` (``n_lines``, ``n_dropped``)."""
-    runs = bitmaps.select(F.col("doc_id").alias("_b_doc"), F.col("tag").alias("_b_tag"), F.col("keep_runs").alias("_b_runs"),
+    ``info`` (``n_lines``, ``n_dropped``), a name that ``docs`` does not have.
+    Other columns stay, whatever their names."""
+    doc, tag, keep, all_lines = own_names(docs, "b_doc", "b_tag", "b_runs", "b_all")
+    runs = bitmaps.select(F.col("doc_id").alias(doc), F.col("tag").alias(tag), F.col("keep_runs").alias(keep),
                           F.struct(F.col("n_lines").cast("long").alias("n_lines"), "n_dropped").alias(info))
-    joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col("_b_doc")) & (content_tag() == F.col("_b_tag")), "left")
+    joined = docs.join(runs, F.col("doc_id").eqNullSafe(F.col(doc)) & (content_tag() == F.col(tag)), "left")
     lost = F.col(f"{info}.n_dropped") > 0
-    parts = F.transform("_b_runs", lambda r: F.slice(F.col("_b_all"), r["start"] + 1, r["length"]))
-    return (joined.withColumn("_b_all", F.when(lost, _lines()))
+    parts = F.transform(keep, lambda r: F.slice(F.col(all_lines), r["start"] + 1, r["length"]))
+    return (joined.withColumn(all_lines, F.when(lost, _lines()))
             .withColumn("text", F.when(lost, F.array_join(F.flatten(parts), "\n")).otherwise(F.col("text")))
-            .drop("_b_doc", "_b_tag", "_b_runs", "_b_all"))
+            .drop(doc, tag, keep, all_lines))
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,22 @@ def finished(result: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return table
 
 
+def quoted(*names: str) -> list[str]:
+    """Column names as they stand, dots and quotes included."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
+def own_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that ``df`` has none of, whatever the case."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def bound_batches(spark) -> None:
     """Texts go to Python in Arrow batches, which are cut by rows, not bytes.
     A session without a setting of its own gets ``BATCH_ROWS``, so that long
