@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from brute import awkward_rows, contamination, docs_frame, words
 
@@ -98,6 +99,32 @@ def test_proximity_without_a_word_the_corpus_lacks(spark):
     assert decontam.phrase_matches(index, windows, scratch).count() == 0
 
 
+@pytest.mark.parametrize("within, rarest", [(6, 3), (20, 3), (4, 2), (20, 1)])
+def test_proximity_against_brute_force(spark, within, rarest):
+    r = np.random.default_rng(within + rarest)
+    rows = [(i, " ".join(f"w{int(k)}" for k in r.exponential(8, 60)), "en") for i in range(25)]
+    items = [(j, " ".join(f"w{int(k)}" for k in r.exponential(10, n))) for j, n in enumerate((1, 2, 3, 8, 10, 14))] + [(9, "w0 w0 w1"), (8, "w0 absent")]
+    freq = Counter(w for _, t, _ in rows for w in words(t))
+    want = set()
+    for item, text in items:
+        ws = words(text)
+        for s in range(max(len(ws) - 9, 1)):
+            known = sorted({w for w in ws[s:s + 10] if freq[w]}, key=lambda w: (freq[w], ws[s:s + 10].index(w)))[:rarest]
+            for i, t, _ in rows:
+                held = words(t)
+                for first in range(len(held)) if known else ():
+                    if all(w in held[first:first + within] for w in known) and held[first] in known:
+                        want.add((i, item))
+    with Scratch(spark) as scratch:
+        index = decontam.build_index(docs_frame(spark, rows), scratch)
+        windows, window_items = decontam.item_windows(items_frame(spark, items), scratch)
+        spans = decontam.proximity_matches(index, windows, scratch, within, rarest)
+        names = {r["d1"]: r["doc_id"] for r in docs_frame(spark, rows).select("doc_id", *decontam.doc_key()).collect()}
+        got = {(names[r["d1"]], r["item_id"]) for r in spans.join(window_items, "wid").collect()}
+        assert got == want and want
+        assert spans.filter(F.col("last") - F.col("first") >= within).isEmpty()
+
+
 def test_clean_documents_stay(spark):
     rows, items = corpus(4, n_docs=20)
     docs = docs_frame(spark, rows)
