@@ -1,6 +1,7 @@
 """Language ID, importance resampling and LM scoring."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -41,6 +42,80 @@ def test_only_the_text_decides_and_strangers_are_rejected(spark):
     assert got["rejected"].tolist() == [False, True, True, True, True, True]
 
 
+def plain_prediction(model, text):
+    """Grams counted one by one, and a cosine per centroid."""
+    letters = sum(c.isalpha() for c in (text or "").lower())
+    shown = " " + re.sub(r"(?:(?![^\W\d_]).)+", " ", "".join(c if c.isalpha() else " " for c in (text or "").lower())).strip() + " "
+    shown = re.sub(" +", " ", shown)
+    grams = Counter()
+    codes = [ord(c) for c in shown]
+    u32 = 0xFFFFFFFF
+    for k, c in enumerate(codes):
+        one = c * 0x9E3779B1 & u32
+        chain = [one if c != 32 else None]
+        if k + 1 < len(codes):
+            two = ((one ^ one >> 15) * 0x85EBCA6B + (codes[k + 1] * 0x9E3779B1 & u32)) & u32
+            chain.append(two)
+            if k + 2 < len(codes):
+                chain.append(((two ^ two >> 13) * 0xC2B2AE35 + (codes[k + 2] * 0x9E3779B1 & u32)) & u32)
+        grams.update((g ^ g >> 16) % langid.DIMS for g in chain if g is not None)
+    if not letters:
+        return "und", 0.0, True
+    vec = {g: (1 + math.log(n)) * model.idf[g] for g, n in grams.items()}
+    size = math.sqrt(sum(v * v for v in vec.values()))
+    near = [sum(v * c[g] for g, v in vec.items()) / size for c in model.centroids]
+    best = max(range(len(near)), key=lambda j: near[j])
+    score = min(max(near[best], 0.0), 1.0)
+    return model.languages[best], score, score < model.floors[best][min(int(math.log2(letters)), langid.LONG)]
+
+
+def test_query_against_plain_nearest_centroid(spark):
+    """The same model, every row of the table, cosines by plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs, ~langid.held_out())
+    got = {r["doc_id"]: r for r in langid.op8_nearest_centroid(spark, SF).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        lang, score, rejected = plain_prediction(model, r["text"])
+        mine = got[r["doc_id"]]
+        assert mine["score"] == pytest.approx(score, abs=1e-9) and mine["lang_pred"] == lang and mine["rejected"] == rejected
+
+
+STRANGERS = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "nl": "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+}
+
+
+def test_latin_strangers_and_mislabelled_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    wrong = spark.createDataFrame([(900_000 + k, "zq xj vv kk wq " * 40 if k % 2 else STRANGERS["tr"] * 3, "en") for k in range(6)], "doc_id long, text string, lang string")
+    for learned in (docs, docs.unionByName(wrong)):
+        model = langid.fit(learned, ~langid.held_out())
+        got = model.predict([*STRANGERS.values(), "zxq wvk " * 60])
+        if learned is docs:
+            assert got["rejected"].all()
+        rows = docs.filter("length(text) > 300").limit(150).collect()
+        held = model.predict([r["text"] for r in rows])
+        assert not held["rejected"].any() and (held["lang"] == np.array([r["lang"] for r in rows])).mean() > 0.98
+        floors = {name: f for name, f in zip(model.languages, model.floors[:, langid.LONG])}
+        assert min(floors.values()) > 0.3
+
+
+def test_a_label_column_full_of_junk_costs_no_more(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    monkeypatch.setattr(langid, "MOST_ROWS", 30)
+    rows = [(k, "the cat sat on the mat and so on", "en") for k in range(200)] + [(500 + k, "der Hund und die Katze und so weiter", "de") for k in range(100)]
+    rows += [(1000 + k, f"junk row {k}", f"label {k:04d}") for k in range(300)]
+    docs = docs_frame(spark, rows)
+    model = langid.fit(docs, F.lit(True))
+    assert len(set(model.languages)) == 3 and {"en", "de"} <= set(model.languages)
+    assert model.predict(["und die Katze und der Hund"])["lang"][0] == "de"
+
+
 def test_awkward_documents(spark):
     docs = docs_frame(spark, awkward_rows())
     got = langid.identify(docs, "_x")

@@ -7,14 +7,17 @@ Each language has several centroids, clustered by cosine from labelled rows;
 a text gets the language of the nearest centroid of all, and the cosine to
 it as score.
 
-Rejection is by distance: the floor is a part of the lowest cosine that long
-training texts have to their own language's nearest centroid, and falls with
-the root of the letters for short ones. Below it a text is ``rejected``; its
-nearest language is still named.
+Rejection is by distance: each language has a floor of its own, a part of a
+low quantile of the cosines that its long training texts have to its nearest
+centroid, so that a few rows under a wrong label don't lower it; it falls with
+the root of the letters for short texts. Below its nearest language's floor a
+text is ``rejected``; that language is still named.
 
 The model is fitted on at most about ``PER_LANGUAGE`` labelled rows of each
-language, chosen by a hash of their id. Prediction reads whole texts of all
-rows, and nothing but the text.
+language, chosen by a hash of their id, and on the ``MOST_LANGUAGES`` labels
+with the most rows (ties: first by name), ``MOST_ROWS`` rows in all, so that
+a label column full of junk costs no more. Prediction reads whole texts of
+all rows, and nothing but the text.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0
 and rejected, as is everything if nothing was learned; rows without a
@@ -39,7 +42,8 @@ from tillroll.llm.shared import bound_batches
 DIMS = 4_096
 PER_LANGUAGE = 400
 CENTROIDS = 4
-FLOOR_PART = 0.6
+MOST_LANGUAGES, MOST_ROWS = 200, 8_000
+FLOOR_PART, FLOOR_QUANTILE = 0.55, 0.02
 LONG = 7  # texts of at least 2**LONG letters are long
 UNKNOWN = "und"
 ROWS_AT_ONCE = 128
@@ -90,7 +94,7 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floors: np.ndarray  # by size class
+    floors: np.ndarray  # by centroid and size class
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _unit(np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf)
@@ -103,7 +107,7 @@ class Model:
         best = near.argmax(axis=1)
         score = np.clip(near.max(axis=1), 0.0, 1.0)
         known = letters > 0
-        floor = self.floors[np.minimum(_size_class(letters), len(self.floors) - 1)]
+        floor = self.floors[best, np.minimum(_size_class(letters), LONG)]
         return pd.DataFrame({"lang": np.where(known, np.array(self.languages, dtype=object)[best], UNKNOWN),
                              "score": np.where(known, score, 0.0), "rejected": ~known | (score < floor)})
 
@@ -124,9 +128,11 @@ def _clusters(x: np.ndarray, k: int) -> np.ndarray:
 
 def _sampled(docs: DataFrame, learn: Column, per_language: int) -> DataFrame:
     rows = docs.select("doc_id", "text", "lang").filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = {r["lang"]: per_language / r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not share:
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    if not counts:
         return rows.select("lang", "text")
+    per_language = min(per_language, max(MOST_ROWS // len(counts), 1))
+    share = {r["lang"]: per_language / r["n"] for r in counts}
     by_lang = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
     at = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     return rows.filter(at < by_lang[F.col("lang")]).select("lang", "text")
@@ -146,19 +152,22 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, centro
     rows = _sampled(docs, learn, per_language).mapInPandas(counted, "lang string, letters long, counts binary").filter("letters > 0").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     if not rows:
-        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros(1))
+        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros((0, LONG + 1)))
     counts = np.array([np.frombuffer(r["counts"], dtype="<f4") for r in rows], dtype=float)
     lang = np.array([r["lang"] for r in rows], dtype=object)
-    model = Model([], np.zeros((0, DIMS)), np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1, np.zeros(1))
+    model = Model([], np.zeros((0, DIMS)), np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1, np.zeros((0, LONG + 1)))
     x = model.vectors(counts)
     parts = {name: _clusters(x[lang == name], centroids) for name in sorted(set(lang))}
     model.languages = [name for name, c in parts.items() for _ in c]
     model.centroids = np.vstack(list(parts.values()))
     own = np.array([(x[n] @ parts[lang[n]].T).max() for n in range(len(x))])
-    size = _size_class(np.array([r["letters"] for r in rows]))
+    long = _size_class(np.array([r["letters"] for r in rows])) >= LONG
     # A short text shares fewer grams with a centroid: its cosine falls as the root of its letters.
-    lowest = own[size >= LONG].min() if (size >= LONG).any() else 0.0
-    model.floors = FLOOR_PART * lowest * 2.0 ** (np.minimum(np.arange(LONG + 1) - LONG, 0) / 2)
+    shorter = 2.0 ** (np.minimum(np.arange(LONG + 1) - LONG, 0) / 2)
+    low = {name: np.quantile(own[at], FLOOR_QUANTILE) for name in parts if (at := long & (lang == name)).any()}
+    # A language without long texts takes the lowest floor of the others.
+    least = min(low.values(), default=0.0)
+    model.floors = FLOOR_PART * np.array([low.get(name, least) for name in model.languages])[:, None] * shorter
     return model
 
 
