@@ -1,5 +1,7 @@
 """Block matrix nearest neighbours against plain numpy."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -55,6 +57,23 @@ def test_fewer_candidates_than_k_and_none(spark):
     assert found(spark, []) == []
 
 
+def test_huge_and_tiny_doubles(spark):
+    """Squared lengths overflow or vanish; no neighbour is lost."""
+    r = np.random.default_rng(7)
+    rows = [(k, [float(x) for x in r.normal(size=3) * 7e200]) for k in range(7)] + [(10 + k, [float(x) for x in r.normal(size=3) * 1e-200]) for k in range(7)]
+    rows += [(20 + k, [float(x) for x in r.normal(size=3)]) for k in range(7)] + [(30, [1.7e308, 0.0, 0.0]), (31, [-1.7e308, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in ann.nearest(frame, F.col("vec_id") % 10 == 0, 3).collect():
+        got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    for i, q in rows:
+        if i % 10 == 0:
+            with np.errstate(over="ignore"):
+                near = sorted((math.hypot(*(float(a) - float(b) for a, b in zip(c, q))), j) for j, c in rows if j != i)
+            mine = sorted(got[i])
+            assert [m[1] for m in mine] == [j for _, j in near[:3]] and [m[2] for m in mine] == pytest.approx([d for d, _ in near[:3]], rel=1e-14)
+
+
 def test_bounds_hold():
     r = np.random.default_rng(3)
     x, y = r.normal(size=(50, 33)) * 10.0 ** r.integers(-3, 3, (50, 1)), r.normal(size=(60, 33))

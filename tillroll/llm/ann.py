@@ -50,18 +50,26 @@ def _matrix(table: pa.Table) -> np.ndarray:
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 vectors, their scales, squared lengths once scaled, and the
     lengths of what rounding lost."""
-    scale = np.abs(x).max(axis=1) / 127.0
+    scale = np.abs(x).max(axis=1) / 127.0  # lengths may overflow: see the tile
     small = scale < 1e-290  # too small to divide by: nothing is kept, all is error
     q = np.rint(x / np.where(small, 1.0, scale)[:, None]).astype("int8")
     scale = np.where(small, 0.0, scale)
     kept = q * scale[:, None]
-    return q, scale, (kept * kept).sum(axis=1), np.sqrt(((x - kept) ** 2).sum(axis=1))
+    with np.errstate(over="ignore"):
+        return q, scale, (kept * kept).sum(axis=1), np.sqrt(((x - kept) ** 2).sum(axis=1))
 
 
 def distances(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Euclidean, in double precision, components added from first to last."""
-    gap = many - one
-    return np.sqrt(np.cumsum(gap * gap, axis=1)[:, -1])
+    """Euclidean, in double precision, components added from first to last.
+    Where squares would overflow or vanish, the gap is scaled by a power of
+    two first, which changes no digit."""
+    with np.errstate(over="ignore"):
+        gap = many - one
+        largest = np.abs(gap).max(axis=1, initial=0.0)
+        odd = np.isfinite(largest) & (largest > 0) & ((largest > 1e140) | (largest < 1e-140))
+        power = np.where(odd, np.frexp(np.where(odd, largest, 1.0))[1], 0)
+        gap = np.ldexp(gap, -power[:, None])
+        return np.ldexp(np.sqrt(np.cumsum(gap * gap, axis=1)[:, -1]), power)
 
 
 def _tile(k: int):
@@ -79,14 +87,19 @@ def _tile(k: int):
             for a in range(0, len(q), STRIP):
                 s = slice(a, a + STRIP)
                 product = (q8[s].astype(exact) @ c_t).astype("float64")
-                square = q_len[s, None] + c_len[None, :] - 2.0 * q_scale[s, None] * c_scale[None, :] * product
-                about = np.sqrt(np.maximum(square, 0.0))
-                # Rounding of the float arithmetic itself, generously.
-                slack = q_lost[s, None] + c_lost[None, :] + 1e-7 * (np.sqrt(q_len[s, None]) + np.sqrt(c_len[None, :]))
+                with np.errstate(over="ignore", invalid="ignore"):
+                    square = q_len[s, None] + c_len[None, :] - 2.0 * q_scale[s, None] * c_scale[None, :] * product
+                    about = np.sqrt(np.maximum(square, 0.0))
+                    # Rounding of the float arithmetic itself, generously.
+                    slack = q_lost[s, None] + c_lost[None, :] + 1e-7 * (np.sqrt(q_len[s, None]) + np.sqrt(c_len[None, :]))
+                    lower, upper = about - slack, about + slack
+                # Vectors too large for these sums have no bounds: they are measured.
+                unbounded = ~(np.isfinite(lower) & np.isfinite(upper))
+                lower, upper = np.where(unbounded, 0.0, lower), np.where(unbounded, np.inf, upper)
                 own = q_id[s, None] == c_id[None, :]
-                upper = np.where(own, np.inf, about + slack)
+                upper[own] = np.inf
                 limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if len(c) > k else np.full(len(upper), np.inf)
-                stays = ~own & (about - slack <= limit[:, None])
+                stays = ~own & (lower <= limit[:, None])
                 for i in range(len(stays)):
                     at = np.flatnonzero(stays[i])
                     found = zip(distances(q[a + i], c[at]).tolist(), c_id[at].tolist())
