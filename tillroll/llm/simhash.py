@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shared import bound_batches, content_tag, finished
+from tillroll.llm.shared import bound_batches, content_tag, finished, own_names
 from tillroll.plans.lineage import Scratch
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -221,12 +221,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     groups = simhash_groups(docs).groupBy("root", "doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "rows")
     first = groups.groupBy("root").agg(F.min(order).alias("k"))
+    doc, tag, rows = own_names(docs, "k_doc", "k_tag", "k_rows")
     kept = Scratch(docs.sparkSession).table(first.select(
-        F.col("k.doc_id").alias("_k_doc"), F.col("k.tag").alias("_k_tag"), F.col("k.rows").alias("_k_rows")), "kept")
-    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_k_doc")) & (content_tag() == F.col("_k_tag")))
-    if not kept.filter("_k_rows > 1").isEmpty():  # a kept row is there several times
-        marked = marked.filter("_k_rows = 1").unionByName(marked.filter("_k_rows > 1").dropDuplicates(["_k_doc", "_k_tag"]))
-    return marked.drop("_k_doc", "_k_tag", "_k_rows")
+        F.col("k.doc_id").alias(doc), F.col("k.tag").alias(tag), F.col("k.rows").alias(rows)), "kept")
+    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(doc)) & (content_tag() == F.col(tag)))
+    if not kept.filter(F.col(rows) > 1).isEmpty():  # a kept row is there several times
+        marked = marked.filter(F.col(rows) == 1).unionByName(marked.filter(F.col(rows) > 1).dropDuplicates([doc, tag]))
+    return marked.drop(doc, tag, rows)
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
