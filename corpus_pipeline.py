@@ -17,21 +17,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontam, langid, linededup, packing, simhash
-from tillroll.plans.lineage import Scratch
+from tillroll.llm.shared import own_names, quoted
+from tillroll.plans.lineage import Scratch, released
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that it rejects go."""
-    return langid.identify(docs, "_language").filter(~F.col("_language.rejected")).drop("_language")
+    found, = own_names(docs, "language")
+    return langid.identify(docs, found).filter(~F.col(f"{found}.rejected")).drop(found)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: texts lose their repeated lines; ``n_chars`` follows."""
-    kept = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs), "_lines")
+    info, = own_names(docs, "lines")
+    kept = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs), info)
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("_lines.n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        n_chars = F.when(F.col(f"{info}.n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return kept.select(docs.columns)
+    return kept.select(quoted(*docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +65,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. Of what they write only the last one's table stays: a
+    stage's own tables and its input go once its result is written."""
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir), f"stage-{name}")
+        with released():
+            after = scratch.table(stage(spark, docs, sf_dir), f"stage-{name}")
+        if docs in scratch.paths:
+            scratch.drop(docs)
+        docs = after
     return docs

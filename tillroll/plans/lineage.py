@@ -8,6 +8,9 @@ folder.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.session import ensure_checkpoint_dir, scratch_path
@@ -33,6 +36,23 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_made: ContextVar[list | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def released():
+    """Deletes, at the end, every table that a :class:`Scratch` made inside
+    has not dropped by then. Write what is wanted to a Scratch from outside."""
+    made: list[Scratch] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for scratch in made:
+            scratch.close()
+
+
 class Scratch:
     """Written intermediate tables of one program run, deletable one by one.
 
@@ -45,6 +65,8 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: dict[DataFrame, str] = {}
+        if (made := _made.get()) is not None:
+            made.append(self)
 
     def table(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = scratch_path(self.spark, name)
