@@ -3,12 +3,14 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from brute import awkward_rows, contamination, docs_frame, line_dedup, rooted
 from oracle_compare import compare, duck
 
 import corpus_pipeline
 from tillroll.llm import registry
 from tillroll.plans.lineage import Scratch
+from tillroll.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,9 +50,38 @@ def test_every_stage_against_brute_force(spark):
     assert {r["doc_id"] for r in docs.collect()} == {r[0] for r in clean}
 
 
-def test_run_gives_the_last_stage(spark):
+def tables_now(spark):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/tables")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in store.listStatus(folder)} if store.exists(folder) else set()
+
+
+def test_run_gives_the_last_stage_and_leaves_nothing_else(spark):
+    before = tables_now(spark)
     got = corpus_pipeline.run(spark, SF)
     assert got.columns[:4] == ["doc_id", "piece", "start", "length"] and got.count() > 100
+    left = tables_now(spark) - before
+    assert len(left) == 1 and next(iter(left)).startswith("stage-best_fit_packing")
+
+
+HELPERS = ["language", "language_", "_language", "lines", "_lines", "b_doc", "b_tag", "b_runs", "b_all", "_b_runs", "B_ALL_", "k_doc", "k_tag", "k_rows", "_k_doc",
+           "c1", "c2", "_c1", "d1", "d2", "first", "part", "nth", "keeper", "holders", "uid", "tag", "h1", "h2", "pos", "lang.code", "with`tick", "a b"]
+
+
+def test_columns_named_like_the_helpers(spark):
+    scratch = Scratch(spark)
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = plain.select("*", *[F.concat(F.lit(name), F.col("doc_id")).alias(name) for name in HELPERS])
+    docs, same = scratch.table(odd, "odd"), scratch.table(plain, "plain")
+    for name, stage in corpus_pipeline.STAGES:
+        docs, same = scratch.table(stage(spark, docs, SF), name), scratch.table(stage(spark, same, SF), name)
+        if name != "best_fit_packing":
+            assert docs.columns == odd.columns
+            rows = docs.collect()
+            assert sorted(r[:5] for r in rows) == sorted(r[:5] for r in same.collect())
+            assert all(r[5 + n] == f"{h}{r['doc_id']}" for r in rows for n, h in enumerate(HELPERS))
+    assert docs.count() == same.count() > 0
+    scratch.close()
 
 
 @pytest.mark.parametrize("rows", [awkward_rows(), []], ids=["awkward", "empty"])
