@@ -10,7 +10,7 @@ customer count ``n`` (one scalar on the driver).
   distinct day and the running count over it is small.
 * F, M (ranks, ties by CustomerID): rank at or under the first cut scores
   1, then 2, else 3. Only the customers at the two cut ranks are looked up
-  (:func:`kth_keys`, bracket and count); everyone else is compared with them.
+  (:func:`kth_keys_of`, bracket and count); everyone else is compared with them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import SEGMENTS, money_sum
 from tillroll.functions.quantiles import cut_positions, rank_cuts
 from tillroll.plans.lineage import checkpointed
-from tillroll.plans.ranking import kth_keys
+from tillroll.plans.ranking import kth_keys_of
 
 
 def rfm_reference_date(df: DataFrame) -> DataFrame:
@@ -72,18 +72,23 @@ def rfm_r_score(base: DataFrame, n: int | None = None) -> DataFrame:
 
 def rank_score(df: DataFrame, metric: str, out: str, n: int | None = None) -> DataFrame:
     """Tercile score of the rank of ``metric`` (ties by CustomerID)."""
+    return rank_scores(df, {metric: out}, n)
+
+
+def rank_scores(df: DataFrame, metrics: dict[str, str], n: int | None = None) -> DataFrame:
+    """R4 for several metrics ({metric: score column}) in the same passes."""
     n = df.count() if n is None else n
     cuts = [int(c) for c in rank_cuts(max(n, 1))]
-    inside = [c for c in cuts if 1 <= c <= n]
-    keys = dict(zip(inside, kth_keys(df, metric, "CustomerID", inside, n))) if inside else {}
+    inside = [(m, c) for m in metrics for c in cuts if 1 <= c <= n]
+    keys = dict(zip(inside, kth_keys_of(df, "CustomerID", inside, n)))
 
-    def at_or_under(cut: int):
-        if cut not in keys:
+    def at_or_under(metric: str, cut: int):
+        if (metric, cut) not in keys:
             return F.lit(cut > n)
-        value, ident = keys[cut]
+        value, ident = keys[metric, cut]
         return (F.col(metric) < F.lit(value)) | ((F.col(metric) == F.lit(value)) & (F.col("CustomerID") <= F.lit(ident)))
 
-    return df.withColumn(out, F.when(at_or_under(cuts[0]), 1).when(at_or_under(cuts[1]), 2).otherwise(3))
+    return df.withColumns({out: F.when(at_or_under(m, cuts[0]), 1).when(at_or_under(m, cuts[1]), 2).otherwise(3) for m, out in metrics.items()})
 
 
 def rfm_scores(df: DataFrame) -> DataFrame:
@@ -93,9 +98,7 @@ def rfm_scores(df: DataFrame) -> DataFrame:
     value the driver sees besides the cut keys."""
     base = checkpointed(rfm_base(df))
     n = base.count()
-    scored = rank_score(base, "Frequency", "F_Score", n)
-    scored = rank_score(scored, "Monetary", "M_Score", n)
-    scored = rfm_r_score(scored, n)
+    scored = rfm_r_score(rank_scores(base, {"Frequency": "F_Score", "Monetary": "M_Score"}, n), n)
     return scored.select("CustomerID", "Recency", "Frequency", "Monetary", "R_Score", "F_Score", "M_Score",
                          (F.col("R_Score") + F.col("F_Score") + F.col("M_Score")).alias("RFM_Score"))
 

@@ -103,27 +103,37 @@ def percentile_disc(df: DataFrame, col: str, p: float, accuracy: int = 100_000)
     return kth_smallest(df.select(col), [col], k=k, tie_break=True)
 
 
-def kth_values(df: DataFrame, col: str, ks: list[int], n: int, accuracy: int = 100_000) -> list[tuple]:
-    """For each k: the k-th smallest value of ``col``, how many of the ``n``
-    rows are below it and how many equal it. Nothing is sorted: approximate
-    percentiles bracket the value, one pass counts the rows under the
+def kth_many(df: DataFrame, picks: list[tuple[Column, int, int]], accuracy: int = 100_000) -> list[tuple]:
+    """For each pick (a numeric column, k, and how many rows have a value
+    there): the k-th smallest value, how many are below it and how many equal
+    it. Nothing is sorted, and all picks share three passes: approximate
+    percentiles bracket the values, one pass counts the rows under the
     brackets, and only the different values inside them (about 4 n /
     ``accuracy`` and a few common ones) are counted and added up in order.
-    Read ``df`` from a checkpoint: it is scanned three times."""
-    eps, v = 2.0 / accuracy, F.col(col)
-    at = [p for k in ks for p in (max(k / n - eps, 0.0), min(k / n + eps, 1.0))]
-    bounds = df.agg(F.percentile_approx(v, at, accuracy)).first()[0]
-    pairs = list(zip(bounds[::2], bounds[1::2]))
-    counts = df.agg(*[c for lo, hi in pairs for c in (F.count_if(v < F.lit(lo)), F.count_if(v <= F.lit(hi)))]).first()
+    Read ``df`` from a checkpoint."""
+    eps = 2.0 / accuracy
+    df = df.select(*[v.alias(f"v{i}") for i, (v, _, _) in enumerate(picks)])
+    whole = [kind in ("tinyint", "smallint", "int", "bigint") for _, kind in df.dtypes]
+    cols = [F.col(c) for c in df.columns]
+    bounds = df.agg(*[F.percentile_approx(v, [max(k / n - eps, 0.0), min(k / n + eps, 1.0)], accuracy) for v, (_, k, n) in zip(cols, picks)]).first()
+    counts = df.agg(*[c for v, (lo, hi) in zip(cols, bounds) for c in (F.count_if(v < F.lit(lo)), F.count_if(v <= F.lit(hi)))]).first()
     spans = []
-    for k, (lo, hi), below, upto in zip(ks, pairs, counts[::2], counts[1::2]):
-        spans.append((k, v.between(lo, hi), below) if below < k <= upto else (k, F.lit(True), 0))
-    tagged = df.select(v.alias("value"), F.explode(F.array(*[F.when(inside, F.lit(i)) for i, (_, inside, _) in enumerate(spans)])).alias("cut"))
-    tally = tagged.filter("cut is not null").groupBy("cut", "value").agg(F.count(F.lit(1)).alias("same"))
-    upto = F.sum("same").over(Window.partitionBy("cut").orderBy("value"))
+    for v, (_, k, _), (lo, hi), below, upto in zip(cols, picks, bounds, counts[::2], counts[1::2]):
+        spans.append((k, v.between(lo, hi), below) if below < k <= upto else (k, v.isNotNull(), 0))
+    none = F.lit(None)
+    held = [F.when(inside, F.struct(F.lit(i).alias("cut"), (v if w else none).cast("long").alias("whole"), (none if w else v).cast("double").alias("real")))
+            for i, (v, w, (_, inside, _)) in enumerate(zip(cols, whole, spans))]
+    tally = (df.select(F.explode(F.array(*held)).alias("x")).filter("x is not null")
+             .groupBy("x.cut", "x.whole", "x.real").agg(F.count(F.lit(1)).alias("same")))
+    upto = F.sum("same").over(Window.partitionBy("cut").orderBy("whole", "real"))
     need = F.element_at(F.array(*[F.lit(k - below) for k, _, below in spans]), F.col("cut") + 1)
     found = {r["cut"]: r for r in tally.withColumn("upto", upto).filter((F.col("upto") >= need) & (F.col("upto") - F.col("same") < need)).collect()}
-    return [(found[i]["value"], below + found[i]["upto"] - found[i]["same"], found[i]["same"]) for i, (_, _, below) in enumerate(spans)]
+    return [(found[i]["whole" if whole[i] else "real"], below + found[i]["upto"] - found[i]["same"], found[i]["same"]) for i, (_, _, below) in enumerate(spans)]
+
+
+def kth_values(df: DataFrame, col: str, ks: list[int], n: int, accuracy: int = 100_000) -> list[tuple]:
+    """:func:`kth_many` of one column that has a value in all ``n`` rows."""
+    return kth_many(df, [(F.col(col), k, n) for k in ks], accuracy)
 
 
 # Bytes of a text compared at once: seven and their number fit a long.
@@ -155,15 +165,26 @@ def kth_text(df: DataFrame, col: str, k: int, n: int) -> str:
 def kth_keys(df: DataFrame, metric: str, ident: str, ks: list[int], n: int) -> list[tuple]:
     """For each k: the k-th smallest (``metric``, ``ident``) of ``n`` rows,
     ``ident`` telling rows apart, without sorting the table."""
-    keys = []
+    return kth_keys_of(df, ident, [(metric, k) for k in ks], n)
+
+
+def kth_keys_of(df: DataFrame, ident: str, wanted: list[tuple[str, int]], n: int) -> list[tuple]:
+    """:func:`kth_keys` of several metrics (``metric``, ``k``) in the same
+    passes: three for the values and three for the idents among ties."""
+    if not wanted:
+        return []
     kind = dict(df.dtypes)[ident]
-    numeric = kind in ("int", "bigint", "smallint", "tinyint", "float", "double")
-    for k, (value, below, ties) in zip(ks, kth_values(df, metric, ks, n)):
-        same = df.filter(F.col(metric) == F.lit(value)).select(ident)
-        if numeric and ties > 1:
-            keys.append((value, kth_values(same, ident, [k - below], ties)[0][0]))
-        elif kind == "string" and ties > 1:
-            keys.append((value, kth_text(same, ident, k - below, ties)))
-        else:
-            keys.append((value, kth_smallest(same, [ident], k=k - below).first()[0] if ties > 1 else same.first()[0]))
-    return keys
+    found = kth_many(df, [(F.col(m), k, n) for m, k in wanted])
+    among = [F.when(F.col(m) == F.lit(value), F.col(ident)) for (m, _), (value, _, _) in zip(wanted, found)]
+    keys = list(df.agg(*[F.max(c) for c in among]).first())  # right where nothing ties
+    tied = [i for i, (_, _, same) in enumerate(found) if same > 1]
+    if kind in ("int", "bigint", "smallint", "tinyint", "float", "double"):
+        picks = [(among[i], wanted[i][1] - found[i][1], found[i][2]) for i in tied]
+        for i, (value, _, _) in zip(tied, kth_many(df, picks) if picks else []):
+            keys[i] = value
+    else:
+        for i in tied:
+            (metric, k), (value, below, same) = wanted[i], found[i]
+            rows = df.filter(F.col(metric) == F.lit(value)).select(ident)
+            keys[i] = kth_text(rows, ident, k - below, same) if kind == "string" else kth_smallest(rows, [ident], k=k - below).first()[0]
+    return [(value, key) for (value, _, _), key in zip(found, keys)]
