@@ -39,9 +39,10 @@ def own_names(df: DataFrame, *wanted: str) -> list[str]:
 
 
 def bound_batches(spark) -> None:
-    """Texts go to Python in Arrow batches, which are cut by rows, not bytes.
-    A session without a setting of its own gets ``BATCH_ROWS``, so that long
-    texts do not add up to more than a worker holds."""
+    """Texts go to Python in Arrow batches of 10,000 rows or 64 MB, whichever
+    comes first; as Python strings and arrays that is several times as much. A
+    session without a number of rows of its own gets ``BATCH_ROWS``, which
+    keeps batches of usual texts small; the bytes still bound long ones."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(setting, None) is None:
         spark.conf.set(setting, str(BATCH_ROWS))
