@@ -138,6 +138,11 @@ class MiningRun:
     max_items: int | None
     scratch: Scratch
 
+    @property
+    def used(self) -> DataFrame:
+        """The sets of items that were mined."""
+        return self.baskets.select("items")
+
     @property
     def limits(self) -> DataFrame:
         """How many baskets the size limit kept and dropped (one row)."""
