@@ -79,6 +79,19 @@ def test_keys_and_documents_that_go_on_over_borders(spark, monkeypatch, seed):
     assert spans["keys-over-borders"] >= 2 and spans["carried-keys"] == spans["keys-over-borders"]
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_lines_repeated_in_few_documents_stay(spark, coalesce):
+    """Documents count, not lines: many lines of a key in four documents are not enough."""
+    rows = [(k, "\n".join([LONG_LINE] * 7 + [f"{LONG_LINE} own {k} {j}" for j in range(30)]), "en") for k in range(4)]
+    rows += [(10 + k, "\n".join([LONG_LINE + " common"] * (k % 3 + 1)), "en") for k in range(9)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        got = applied(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == Counter(line_dedup(rows))
+
+
 def test_no_second_grouping_of_all_lines(spark):
     """Inside a partition the keeper is streamed: the joins are with tables of a row per border."""
     with Scratch(spark) as scratch:

@@ -50,8 +50,9 @@ def _lost_lines(lines: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
 
     inside = Window.partitionBy("part", "h1", "h2")
     streamed = inside.orderBy(F.desc_nulls_last("doc_id"), "tag", "pos")
-    numbered = dealt.withColumn("first", F.first("doc_id").over(streamed)).withColumn(
-        "nth", F.when(F.col("doc_id").isNotNull(), F.dense_rank().over(streamed)))
+    # Documents are numbered, not lines: the order by document alone is part of the streamed one.
+    nth = F.dense_rank().over(inside.orderBy(F.desc_nulls_last("doc_id")))
+    numbered = dealt.withColumn("first", F.first("doc_id").over(streamed)).withColumn("nth", F.when(F.col("doc_id").isNotNull(), nth))
     found = numbered.withColumn("holders", F.max("nth").over(inside)).drop("nth")
 
     # Keys that go on over a border are the last of one partition and the first of a later one.
